@@ -1,9 +1,11 @@
 """The queries of this subpackage and the SQL that gives the same rows, by name."""
 
-from cairnfield.llm import license_scan, line_dedup
+from cairnfield.llm import language_id, license_scan, line_dedup, packing
 
 QUERIES = {
+    "op2_language_id": language_id.op2_language_id,
     "op5_line_dedup": line_dedup.op5_line_dedup,
+    "op9_packing": packing.op9_packing,
     "op10_license_scan": license_scan.op10_license_scan,
 }
 
