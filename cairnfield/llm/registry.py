@@ -1,11 +1,12 @@
 """The queries of this subpackage and the SQL that gives the same rows, by name."""
 
-from cairnfield.llm import language_id, license_scan, line_dedup, minhash_dedup, packing
+from cairnfield.llm import language_id, license_scan, line_dedup, minhash_dedup, packing, toxicity
 
 QUERIES = {
     "op2_language_id": language_id.op2_language_id,
     "op3_minhash_dedup": minhash_dedup.op3_minhash_dedup,
     "op5_line_dedup": line_dedup.op5_line_dedup,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op9_packing": packing.op9_packing,
     "op10_license_scan": license_scan.op10_license_scan,
 }
