@@ -1,8 +1,9 @@
 """The queries of this subpackage and the SQL that gives the same rows, by name."""
 
-from cairnfield.llm import language_id, license_scan, line_dedup, minhash_dedup, packing, toxicity
+from cairnfield.llm import language_id, license_scan, line_dedup, minhash_dedup, packing, toxicity, warc_index
 
 QUERIES = {
+    "op1_warc_index": warc_index.op1_warc_index,
     "op2_language_id": language_id.op2_language_id,
     "op3_minhash_dedup": minhash_dedup.op3_minhash_dedup,
     "op5_line_dedup": line_dedup.op5_line_dedup,
@@ -12,6 +13,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_warc_index": warc_index.ORACLE_SQL,
     "op3_minhash_dedup": minhash_dedup.ORACLE_SQL,
     "op5_line_dedup": line_dedup.ORACLE_SQL,
     "op10_license_scan": license_scan.oracle_sql(),
