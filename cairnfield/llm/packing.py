@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import bisect
 import re
+import struct
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +30,8 @@ TIERS = (1024, 512, 256, 128)
 STEP_TOKENS = 16 * 1024
 GROUP_TOKENS = 2_000_000
 END_ID = 0
-CACHE_WORDS = 300_000
+#: Distinct words that a task's cache holds, at some 200 bytes each.
+CACHE_WORDS = 1_000_000
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, tier int, step_group long"
 
 _WS = "[\t-\r \x85\xa0  -     　]"
@@ -61,9 +63,8 @@ class WordTokenizer:
         self.special = tuple(t.content for t in self.model.get_added_tokens_decoder().values())
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
-        return [np.array(e.ids, "<u4").tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        found = self.model.encode_batch_fast(texts, add_special_tokens=False)
+        return [struct.pack(f"<{len(i)}I", *i) for i in [e.ids for e in found]]
 
     def whole(self, text: str) -> bytes:
         return self._encode([text])[0]
@@ -78,11 +79,11 @@ class WordTokenizer:
         words = text.split(" ")
         first, words = words[0], words[1:]
         cache = self.cache
-        missing = [w for w in dict.fromkeys(words) if w not in cache]
+        missing = list(set(words).difference(cache))
         if missing:
             if len(cache) + len(missing) > self.most:
                 cache.clear()
-                missing = list(dict.fromkeys(words))
+                missing = list(set(words))
             cache.update(zip(missing, self._encode([" " + w for w in missing]), strict=True))
         return (self.whole(first) if first else b"") + b"".join([cache[w] for w in words])
 
