@@ -1,6 +1,6 @@
 """The queries of this subpackage and the SQL that gives the same rows, by name."""
 
-from cairnfield.llm import language_id, license_scan, line_dedup, minhash_dedup, packing, toxicity, warc_index
+from cairnfield.llm import ann_projection, language_id, license_scan, line_dedup, minhash_dedup, packing, toxicity, warc_index
 
 QUERIES = {
     "op1_warc_index": warc_index.op1_warc_index,
@@ -8,6 +8,7 @@ QUERIES = {
     "op3_minhash_dedup": minhash_dedup.op3_minhash_dedup,
     "op5_line_dedup": line_dedup.op5_line_dedup,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op8_ann_projection": ann_projection.op8_ann_projection,
     "op9_packing": packing.op9_packing,
     "op10_license_scan": license_scan.op10_license_scan,
 }
