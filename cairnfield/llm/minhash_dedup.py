@@ -160,7 +160,7 @@ def compare(pairs: DataFrame, payload: DataFrame, prepare: Callable, test: Calla
     salted = pairs.join(stars, "a").select("a", "b", salt.alias("salt"))
     heads = salted.select("a", "salt").distinct().select("a", "salt", F.col("a").alias("doc_id"), F.lit(0).alias("member"))
     need = heads.union(salted.select("a", "salt", "b", F.lit(1)))
-    dealt = need.join(payload, "doc_id").repartition("a", "salt").sortWithinPartitions("a", "salt", "member")
+    dealt = need.hint("merge").join(payload, "doc_id").repartition("a", "salt").sortWithinPartitions("a", "salt", "member")
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -244,14 +244,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     classes = stored(linked.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep")), "classes")
     own = signed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("fp1")).alias("fp1"), "fp2")
     members = stored(own.join(classes, ["fp1", "fp2"], "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")), "members")
-    reps = stored(linked.join(classes, ["fp1", "fp2"], "left_semi").join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "sig", "bands"), "reps")
+    reps = stored(linked.join(classes.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id", "left_semi").join(classes.hint("merge"), ["fp1", "fp2"], "left_semi").select("doc_id", "sig", "bands"), "reps")
     dropped(spark, path)
 
     exploded = reps.select("doc_id", F.explode("bands").alias("key"))
     hubs = stored(exploded.groupBy("key").agg(F.min("doc_id").alias("hub"), F.count("*").alias("n")).where("n > 1"), "hubs")
     grouped = stored(exploded.join(hubs, "key"), "buckets")
     asked = grouped.select("doc_id").distinct()
-    texts = stored(docs.select(F.col("doc_id").cast("long"), F.col("text").alias("payload")).join(asked, "doc_id", "left_semi"), "texts")
+    texts = stored(docs.select(F.col("doc_id").cast("long"), F.col("text").alias("payload")).join(asked.hint("merge"), "doc_id", "left_semi"), "texts")
     sigs = reps.select("doc_id", F.col("sig").alias("payload"))
 
     def signature_test(x: np.ndarray, y: np.ndarray) -> bool:
