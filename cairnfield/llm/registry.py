@@ -1,6 +1,6 @@
 """The queries of this subpackage and the SQL that gives the same rows, by name."""
 
-from cairnfield.llm import ann_projection, embedding_dedup, language_id, license_scan, line_dedup, minhash_dedup, packing, toxicity, warc_index
+from cairnfield.llm import ann_projection, embedding_dedup, language_id, license_scan, line_dedup, minhash_dedup, packing, piece_sampling, toxicity, warc_index
 
 QUERIES = {
     "op1_warc_index": warc_index.op1_warc_index,
@@ -8,6 +8,7 @@ QUERIES = {
     "op3_minhash_dedup": minhash_dedup.op3_minhash_dedup,
     "op4_embedding_dedup": embedding_dedup.op4_embedding_dedup,
     "op5_line_dedup": line_dedup.op5_line_dedup,
+    "op6_piece_sampling": piece_sampling.op6_piece_sampling,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_ann_projection": ann_projection.op8_ann_projection,
     "op9_packing": packing.op9_packing,
