@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def metadata(spark: SparkSession, path: str, feature: str) -> DataFrame:
     """(file, text, number): the first 'KEY = value' line of each file whose key contains the feature."""
-    lines = spark.read.option("wholetext", "true").text(path).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("n", "line"))
+    lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("n", "line"))
     held = lines.where(F.col("line").contains(feature) & F.col("line").contains("="))
     first = held.groupBy("file").agg(F.min_by("line", "n").alias("line"))
     text = F.trim(F.split("line", "=", 2)[1])
