@@ -46,5 +46,15 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def beside(docs: DataFrame) -> DataFrame:
+    """docs with every column but doc_id and text under a positional name, which no operator's output clashes with."""
+    return docs.toDF(*[c if c in ("doc_id", "text") else f"column{k}" for k, c in enumerate(docs.columns)])
+
+
+def named_as(out: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of `docs`, under their own names, of rows that an operator has made from beside(docs)."""
+    return out.select(beside(docs).columns).toDF(*docs.columns)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -9,8 +9,8 @@ Texts are lower-cased; every non-letter becomes one gap symbol and letters that
 symbol, so that n-grams index a table of fixed size.
 
 Defined cases: null text, and text without a letter, is `und` with score 0; so is every text if there is no labelled
-row to learn from; rows with null lang or null text are not learned from; repeated rows are answered one by one; other
-columns take no part.
+row to learn from; rows with null lang, text or doc_id are not learned from; repeated rows are answered one by one; other
+columns are passed through, but for those that have the name of an output column.
 """
 
 from __future__ import annotations
@@ -129,7 +129,7 @@ class Model:
 def training_sample(docs: DataFrame, learn: Column) -> list[tuple[int, str, bool]]:
     """(doc_id, lang, whether a landmark): a bounded sample, the same whatever the partitions are."""
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    may = docs.where(learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    may = docs.where(learn & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     ranked = may.select("doc_id", "lang", F.row_number().over(order).alias("n")).where(F.col("n") <= ROWS_PER_LANG)
     return [(r.doc_id, r.lang, r.n <= LANDMARKS_PER_LANG) for r in ranked.collect()]
 
@@ -137,7 +137,6 @@ def training_sample(docs: DataFrame, learn: Column) -> list[tuple[int, str, bool
 def learn_model(docs: DataFrame, learn: Column) -> Model:
     """Learns from rows of docs (doc_id, text, lang) for which learn holds. Only landmark texts reach the driver."""
     sample = {d: (lang, mark) for d, lang, mark in sorted(training_sample(docs, learn))}
-    sample = {d: x for d, x in sample.items() if d is not None}
     if not sample:
         return Model([])
     texts = docs.where(learn & F.col("text").isNotNull()).select("doc_id", "text")
@@ -163,9 +162,10 @@ def learn_model(docs: DataFrame, learn: Column) -> Model:
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """docs (doc_id, text, ..) plus lang_pred and score."""
+    """docs (.., text, ..) plus lang_pred and score, which replace columns of these names."""
     from pyspark.sql import types as T
 
+    docs = docs.drop("lang_pred", "score")
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     at = docs.columns.index("text")
 

@@ -7,8 +7,8 @@ a level holds `fanout` runs they are compacted into one run of the next level. A
 whether its lines go, and the run that first saw it names the document that keeps them.
 
 Defined cases: null or empty text is one empty line; a null doc_id takes no part in counting and keeps all lines;
-repeated rows of one doc_id count as one document and are treated alike; other columns are passed through; a clash
-with an output column is the caller's to rename.
+repeated rows of one doc_id count as one document and are treated alike; other columns are passed through, but for
+those that have the name of an output column.
 """
 
 from __future__ import annotations
@@ -115,12 +115,13 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     Keys of min_chars code points or more found in min_docs documents or more lose their lines except in the largest
     doc_id that holds them.
     """
-    gone = repeated_lines(docs, min_chars, min_docs, batches)
-    both = docs.join(gone.withColumnRenamed("doc_id", "__doc"), F.col("doc_id") == F.col("__doc"), "left").drop("__doc")
-    stays = lambda line: ~F.array_contains(F.col("drops"), key_hash(line_key(line)))
-    kept = F.when(F.col("drops").isNull(), lines_of(F.col("text"))).otherwise(F.filter(lines_of(F.col("text")), stays))
+    docs = docs.drop("kept_text", "n_lines", "n_dropped")
+    gone = repeated_lines(docs, min_chars, min_docs, batches).withColumnsRenamed({"doc_id": "__doc", "drops": "__drops"})
+    both = docs.join(gone, F.col("doc_id") == F.col("__doc"), "left").drop("__doc")
+    stays = lambda line: ~F.array_contains(F.col("__drops"), key_hash(line_key(line)))
+    kept = F.when(F.col("__drops").isNull(), lines_of(F.col("text"))).otherwise(F.filter(lines_of(F.col("text")), stays))
     both = both.withColumn("n_lines", F.size(lines_of(F.col("text"))).cast("long")).withColumn("__kept", kept)
-    return both.withColumns({"kept_text": F.array_join("__kept", "\n"), "n_dropped": F.col("n_lines") - F.size("__kept")}).drop("__kept", "drops")
+    return both.withColumns({"kept_text": F.array_join("__kept", "\n"), "n_dropped": F.col("n_lines") - F.size("__kept")}).drop("__kept", "__drops")
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,8 @@ cache holds it.
 
 Defined cases: null and empty texts have no words and get the score of the intercept; without labelled rows of both
 classes every score is 0; a document with several label rows counts as toxic if one of them is 1; null labels are not
-learned from; repeated rows are scored one by one; other columns take no part.
+learned from; repeated rows are scored one by one; other columns are passed through, but for those that have
+the name of an output column.
 """
 
 from __future__ import annotations
@@ -264,9 +265,10 @@ def learn_model(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
 
 
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
-    """docs (.., text, ..) plus score and predicted (1 if score >= 0.5, else 0)."""
+    """docs (.., text, ..) plus score and predicted (1 if score >= 0.5, else 0), which replace columns of these names."""
     from pyspark.sql import types as T
 
+    docs = docs.drop("score", "predicted")
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     at = docs.columns.index("text")
 
