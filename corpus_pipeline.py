@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnfield.llm import language_id, line_dedup, minhash_dedup, packing, toxicity
-from cairnfield.llm._shared import stored, table
+from cairnfield.llm._shared import beside, named_as, stored, table
 
 #: The least score of the best language; a text that every one-versus-rest classifier turns down firmly scores less.
 MIN_LANGUAGE_SCORE = 0.25
@@ -28,27 +28,28 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if not model.languages:
         return docs
     good = (F.col("lang_pred") != language_id.UND) & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    return language_id.identify(docs, model).where(good).select(docs.columns)
+    return named_as(language_id.identify(beside(docs), model).where(good), docs)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that are scored toxic."""
     model = toxicity.learn_model(docs, table(spark, sf_dir, "labels"), ~toxicity.held_out())
-    return toxicity.score_toxicity(docs, model).where("predicted = 0").select(docs.columns)
+    return named_as(toxicity.score_toxicity(beside(docs), model).where("predicted = 0"), docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes repeated lines out of texts; every document stays."""
-    out = line_dedup.dedup_lines(docs)
+    out = line_dedup.dedup_lines(beside(docs))
     text = F.when(F.col("text").isNotNull(), F.col("kept_text"))
-    return out.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    out = named_as(out.withColumn("text", text), docs)
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group: the smallest doc_id. Rows that repeat it stay together; a null doc_id stays."""
     found = minhash_dedup.near_duplicates(docs.select("doc_id", "text"), SIMILARITY_PERCENT)
     gone = stored(found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct(), "duplicates")
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)
+    return named_as(beside(docs).join(gone.hint("merge"), "doc_id", "left_anti"), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
