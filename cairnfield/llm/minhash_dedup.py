@@ -242,7 +242,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     signed = spark.read.parquet(path)
     linked = signed.where("doc_id is not null and n_shingles > 0")
     classes = stored(linked.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep")), "classes")
-    own = signed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("fp1")).alias("fp1"), "fp2")
+    own = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("fp1")).alias("fp1"), "fp2")
     members = stored(own.join(classes, ["fp1", "fp2"], "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")), "members")
     reps = stored(linked.join(classes.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id", "left_semi").join(classes.hint("merge"), ["fp1", "fp2"], "left_semi").select("doc_id", "sig", "bands"), "reps")
     dropped(spark, path)
