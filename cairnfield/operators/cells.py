@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cairnfield.operators.components import least_labels
@@ -48,10 +48,21 @@ def dilate_labels(labels: DataFrame, rows: int, cols: int) -> DataFrame:
 
 def erode(mask: DataFrame, rows: int, cols: int) -> DataFrame:
     """Cells whose whole window within the raster is in the mask."""
+    return _full_windows(mask.select("row", "col").distinct(), rows, cols).select("row", "col")
+
+
+def _full_windows(cells: DataFrame, rows: int, cols: int) -> DataFrame:
+    """The cells, of each group if there are more columns, whose whole window within the raster is there."""
     high = lambda c, n: F.lit(3) - (F.col(c) == 0).cast("int") - (F.col(c) == n - 1).cast("int")
-    seen = spread(mask.select("row", "col").distinct()).groupBy("row", "col")
-    seen = seen.agg(F.count("*").alias("n"), F.max((F.col("di") == 0) & (F.col("dk") == 0)).alias("own"))
-    return seen.where(F.col("own") & (F.col("n") == high("row", rows) * high("col", cols))).select("row", "col")
+    seen = spread(cells).groupBy(*cells.columns).agg(F.count("*").alias("n"), F.max((F.col("di") == 0) & (F.col("dk") == 0)).alias("own"))
+    return seen.where(F.col("own") & (F.col("n") == high("row", rows) * high("col", cols))).select(cells.columns)
+
+
+def eroded(mask: DataFrame, rows: int, cols: int, offsets: list[tuple[int, int]]) -> DataFrame:
+    """Erosion by any symmetric window: cells that no place outside the mask, but within the raster, has in its window."""
+    own = mask.select("row", "col").distinct()
+    outside = whole_grid(mask.sparkSession, rows, cols).join(own, ["row", "col"], "left_anti")
+    return own.join(dilate(outside, rows, cols, offsets), ["row", "col"], "left_anti")
 
 
 def closing(mask: DataFrame, rows: int, cols: int) -> DataFrame:
@@ -73,6 +84,19 @@ def focal(cells: DataFrame, weights: dict[tuple[int, int], float], value: str =
     return out.join(held, ["row", "col"], "left_semi").select("row", "col", (F.col("s") / F.nullif(F.col("w"), F.lit(0.0))).alias(value))
 
 
+def whole_grid(spark: SparkSession, rows: int, cols: int) -> DataFrame:
+    """(row, col) of every place of a raster."""
+    return spark.range(rows * cols).select(F.expr(f"id div {cols}").alias("row"), (F.col("id") % cols).alias("col"))
+
+
+def without_holes(mask: DataFrame, rows: int, cols: int, least: int = 64) -> DataFrame:
+    """The mask with every 4-connected gap of fewer than `least` cells filled."""
+    own = mask.select("row", "col").distinct()
+    gaps = components(whole_grid(mask.sparkSession, rows, cols).join(own, ["row", "col"], "left_anti"), cols)
+    small = gaps.groupBy("label").agg(F.count("*").alias("n")).where(F.col("n") < least)
+    return own.union(gaps.join(small.select("label"), "label", "left_semi").select("row", "col"))
+
+
 def gaussian_weights(sigma: float, truncate: float = 4.0) -> list[float]:
     radius = int(truncate * sigma + 0.5)
     return [math.exp(-0.5 * (k / sigma) ** 2) for k in range(-radius, radius + 1)]
@@ -87,6 +111,11 @@ def gaussian(cells: DataFrame, sigma: float) -> DataFrame:
     return cells
 
 
+def local_threshold(cells: DataFrame, offset: float = 0.0) -> DataFrame:
+    """The Gaussian mean of each cell's 3 x 3 window, less an offset."""
+    return gaussian(cells, 1 / 3).withColumn("value", F.col("value") - offset)
+
+
 def sobel(cells: DataFrame) -> DataFrame:
     """Edge magnitude sqrt((h^2 + v^2) / 2) of cells whose window is full."""
     moved = spread(cells.select("row", "col", "value"))
@@ -257,6 +286,59 @@ def margin_stats(label_a: DataFrame, label_b: DataFrame, proba: DataFrame, p: st
     return ring.join(core, "label", "left").withColumn("area_water_inside", F.coalesce("area_water_inside", F.lit(0.0)))
 
 
+def object_margins(labels: DataFrame, core: DataFrame, rows: int, cols: int) -> tuple[DataFrame, DataFrame]:
+    """(inner, ring), both (row, col, label): each object's own eroded core, and its own dilation without that.
+
+    Objects are taken one by one, so the rings of near objects may overlap.
+    """
+    inner = _full_windows(core.select("row", "col", "label").distinct(), rows, cols)
+    outer = _inside(spread(labels.select("row", "col", "label")), rows, cols).select("row", "col", "label").distinct()
+    return inner, outer.join(inner, ["row", "col", "label"], "left_anti")
+
+
+def growth(inner: DataFrame, ring: DataFrame, proba: DataFrame, factor: float = 1.0, p: str = "p") -> DataFrame:
+    """(label, lake_area, grow_area, shrink_area, grow_perc, shrink_perc) by the probabilities of each object's ring."""
+    core = inner.groupBy("label").agg(F.count("*").alias("n"))
+    sums = ring.join(proba, ["row", "col"]).groupBy("label").agg(*[(F.sum(F.col(p)[k]) * factor).alias(f"s{k}") for k in (0, 2, 3)])
+    area, start = F.coalesce("n", F.lit(0)) + F.col("s0"), F.coalesce("n", F.lit(0)) + F.col("s0") + F.col("s3")
+    return sums.join(core, "label", "left").select(
+        "label", area.alias("lake_area"), F.col("s2").alias("grow_area"), F.col("s3").alias("shrink_area"),
+        (F.try_divide("s2", start) * 100).alias("grow_perc"), (F.try_divide("s3", start) * 100).alias("shrink_perc"),
+    )
+
+
+def change_cells(label_a: DataFrame, label_b: DataFrame, proba: DataFrame, p: str = "p") -> DataFrame:
+    """(row, col, gain, loss, stable): probable gain and loss of water on margins, and water that stays on margins and cores."""
+    ring = label_b.where("label <> 0").select("row", "col").distinct().join(proba, ["row", "col"])
+    ring = ring.select("row", "col", *[F.col(p)[k].alias(f"p{k}") for k in (0, 2, 3)])
+    core = label_a.where("label <> 0").select("row", "col").distinct().withColumn("core", F.lit(1.0))
+    held = lambda c: F.coalesce(c, F.lit(0.0))
+    both = ring.join(core, ["row", "col"], "full_outer")
+    return both.select("row", "col", held("p2").alias("gain"), held("p3").alias("loss"), (held("p0") + held("core")).alias("stable"))
+
+
+def change_blocks(cells: DataFrame, size: int, metres: float = 30.0) -> DataFrame:
+    """Eight measures of change in square blocks: hectares, hectares a square kilometre, and shares of a block in per cent."""
+    hectares, km2 = metres * metres / 1e4, (size * metres / 1000) ** 2
+    share = (size * metres / 100) ** 2 / 100
+    start, end, net = F.col("stable") + F.col("loss"), F.col("stable") + F.col("gain"), F.col("gain") - F.col("loss")
+    return blocks(cells, size, "gain", "loss", "stable").select(
+        "block_row", "block_col", (net / km2 * hectares).alias("netchange"), (F.col("gain") / km2 * hectares).alias("grossgain"),
+        (F.col("loss") / km2 * hectares).alias("grossloss"), (F.col("stable") * hectares).alias("waterstable"),
+        (start * hectares).alias("area_start_ha"), (end * hectares).alias("area_end_ha"),
+        (start / share * hectares).alias("limnicity_start"), (end / share * hectares).alias("limnicity_end"),
+    )
+
+
+def upper_cluster(values: DataFrame, labels: DataFrame) -> DataFrame:
+    """Cells (row, col) of each object's bounding box that lie in the upper of its two least-squares clusters."""
+    box = labels.groupBy("label").agg(*[f(c).alias(f"{n}_{c}") for c in ("row", "col") for f, n in ((F.min, "lo"), (F.max, "hi"))])
+    lines = box.select("label", "lo_col", "hi_col", F.explode(F.sequence("lo_row", "hi_row")).alias("row"))
+    own = values.select("row", "col", "value").join(lines, "row").where(F.col("col").between(F.col("lo_col"), F.col("hi_col")))
+    own = own.select("label", "row", "col", "value")
+    return own.join(two_means(own.select("label", "value")), "label").where("value >= threshold").select("row", "col").distinct()
+
+
 def scattered(objects: DataFrame, labels: DataFrame, value: Column) -> DataFrame:
     """An attribute of the objects back on their cells; -9999 where it is null."""
     return labels.join(objects.select("label", value.alias("value")), "label", "left").select("row", "col", F.coalesce("value", F.lit(-9999.0)).alias("value"))

@@ -76,3 +76,44 @@ def stale(outputs: DataFrame, inputs: DataFrame, key: str, stamp: str = "ts") ->
 def unmet(expected: DataFrame, actual: DataFrame, keys: list[str]) -> DataFrame:
     """Expected rows that are not there yet."""
     return expected.join(actual.select(*keys).distinct(), keys, "left_anti")
+
+
+def box_union(boxes: DataFrame, *by: str) -> DataFrame:
+    """The box around all boxes of a group."""
+    ends = {"xmin": F.min, "xmax": F.max, "ymin": F.min, "ymax": F.max}
+    return boxes.groupBy(*by).agg(*[f(c).alias(c) for c, f in ends.items()])
+
+
+def newer_only(tiles: DataFrame, mosaics: DataFrame, key: str, stamp: str = "ts") -> DataFrame:
+    """Tiles that are newer than their mosaic; a mosaic that is not there counts as made in 1900."""
+    made = mosaics.groupBy(key).agg(F.max(stamp).alias("__made"))
+    old = F.coalesce("__made", F.lit("1900-01-01").cast("timestamp_ntz"))
+    return tiles.join(made, key, "left").where(F.col(stamp) > old).drop("__made")
+
+
+def _kernel(method: str, t: Column) -> list[tuple[int, Column]]:
+    """Offsets from the cell below, and their weights at a fraction t above it; cubic is the convolution with a = -1/2."""
+    if method == "nearest":
+        return [(0, F.when(t < 0.5, 1.0).otherwise(0.0)), (1, F.when(t < 0.5, 0.0).otherwise(1.0))]
+    if method == "bilinear":
+        return [(0, 1 - t), (1, t)]
+    if method == "cubic":
+        return [(-1, ((2 - t) * t - 1) * t / 2), (0, ((3 * t - 5) * t * t + 2) / 2), (1, ((4 - 3 * t) * t + 1) * t / 2), (2, (t - 1) * t * t / 2)]
+    raise ValueError(f"method is nearest, bilinear or cubic, not {method!r}")
+
+
+def resampled(targets: DataFrame, cells: DataFrame, keys: list[str], row: str, col: str, method: str = "nearest") -> DataFrame:
+    """(keys.., value) of the targets at real-valued places (row, col) of a raster, whose cells have whole ones.
+
+    Weights count over the cells that are there; a target without any has null.
+    """
+    low = {"row": F.floor(row), "col": F.floor(col)}
+    taps = [
+        F.struct((low["row"] + i).alias("row"), (low["col"] + k).alias("col"), (a * b).alias("w"))
+        for i, a in _kernel(method, F.col(row) - low["row"])
+        for k, b in _kernel(method, F.col(col) - low["col"])
+    ]
+    asked = targets.select(*keys, F.explode(F.array(*taps)).alias("t")).select(*keys, "t.*").where("w <> 0")
+    found = asked.join(cells.select("row", "col", "value"), ["row", "col"], "left").groupBy(*keys)
+    weight = F.sum(F.when(F.col("value").isNotNull(), F.col("w")))
+    return found.agg(F.try_divide(F.sum(F.col("w") * F.col("value")), F.nullif(weight, F.lit(0.0))).alias("value"))

@@ -1,4 +1,4 @@
-"""Whole pipelines: a trend image from observations, and changing objects from class probabilities."""
+"""Whole pipelines: trend images, changing objects, segments of a probability, training sets."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairnfield.functions import objects
-from cairnfield.operators import cells, scoring, series, trend
+from cairnfield.operators import cells, scoring, series, spatial, trend
 
 
 def trend_image(obs: DataFrame, pixel: list[str], mode: str = "full", reference: str = "2014-07-01", months: tuple[int, int] = (7, 8), years: tuple[int, int] = (1985, 2014)) -> DataFrame:
@@ -44,3 +44,56 @@ def changing_objects(classes: DataFrame, rows: int, cols: int, period: str, leas
     table = objects.with_shares(table).withColumn("proba", F.lit(0.0))
     table = scoring.filtered_objects(table, query)
     return objects.with_change(objects.in_degrees(objects.in_metres(objects.in_hectares(table))), period)
+
+
+def segments(classes: DataFrame, rows: int, cols: int, mode: str = "simple", target: int = 14, mask_above: float = 0.3, peaks_above: float = 0.5, sigma: float = 2.0, edge_sigma: float = 0.5, distance: int = 1, tile: int = 1024) -> DataFrame:
+    """(row, col, label): segments of classes (row, col, class, value), value being the probability of the class sought.
+
+    simple: cells of the class. local_kmeans: the upper of two clusters around each smoothed object of four cells or
+    more. local_threshold: cells whose local threshold is positive. local_thresh_edge: strong edges, closed and opened,
+    holes filled. watershed2, watershed3, watershed: cells over mask_above, flooded from peaks of the smoothed value
+    over edges, over edges with compactness 1, or down from the peaks with compactness 0.5, within tiles; 0 is unreached.
+    """
+    value = classes.select("row", "col", "value")
+    if mode == "simple":
+        return cells.components(classes.where(F.col("class") == target), cols)
+    if mode == "local_threshold":
+        return cells.components(cells.local_threshold(value, 0.3).where("value > 0"), cols)
+    if mode == "local_thresh_edge":
+        surface = cells.local_threshold(cells.sobel(value))
+        mask = surface.where(F.col("value") > (cells.yen(surface).first()[0] or 0.0))
+        mask = cells.eroded(cells.dilate(mask, rows, cols, cells.CROSS), rows, cols, cells.CROSS)
+        mask = cells.dilate(cells.eroded(mask, rows, cols, cells.CROSS), rows, cols, cells.CROSS)
+        return cells.components(cells.without_holes(mask, rows, cols), cols)
+    smooth = cells.gaussian(value, sigma)
+    if mode == "local_kmeans":
+        labels = cells.without_small(cells.components(smooth.where(F.col("value") > mask_above), cols, diagonal=True), 4)
+        return cells.components(cells.upper_cluster(smooth, labels), cols)
+    if mode not in ("watershed2", "watershed3", "watershed"):
+        raise ValueError(f"no mode {mode!r}")
+    edges = cells.sobel(smooth if mode == "watershed2" else cells.gaussian(value, edge_sigma))
+    surface = smooth.withColumn("value", -F.col("value")) if mode == "watershed" else edges
+    radius = 3 if mode == "watershed2" else distance
+    peaks = cells.components(cells.local_maxima(smooth, peaks_above, radius), cols, diagonal=True).withColumn("marker", F.col("label") + 1)
+    held = value.where(F.col("value") > mask_above if mode == "watershed2" else F.col("value") >= mask_above).select("row", "col")
+    held = held.join(surface, ["row", "col"], "left").join(peaks.select("row", "col", "marker"), ["row", "col"], "left")
+    held = held.withColumn("value", F.coalesce("value", F.lit(0.0)))
+    held = held.withColumn("tile", F.expr(f"(row div {tile}) * {-(-cols // tile)} + col div {tile}"))
+    compact = {"watershed2": 0.0, "watershed3": 1.0, "watershed": 0.5}[mode]
+    return scoring.watershed(held, compactness=compact).select("row", "col", "label")
+
+
+def training_set(points: DataFrame, boxes: DataFrame, layers: dict[str, DataFrame], x0: float, y0: float, size: float, bin_size: float, zone: str) -> DataFrame:
+    """Distinct points (.., x, y) that lie in exactly one box, with the layers' values at their cells and the zone's name.
+
+    A layer that is called <index>_ciu and one that is called <index>_cil also give <index>_cirange, their difference.
+    """
+    found = spatial.in_boxes(points, boxes, "x", "y", bin_size)
+    box = F.struct(*boxes.columns)
+    held = found.groupBy(*points.columns).agg(F.min(box).alias("__box"), F.max(box).alias("__last")).where("__box = __last")
+    held = held.select(*points.columns, "__box.*")
+    for name, layer in layers.items():
+        held = spatial.sampled(held, layer.select("row", "col", F.col("value").alias(name)), "x", "y", x0, y0, size)
+    for name in [n.removesuffix("_ciu") for n in layers if n.endswith("_ciu") and n.removesuffix("u") + "l" in layers]:
+        held = held.withColumn(f"{name}_cirange", F.col(f"{name}_ciu") - F.col(f"{name}_cil"))
+    return held.withColumn("zone", F.lit(zone))

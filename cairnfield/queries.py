@@ -11,9 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnfield.functions import objects, scene_names, spectral
+from cairnfield.functions import objects, projection, scene_names, spectral
 from cairnfield.operators import breakpoints as bp
 from cairnfield.operators import cells, scoring, series, spatial, trend
+from cairnfield.plans import pipelines
+from cairnfield.sources import manifest, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -650,3 +652,242 @@ def class_scoring(spark, sf_dir):
 
     d = scenes(spark, sf_dir).select("vec_id", *[F.col("b")[k].alias(f"b{k}") for k in range(3)])
     return scoring.classified(d, ["b0", "b1", "b2"], [1, 12, 21], softmax).select("vec_id", "class", F.round("confidence", 9).alias("confidence"))
+
+
+# --- more of rasters and objects ------------------------------------------------------------------------------------
+
+CROSS_SQL = "(VALUES (0, 0), (-1, 0), (1, 0), (0, -1), (0, 1)) o(i, k)"
+INSIDE_SQL = f"row BETWEEN 0 AND (SELECT nr - 1 FROM ({SIZE_SQL})) AND col BETWEEN 0 AND {COLS - 1}"
+
+
+def _spread_sql(source: str, offsets: str = OFF_SQL) -> str:
+    return f"SELECT * FROM (SELECT DISTINCT s.row + i AS row, s.col + k AS col FROM {source} s, {offsets}) WHERE {INSIDE_SQL}"
+
+
+def _rest_sql(source: str) -> str:
+    return f"SELECT g.row, g.col FROM g LEFT JOIN {source} m ON m.row = g.row AND m.col = g.col WHERE m.row IS NULL"
+
+
+@query("closing3", f"WITH g AS ({GRID_SQL}), d AS ({DILATE_SQL}), e AS ({_rest_sql('d')}), x AS ({_spread_sql('e')}) SELECT d.row, d.col FROM d LEFT JOIN x ON x.row = d.row AND x.col = d.col WHERE x.row IS NULL")
+def closing3(spark, sf_dir):
+    return cells.closing(mask(spark, sf_dir), n_rows(spark, sf_dir), COLS)
+
+
+@query("opening_cross", f"""WITH g AS ({GRID_SQL}), m AS (SELECT row, col FROM g WHERE value > -0.1), e AS ({_rest_sql('m')}), x AS ({_spread_sql('e', CROSS_SQL)}),
+s AS (SELECT m.row, m.col FROM m LEFT JOIN x ON x.row = m.row AND x.col = m.col WHERE x.row IS NULL) {_spread_sql('s', CROSS_SQL)}""")
+def opening_cross(spark, sf_dir):
+    n = n_rows(spark, sf_dir)
+    inner = cells.eroded(grid(spark, sf_dir).where("value > -0.1"), n, COLS, cells.CROSS)
+    return cells.dilate(inner, n, COLS, cells.CROSS)
+
+
+@query("fill_holes", _label_sql(False).replace(f"m AS ({MASK_SQL})", f"m AS (SELECT row, col FROM ({GRID_SQL}) WHERE value <= -0.1)", 1) + f""",
+small AS (SELECT label FROM l GROUP BY label HAVING count(*) < 4)
+SELECT row, col FROM ({GRID_SQL}) WHERE value > -0.1 UNION ALL SELECT row, col FROM l WHERE label IN (SELECT label FROM small)""")
+def fill_holes(spark, sf_dir):
+    return cells.without_holes(grid(spark, sf_dir).where("value > -0.1"), n_rows(spark, sf_dir), COLS, 4)
+
+
+@query("local_threshold", _gauss_sql(1 / 3).replace("round(sum(w * h.value) / sum(w), 9)", "round(sum(w * h.value) / sum(w) - 0.05, 9)"))
+def local_threshold(spark, sf_dir):
+    return cells.local_threshold(grid(spark, sf_dir), 0.05).withColumn("value", F.round("value", 9))
+
+
+@query("objects_off_nodata", _label_sql(False) + f""", near AS ({_spread_sql(f"(SELECT row, col FROM ({GRID_SQL}) WHERE value < -0.3)", CROSS_SQL)}),
+bad AS (SELECT DISTINCT label FROM l JOIN near USING (row, col) UNION SELECT label FROM l, ({SIZE_SQL}) s WHERE row = 0 OR row = nr - 1 OR col = 0 OR col = {COLS - 1})
+SELECT row, col, label FROM l WHERE label NOT IN (SELECT label FROM bad)""")
+def objects_off_nodata(spark, sf_dir):
+    nodata = grid(spark, sf_dir).where("value < -0.3").select("row", "col")
+    return cells.without_border_or(cells.components(mask(spark, sf_dir), COLS), nodata, n_rows(spark, sf_dir), COLS)
+
+
+@query("wanted_labels", _label_sql(False) + ", w AS (SELECT label FROM l GROUP BY label HAVING count(*) >= 3) SELECT row, col, CASE WHEN label IN (SELECT label FROM w) THEN label ELSE 0 END AS label FROM l")
+def wanted_labels(spark, sf_dir):
+    labels = cells.components(mask(spark, sf_dir), COLS)
+    return cells.kept_labels(labels, labels.groupBy("label").agg(F.count("*").alias("n")).where("n >= 3"))
+
+
+@query("scatter_attribute", _label_sql(False) + ", a AS (SELECT label, count(*) AS n FROM l GROUP BY label) SELECT row, col, CASE WHEN n > 2 THEN n * 0.09::DOUBLE ELSE -9999 END AS value FROM l JOIN a USING (label)")
+def scatter_attribute(spark, sf_dir):
+    labels = cells.components(mask(spark, sf_dir), COLS)
+    table_ = labels.groupBy("label").agg(F.count("*").alias("n"))
+    return cells.scattered(table_, labels, F.when(F.col("n") > 2, F.col("n") * 0.09))
+
+
+@query("object_polygons", _label_sql(False) + """, runs AS (SELECT label, row, col - row_number() OVER (PARTITION BY label, row ORDER BY col) AS island, col FROM l),
+s AS (SELECT label, row, min(col) AS a, max(col) + 1 AS b FROM runs GROUP BY label, row, island),
+t AS (SELECT label, format('(({} {}, {} {}, {} {}, {} {}, {} {}))', a, row, b, row, b, row + 1, a, row + 1, a, row) AS ring FROM s)
+SELECT label, 'MULTIPOLYGON (' || string_agg(ring, ', ' ORDER BY ring) || ')' AS geometry FROM t GROUP BY label""")
+def object_polygons(spark, sf_dir):
+    return sinks.cell_polygons(cells.components(mask(spark, sf_dir), COLS))
+
+
+PROBA_SQL = f"SELECT row, col, abs(value) AS p0, abs(value) / 2 AS p2, abs(value) / 4 AS p3, value FROM ({GRID_SQL})"
+
+
+def probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = F.abs("value")
+    return grid(spark, sf_dir).select("row", "col", F.array(v, F.lit(0.0), v / 2, v / 4).alias("p"), "value")
+
+
+@query("object_growth", _label_sql(False) + f""", core AS (SELECT l.* FROM l JOIN ({GRID_SQL}) g ON g.row = l.row AND g.col = l.col WHERE g.value > 0.11),
+own AS (SELECT row + i AS row, col + k AS col, label, count(*) AS n FROM core, {OFF_SQL} GROUP BY 1, 2, 3),
+inn AS (SELECT c.* FROM core c JOIN own o USING (row, col, label), ({SIZE_SQL}) s WHERE n = (3 - CAST(row = 0 AS INT) - CAST(row = nr - 1 AS INT)) * (3 - CAST(col = 0 AS INT) - CAST(col = {COLS - 1} AS INT))),
+outer_ AS (SELECT * FROM (SELECT DISTINCT row + i AS row, col + k AS col, label FROM l, {OFF_SQL}) WHERE {INSIDE_SQL}),
+ring AS (SELECT o.* FROM outer_ o LEFT JOIN inn x ON x.row = o.row AND x.col = o.col AND x.label = o.label WHERE x.row IS NULL),
+t AS (SELECT label, sum(p0) AS s0, sum(p2) AS s2, sum(p3) AS s3 FROM ring JOIN ({PROBA_SQL}) USING (row, col) GROUP BY label),
+n AS (SELECT label, count(*) AS n FROM inn GROUP BY label)
+SELECT label, round(coalesce(n, 0) + s0, 6) AS lake_area, round(s2, 6) AS grow_area, round(s3, 6) AS shrink_area, round(s2 / nullif(coalesce(n, 0) + s0 + s3, 0) * 100, 6) AS grow_perc, round(s3 / nullif(coalesce(n, 0) + s0 + s3, 0) * 100, 6) AS shrink_perc FROM t LEFT JOIN n USING (label)""")
+def object_growth(spark, sf_dir):
+    n, p = n_rows(spark, sf_dir), probabilities(spark, sf_dir)
+    labels = cells.components(mask(spark, sf_dir), COLS)
+    core = labels.join(p.where("value > 0.11").select("row", "col"), ["row", "col"], "left_semi")
+    return _rounded(cells.growth(*cells.object_margins(labels, core, n, COLS), p))
+
+
+MARGIN_SQL = _label_sql(False) + f""", g AS ({GRID_SQL}), core AS (SELECT row, col FROM g WHERE value > 0.11), rest AS ({_rest_sql("core")}), near AS ({_spread_sql("rest")}),
+inn AS (SELECT c.row, c.col FROM core c LEFT JOIN near x ON x.row = c.row AND x.col = c.col WHERE x.row IS NULL),
+la AS (SELECT l.* FROM l JOIN inn USING (row, col)),
+lb AS (SELECT d.* FROM (SELECT row + i AS row, col + k AS col, max(label) AS label FROM l, {OFF_SQL} GROUP BY 1, 2) d LEFT JOIN inn x ON x.row = d.row AND x.col = d.col WHERE x.row IS NULL AND d.{INSIDE_SQL.replace(" AND col", " AND d.col")})"""
+
+
+def margin_labels(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    m = mask(spark, sf_dir)
+    core = grid(spark, sf_dir).where("value > 0.11").select("row", "col")
+    return cells.margins(m, core, cells.components(m, COLS), n_rows(spark, sf_dir), COLS)
+
+
+@query("margin_stats", MARGIN_SQL + f""" SELECT b.label, round(s0, 6) AS area_water_steady, round(s2, 6) AS area_wgain, round(s3, 6) AS area_wloss, coalesce(a.n, 0)::DOUBLE AS area_water_inside
+FROM (SELECT label, sum(p0) AS s0, sum(p2) AS s2, sum(p3) AS s3 FROM lb JOIN ({PROBA_SQL}) USING (row, col) GROUP BY label) b LEFT JOIN (SELECT label, count(*) AS n FROM la GROUP BY label) a USING (label)""")
+def margin_stats(spark, sf_dir):
+    return _rounded(cells.margin_stats(*margin_labels(spark, sf_dir), probabilities(spark, sf_dir)))
+
+
+@query("change_blocks", MARGIN_SQL + f""", c AS (SELECT coalesce(b.row, a.row) AS row, coalesce(b.col, a.col) AS col, coalesce(p2, 0) AS gain, coalesce(p3, 0) AS loss, coalesce(p0, 0) + CASE WHEN a.row IS NULL THEN 0 ELSE 1 END AS stable
+  FROM (SELECT row, col, p0, p2, p3 FROM (SELECT DISTINCT row, col FROM lb WHERE label <> 0) JOIN ({PROBA_SQL}) USING (row, col)) b FULL JOIN (SELECT DISTINCT row, col FROM la WHERE label <> 0) a ON a.row = b.row AND a.col = b.col),
+t AS (SELECT row // 25 AS block_row, col // 25 AS block_col, sum(gain) AS gain, sum(loss) AS loss, sum(stable) AS stable FROM c GROUP BY 1, 2)
+SELECT block_row, block_col, round((gain - loss) / 0.5625::DOUBLE * 0.09::DOUBLE, 6) AS netchange, round(gain / 0.5625::DOUBLE * 0.09::DOUBLE, 6) AS grossgain, round(loss / 0.5625::DOUBLE * 0.09::DOUBLE, 6) AS grossloss, round(stable * 0.09::DOUBLE, 6) AS waterstable,
+  round((stable + loss) * 0.09::DOUBLE, 6) AS area_start_ha, round((stable + gain) * 0.09::DOUBLE, 6) AS area_end_ha, round((stable + loss) / 0.5625::DOUBLE * 0.09::DOUBLE, 6) AS limnicity_start, round((stable + gain) / 0.5625::DOUBLE * 0.09::DOUBLE, 6) AS limnicity_end FROM t""")
+def change_blocks(spark, sf_dir):
+    return _rounded(cells.change_blocks(cells.change_cells(*margin_labels(spark, sf_dir), probabilities(spark, sf_dir)), 25))
+
+
+@query("segments_threshold", _label_sql(False) + " SELECT row, col, label FROM l")
+def segments_threshold(spark, sf_dir):
+    classes = grid(spark, sf_dir).withColumn("class", F.when(F.col("value") > THRESHOLD, 14).otherwise(0))
+    return pipelines.segments(classes, n_rows(spark, sf_dir), COLS, "simple")
+
+
+@query("segments_watershed")
+def segments_watershed(spark, sf_dir):
+    classes = grid(spark, sf_dir).withColumn("class", F.lit(0))
+    return pipelines.segments(classes, n_rows(spark, sf_dir), COLS, "watershed", mask_above=-0.2, peaks_above=0.02, sigma=1.0)
+
+
+@query("object_solidity")
+def object_solidity(spark, sf_dir):
+    out = scoring.solidity(cells.components(mask(spark, sf_dir), COLS, diagonal=True))
+    return out.select("label", "area", "convex_area", F.round("solidity", 9).alias("solidity"))
+
+
+# --- places and resampling ------------------------------------------------------------------------------------------
+
+
+def _utm_sql() -> str:
+    sine, turn = "sin(radians(lat))", f"radians(lon - {projection.central_meridian(8)})"
+    east = "".join(f" + {a!r}::DOUBLE * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, a in enumerate(projection.ALPHA, 1))
+    north = "".join(f" + {a!r}::DOUBLE * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, a in enumerate(projection.ALPHA, 1))
+    return f"""SELECT c_custkey, round(500000 + {projection.RADIUS!r}::DOUBLE * (eta{east}), 3) AS easting, round({projection.RADIUS!r}::DOUBLE * (xi{north}), 3) AS northing, round(lon, 7) AS lon, round(lat, 7) AS lat
+FROM (SELECT *, atan2(t, cos(turn)) AS xi, atanh(sin(turn) / sqrt(1 + t * t)) AS eta
+FROM (SELECT *, sinh(atanh({sine}) - {projection.ROOT!r}::DOUBLE * atanh({projection.ROOT!r}::DOUBLE * {sine})) AS t, {turn} AS turn
+FROM (SELECT c_custkey, -138 + c_acctbal / 4000 AS lon, 60 + c_nationkey * 0.5::DOUBLE AS lat FROM customer)))"""
+
+
+@query("utm_round_trip", _utm_sql())
+def utm_round_trip(spark, sf_dir):
+    d = table(spark, sf_dir, "customer").select("c_custkey", (F.lit(-138.0) + F.col("c_acctbal") / 4000).alias("lon"), (F.lit(60.0) + F.col("c_nationkey") * 0.5).alias("lat"))
+    x, y = projection.to_utm(F.col("lon"), F.col("lat"), 8)
+    d = d.select("c_custkey", x.alias("easting"), y.alias("northing"))
+    lon, lat = projection.from_utm(F.col("easting"), F.col("northing"), 8)
+    return d.select("c_custkey", F.round("easting", 3).alias("easting"), F.round("northing", 3).alias("northing"), F.round(lon, 7).alias("lon"), F.round(lat, 7).alias("lat"))
+
+
+TARGET_SQL = f"SELECT row AS r, col AS c, row * 1.3::DOUBLE + 0.27 AS v, col * 0.7::DOUBLE + 0.43 AS u FROM ({GRID_SQL}) WHERE row % 2 = 0"
+
+
+def _resample_query(method: str) -> None:
+    one = {
+        "nearest": "CASE WHEN d <= 0.5 AND d > -0.5 THEN 1.0::DOUBLE ELSE 0 END",
+        "bilinear": "greatest(1 - abs(d), 0)",
+        "cubic": "CASE WHEN abs(d) < 1 THEN (1.5::DOUBLE * abs(d) - 2.5::DOUBLE) * d * d + 1 WHEN abs(d) < 2 THEN ((-0.5::DOUBLE * abs(d) + 2.5::DOUBLE) * abs(d) - 4) * abs(d) + 2 ELSE 0 END",
+    }[method]
+    weights = [one.replace("d)", f"({x} - g.{y}))").replace("* d ", f"* ({x} - g.{y}) ").replace("d <", f"({x} - g.{y}) <").replace("d >", f"({x} - g.{y}) >") for x, y in (("v", "row"), ("u", "col"))]
+    w = f"({weights[0]}) * ({weights[1]})"
+
+    @query(f"resample_{method}", f"""SELECT t.r, t.c, round(sum(w * value) / nullif(sum(w), 0), 7) AS value FROM ({TARGET_SQL}) t LEFT JOIN (
+SELECT t.r, t.c, {w} AS w, g.value FROM ({TARGET_SQL}) t JOIN ({GRID_SQL}) g ON g.row BETWEEN CAST(floor(v) AS BIGINT) - 1 AND CAST(floor(v) AS BIGINT) + 2 AND g.col BETWEEN CAST(floor(u) AS BIGINT) - 1 AND CAST(floor(u) AS BIGINT) + 2) x
+ON x.r = t.r AND x.c = t.c AND w <> 0 GROUP BY t.r, t.c""")
+    def run(spark, sf_dir):
+        g = grid(spark, sf_dir)
+        t = g.where("row % 2 = 0").select(F.col("row").alias("r"), F.col("col").alias("c"), (F.col("row") * 1.3 + 0.27).alias("v"), (F.col("col") * 0.7 + 0.43).alias("u"))
+        return spatial.resampled(t, g, ["r", "c"], "v", "u", method).withColumn("value", F.round("value", 7))
+
+
+for _method in ("nearest", "bilinear", "cubic"):
+    _resample_query(_method)
+
+
+@query("box_union", "SELECT c_nationkey, min(c_acctbal) AS xmin, max(c_acctbal + 10) AS xmax, min(c_custkey) AS ymin, max(c_custkey + 5) AS ymax FROM customer GROUP BY 1")
+def box_union(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    b = c.select("c_nationkey", F.col("c_acctbal").alias("xmin"), (F.col("c_acctbal") + 10).alias("xmax"), F.col("c_custkey").alias("ymin"), (F.col("c_custkey") + 5).alias("ymax"))
+    return spatial.box_union(b, "c_nationkey")
+
+
+@query("newer_tiles", "SELECT l_orderkey, l_linenumber FROM lineitem LEFT JOIN (SELECT o_orderkey, max(o_orderdate) AS made FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY 1) ON o_orderkey = l_orderkey WHERE l_shipdate > coalesce(made + INTERVAL 60 DAY, TIMESTAMP '1900-01-01')")
+def newer_tiles(spark, sf_dir):
+    tiles = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), "l_linenumber", F.col("l_shipdate").cast("timestamp_ntz").alias("ts"))
+    made = table(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("k"), (F.col("o_orderdate").cast("timestamp_ntz") + F.expr("interval 60 days")).alias("ts"))
+    return spatial.newer_only(tiles, made, "k").select(F.col("k").alias("l_orderkey"), "l_linenumber")
+
+
+@query("training_points", f"""WITH g AS ({GRID_SQL}), b AS (SELECT *, s_suppkey % 5 AS k FROM supplier),
+box AS (SELECT s_nationkey AS cell, 400.0 * s_nationkey AS xmin, 400.0 * s_nationkey + 500 AS xmax, 0.0 AS ymin, 20.0 AS ymax FROM (SELECT DISTINCT s_nationkey FROM supplier)),
+p AS (SELECT c_custkey AS id, c_acctbal AS x, CAST(c_nationkey AS DOUBLE) AS y FROM customer),
+f AS (SELECT id, any_value(x) AS x, any_value(y) AS y, min(cell) AS cell FROM p JOIN box ON x >= xmin AND x < xmax AND y >= ymin AND y < ymax GROUP BY id HAVING count(*) = 1)
+SELECT id, cell, round(a.value, 9) AS ndvi_ciu, round(-a.value, 9) AS ndvi_cil, round(a.value + a.value, 9) AS ndvi_cirange, 'Z056' AS zone FROM f LEFT JOIN g a ON a.col = CAST(floor(x / 200) AS BIGINT) AND a.row = CAST(floor((2000 - y) / 200) AS BIGINT)""")
+def training_points(spark, sf_dir):
+    g = grid(spark, sf_dir)
+    i = F.col("s_nationkey") * 400.0
+    boxes = table(spark, sf_dir, "supplier").select("s_nationkey").distinct().select(F.col("s_nationkey").alias("cell"), i.alias("xmin"), (i + 500).alias("xmax"), F.lit(0.0).alias("ymin"), F.lit(20.0).alias("ymax"))
+    points = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("x"), F.col("c_nationkey").cast("double").alias("y"))
+    out = pipelines.training_set(points, boxes, {"ndvi_ciu": g, "ndvi_cil": g.withColumn("value", -F.col("value"))}, 0.0, 2000.0, 200.0, 500.0, "Z056")
+    return _rounded9(out.select("id", "cell", "ndvi_ciu", "ndvi_cil", "ndvi_cirange", "zone"))
+
+
+@query("first_scene", "SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders o WHERE o_orderdate = (SELECT min(o_orderdate) FROM orders x WHERE x.o_custkey = o.o_custkey) GROUP BY 1")
+def first_scene(spark, sf_dir):
+    first = F.min_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("o_orderkey")
+    return table(spark, sf_dir, "orders").groupBy("o_custkey").agg(first)
+
+
+@query("stage_report", "SELECT 'warp' AS stage, count(*) FILTER (WHERE o_orderstatus = 'F') AS finished, count(*) FILTER (WHERE o_orderstatus <> 'F' OR o_orderstatus IS NULL) AS failed FROM orders")
+def stage_report(spark, sf_dir):
+    return manifest.report(table(spark, sf_dir, "orders").withColumn("ok", F.col("o_orderstatus") == "F"), "warp", "ok")
+
+
+@query("masked_rgb", f"SELECT vec_id, CASE WHEN label % 2 > 0 THEN greatest(red, 1) ELSE 0 END AS red FROM (SELECT e.vec_id, label, CAST(least(greatest(round_even((b[1] - 1 + 0.12) / 0.24 * 254 + 1, 0), 0), 255) AS INT) AS red FROM ({BANDS_SQL}) b JOIN embeddings e ON e.vec_id = b.vec_id)")
+def masked_rgb(spark, sf_dir):
+    label = table(spark, sf_dir, "embeddings").select("vec_id", "label")
+    d = scenes(spark, sf_dir).join(label, "vec_id")
+    return d.select("vec_id", spectral.masked_byte(spectral.to_byte_range(F.col("b")[0] - 1), F.col("label") % 2).alias("red"))
+
+
+@query("point_text", "SELECT s_suppkey, 'POINT (' || s_suppkey || ' ' || s_nationkey || ')' AS wkt, CAST(TIMESTAMP '1900-01-01' + to_hours(s_suppkey * 1000) AS VARCHAR) AS at, CAST(s_suppkey AS DOUBLE) AS ulx, CAST(s_nationkey + 9 AS DOUBLE) AS uly, CAST(s_suppkey + 7 AS DOUBLE) AS lrx, CAST(s_nationkey AS DOUBLE) AS lry FROM supplier")
+def point_text(spark, sf_dir):
+    x, y = F.col("s_suppkey"), F.col("s_nationkey")
+    ring = F.format_string('{"type":"Polygon","coordinates":[[[%d,%d],[%d,%d],[%d,%d],[%d,%d],[%d,%d]]]}', x, y + 9, x + 7, y + 9, x + 7, y, x, y, x, y + 9)
+    corners = scene_names.ring_corners(ring)
+    names_ = ("ulx", "uly", "lrx", "lry")
+    at = scene_names.hours_since_1900(x * 1000).cast("string")
+    return table(spark, sf_dir, "supplier").select("s_suppkey", scene_names.point_wkt(x, y).alias("wkt"), at.alias("at"), *[c.alias(n) for c, n in zip(corners, names_, strict=True)])
