@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cairnfield.operators import cells, scoring
-from cairnfield.plans.pipelines import changing_objects
+from cairnfield.plans.pipelines import changing_objects, segments
 
 ROWS, COLS = 14, 17
 
@@ -138,3 +138,34 @@ def test_changing_objects(spark):
     got = changing_objects(classes, 20, 20, "2000-2020").collect()
     assert len(got) == 1 and got[0].area == pytest.approx(42 * 0.09)
     assert got[0].netchange_ha > 0 and got[0].changerate_net == pytest.approx(got[0].netchange_ha * 1e4 / got[0].perimeter / 20)
+
+
+def test_compact_flooding_parts_halfway():
+    surface, markers = np.zeros((1, 7)), np.zeros((1, 7), int)
+    markers[0, 0], markers[0, 6] = 1, 2
+    got = scoring.flood(surface, markers, np.ones((1, 7), bool), compactness=1.0)[0]
+    assert list(got[:3]) == [1, 1, 1] and list(got[4:]) == [2, 2, 2]
+
+
+def test_holes(spark, noise):
+    m = noise > 0.35
+    gaps = label(~m, False)
+    want = m | np.isin(gaps, [x for x in np.unique(gaps[~m]) if (gaps == x).sum() < 4])
+    assert places(cells.without_holes(frame(spark, np.where(m, noise, np.nan)), ROWS, COLS, 4)) == set(zip(*np.nonzero(want)))
+
+
+@pytest.mark.parametrize("mode", ["simple", "local_kmeans", "local_threshold", "local_thresh_edge", "watershed2", "watershed3", "watershed"])
+def test_segments_part_two_humps(spark, mode):
+    r, c = np.mgrid[0:24, 0:40]
+    hump = lambda a, b: np.exp(-((r - a) ** 2 + (c - b) ** 2) / 18)
+    grid = np.maximum(hump(12, 10), hump(12, 28))
+    classes = frame(spark, grid).withColumn("class", F.when(F.col("value") > 0.5, 14).otherwise(1))
+    got = {(x["row"], x["col"]): x.label for x in segments(classes, 24, 40, mode, sigma=1.0).collect()}
+    if mode != "local_thresh_edge":  # whose segments are the humps' rims
+        assert got[12, 10] and got[12, 28] and got[12, 10] != got[12, 28] and got[11, 11] == got[12, 10]
+    assert 0 < len(got) < grid.size
+
+
+def test_segments_know_their_modes(spark, noise):
+    with pytest.raises(ValueError):
+        segments(frame(spark, noise), ROWS, COLS, "none")
