@@ -74,9 +74,9 @@ def watershed(cells: DataFrame, tile: str = "tile", compactness: float = 0.0) ->
     return cells.select(F.col(tile).cast("long"), F.col("row").cast("long"), F.col("col").cast("long"), "value", "marker").groupBy(tile).applyInPandas(one, kind)
 
 
-def hull_area(rows: np.ndarray, cols: np.ndarray) -> float:
-    """Area of the convex hull of unit cells."""
-    points = sorted({(float(r + i), float(c + k)) for r, c in zip(rows, cols, strict=True) for i in (0, 1) for k in (0, 1)})
+def hull(rows: np.ndarray, cols: np.ndarray) -> tuple[float, float, float]:
+    """(area, row, col) of the convex hull of unit cells and of its centroid, in the cells' own coordinates."""
+    points = sorted({(float(r + i), float(c + k)) for r, c in zip(rows, cols, strict=True) for i in (-0.5, 0.5) for k in (-0.5, 0.5)})
 
     def chain(seq: list) -> list:
         out: list = []
@@ -86,18 +86,25 @@ def hull_area(rows: np.ndarray, cols: np.ndarray) -> float:
             out.append(p)
         return out[:-1]
 
-    ring = chain(points) + chain(points[::-1])
-    return abs(sum(a[0] * b[1] - a[1] * b[0] for a, b in zip(ring, ring[1:] + ring[:1], strict=True))) / 2
+    ring = np.array(chain(points) + chain(points[::-1]))
+    following = np.roll(ring, -1, 0)
+    cross = ring[:, 0] * following[:, 1] - following[:, 0] * ring[:, 1]
+    area = cross.sum() / 2
+    row, col = ((ring + following) * cross[:, None]).sum(0) / (6 * area)
+    return abs(float(area)), float(row), float(col)
 
 
 def solidity(labels: DataFrame) -> DataFrame:
-    """(label, area, convex_area, solidity); only the ends of an object's rows go to its task, as they fix the hull."""
+    """(label, area, convex_area, solidity, hull_row, hull_col): the convex hull's area and centroid.
+
+    Only the ends of an object's rows go to its task, as they fix the hull.
+    """
     ends = labels.groupBy("label", "row").agg(F.min("col").alias("first"), F.max("col").alias("last"), F.count("*").alias("n"))
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = np.concatenate([pdf["row"], pdf["row"]])
-        hull = hull_area(rows, np.concatenate([pdf["first"], pdf["last"]]))
+        area, row, col = hull(rows, np.concatenate([pdf["first"], pdf["last"]]))
         n = int(pdf["n"].sum())
-        return pd.DataFrame({"label": pdf["label"].iloc[:1], "area": [n], "convex_area": [hull], "solidity": [n / hull]})
+        return pd.DataFrame({"label": pdf["label"].iloc[:1], "area": [n], "convex_area": [area], "solidity": [n / area], "hull_row": [row], "hull_col": [col]})
 
-    return ends.groupBy("label").applyInPandas(one, "label long, area long, convex_area double, solidity double")
+    return ends.groupBy("label").applyInPandas(one, "label long, area long, convex_area double, solidity double, hull_row double, hull_col double")

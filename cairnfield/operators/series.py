@@ -38,3 +38,8 @@ def pairs_aggregated(obs: DataFrame, number: str, temperature: str, precipitatio
     """Mean of every two temperatures (in °C) and sum of every two precipitations (as a month's total)."""
     pair = F.floor(F.col(number) / 2).alias("pair")
     return obs.groupBy(pair).agg((F.avg(temperature) - 273.15).alias("t2m"), (F.sum(precipitation) * 30 * 10000).alias("tp"))
+
+
+def at_point(obs: DataFrame, x: float, y: float, x0: float, y0: float, size: float) -> DataFrame:
+    """The series of the cell (row, col) that holds a place, for a raster with its upper left corner at (x0, y0)."""
+    return obs.where((F.col("col") == int((x - x0) // size)) & (F.col("row") == int((y0 - y) // size)))

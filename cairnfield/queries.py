@@ -654,6 +654,12 @@ def class_scoring(spark, sf_dir):
     return scoring.classified(d, ["b0", "b1", "b2"], [1, 12, 21], softmax).select("vec_id", "class", F.round("confidence", 9).alias("confidence"))
 
 
+@query("point_series", f"SELECT l_shipdate, value FROM (SELECT l_suppkey AS row, l_linenumber AS col, CAST(l_shipdate AS DATE)::VARCHAR AS l_shipdate, l_quantity AS value FROM lineitem) WHERE row = 7 AND col = 3")
+def point_series(spark, sf_dir):
+    d = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("row"), F.col("l_linenumber").alias("col"), F.to_date("l_shipdate").cast("string").alias("l_shipdate"), F.col("l_quantity").alias("value"))
+    return series.at_point(d, 1105.0, 7770.0, 1000.0, 8000.0, 30.0).select("l_shipdate", "value")
+
+
 # --- more of rasters and objects ------------------------------------------------------------------------------------
 
 CROSS_SQL = "(VALUES (0, 0), (-1, 0), (1, 0), (0, -1), (0, 1)) o(i, k)"
@@ -787,7 +793,7 @@ def segments_watershed(spark, sf_dir):
 @query("object_solidity")
 def object_solidity(spark, sf_dir):
     out = scoring.solidity(cells.components(mask(spark, sf_dir), COLS, diagonal=True))
-    return out.select("label", "area", "convex_area", F.round("solidity", 9).alias("solidity"))
+    return _rounded9(out)
 
 
 # --- places and resampling ------------------------------------------------------------------------------------------

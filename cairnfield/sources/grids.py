@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
@@ -48,6 +49,25 @@ class GridReader(DataSourceReader):
             yield partition.path, int(r) + partition.row, int(c) + partition.col, [None if np.isnan(x) else float(x) / self.factor for x in part[:, r, c]]
 
 
+def headers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, bands, rows, cols) of raster files; their cells are not read, files that cannot be opened have nulls."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pandas as pd
+
+        for batch in batches:
+            out = []
+            for p in batch["path"]:
+                try:
+                    shape = np.load(p, mmap_mode="r").shape
+                    out.append((p, shape[0] if len(shape) == 3 else 1, *shape[-2:]))
+                except (OSError, ValueError):
+                    out.append((p, None, None, None))
+            yield pd.DataFrame(out, columns=["path", "bands", "rows", "cols"])
+
+    return spark.createDataFrame([(p,) for p in paths], "path string").mapInPandas(run, "path string, bands int, rows int, cols int")
+
+
 class GridSource(DataSource):
     @classmethod
     def name(cls) -> str:

@@ -43,3 +43,24 @@ def archives(files: DataFrame) -> DataFrame:
 def report(items: DataFrame, stage: str, ok: str) -> DataFrame:
     """Number of finished and failed items of a stage."""
     return items.groupBy(F.lit(stage).alias("stage")).agg(F.count_if(F.col(ok)).alias("finished"), F.count_if(~F.coalesce(F.col(ok), F.lit(False))).alias("failed"))
+
+
+def folders(files: DataFrame) -> DataFrame:
+    """(folder, n_files): the names of the folders that hold the listed files."""
+    return files.groupBy(F.element_at(F.split("filepath", "/"), -2).alias("folder")).agg(F.count("*").alias("n_files"))
+
+
+def readiness(files: DataFrame, bands: int = 6) -> DataFrame:
+    """For each folder, whether it has one metadata file, a mask (and of which kind) and all band files of a scene.
+
+    The older mask is taken where both kinds are there.
+    """
+    name = F.lower("basename")
+    meta = name.endswith(".xml") & ~name.contains(".aux.")
+    count = lambda c: F.count_if(c)
+    out = files.groupBy(F.regexp_extract("filepath", r"^(.*)/[^/]*$", 1).alias("folder")).agg(
+        count(meta).alias("n_meta"), count(name.endswith("cfmask.tif")).alias("n_cfmask"), count(name.endswith("pixel_qa.tif")).alias("n_qa"),
+        count(name.rlike(r"band\d+\.tif$")).alias("n_bands"),
+    )
+    kind = F.when(F.col("n_cfmask") > 0, "cfmask").when(F.col("n_qa") > 0, "pixel_qa")
+    return out.select("folder", (F.col("n_meta") == 1).alias("meta_ok"), kind.alias("mask_kind"), (F.col("n_bands") >= bands).alias("bands_ok")).withColumn("ready", F.col("meta_ok") & F.col("mask_kind").isNotNull() & F.col("bands_ok"))

@@ -29,3 +29,9 @@ def as_features(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     """One line of JSON an object, its attributes as properties and its geometry as WKT."""
     rest = F.struct(*[c for c in df.columns if c != geometry])
     return df.select(F.to_json(F.struct(F.lit("Feature").alias("type"), F.col(geometry).alias("wkt"), rest.alias("properties"))).alias("value"))
+
+
+def by_tile(cells: DataFrame, path: str, step: int = 250, mode: str = "errorifexists") -> None:
+    """Writes cells (row, col, ..) in folders of square tiles, so that a window's readers open its tiles alone."""
+    tiled = cells.withColumns({"tile_row": F.expr(f"row div {step}"), "tile_col": F.expr(f"col div {step}")})
+    tiled.repartition("tile_row", "tile_col").write.mode(mode).partitionBy("tile_row", "tile_col").parquet(path)

@@ -101,6 +101,11 @@ def test_shape_of_a_rectangle(spark):
     assert s.orientation == pytest.approx(0.0)
     c = scoring.solidity(labels).first()
     assert (c.area, c.convex_area, c.solidity) == (18, 18.0, 1.0)
+    assert (c.hull_row, c.hull_col) == (pytest.approx(3.0), pytest.approx(5.5))
+    # three cells: a square of 2 x 2 that lacks the triangle between (-1/2, 1/2), (-1/2, 3/2) and (1/2, 3/2)
+    area, row, col = scoring.hull(np.array([0, 1, 1]), np.array([0, 0, 1]))
+    assert area == pytest.approx(3.5)
+    assert row == pytest.approx((4 * 0.5 - 0.5 * (-1 / 6)) / 3.5) and col == pytest.approx((4 * 0.5 - 0.5 * (7 / 6)) / 3.5)
 
 
 def test_margins(spark):

@@ -84,3 +84,29 @@ def test_ingest_sees_each_file_once(spark, tmp_path):
     put()
     assert sorted((r.site, r.lat) for r in spark.read.parquet(out).collect()) == [("Z1", "70"), ("Z2", "71")]
     assert sum(f.startswith("batch=") for f in os.listdir(out)) == 2
+
+
+def test_folders_and_readiness(spark, tmp_path):
+    for folder, names in {"a": ["m.xml", "m.tif.aux.xml", "x_cfmask.tif", *[f"x_sr_band{k}.tif" for k in (1, 2, 3, 4, 5, 7)]], "b": ["m.xml", "n.xml", "x_pixel_qa.tif"], "c": ["x_band1.tif"]}.items():
+        (tmp_path / folder).mkdir()
+        for n in names:
+            (tmp_path / folder / n).write_bytes(b"1")
+    files = manifest.listed(spark, str(tmp_path), "*", recursive=True)
+    assert {r.folder: r.n_files for r in manifest.folders(files).collect()} == {"a": 9, "b": 3, "c": 1}
+    got = {r.folder[-1]: (r.meta_ok, r.mask_kind, r.bands_ok, r.ready) for r in manifest.readiness(files).collect()}
+    assert got == {"a": (True, "cfmask", True, True), "b": (False, "pixel_qa", False, False), "c": (False, None, False, False)}
+
+
+def test_headers(spark, tmp_path):
+    np.save(tmp_path / "a.npy", np.zeros((3, 4, 5)))
+    np.save(tmp_path / "b.npy", np.zeros((4, 5)))
+    (tmp_path / "c.npy").write_bytes(b"no")
+    got = {r.path[-5]: (r.bands, r.rows, r.cols) for r in grids.headers(spark, [str(tmp_path / f"{n}.npy") for n in "abcd"]).collect()}
+    assert got == {"a": (3, 4, 5), "b": (1, 4, 5), "c": (None, None, None), "d": (None, None, None)}
+
+
+def test_tiles_are_folders(spark, tmp_path):
+    cells = spark.range(100).selectExpr("id div 10 as row", "id % 10 as col", "id as value")
+    sinks.by_tile(cells, str(tmp_path / "t"), 4)
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert back.count() == 100 and back.where("tile_row = 2 and tile_col = 0").count() == 8
