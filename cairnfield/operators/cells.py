@@ -11,7 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cairnfield.operators.components import least_labels
+from cairnfield.operators.components import least_labels, settled
 
 SQUARE = [(i, k) for i in (-1, 0, 1) for k in (-1, 0, 1)]
 CROSS = [(0, 0), (-1, 0), (1, 0), (0, -1), (0, 1)]
@@ -160,9 +160,18 @@ def components(mask: DataFrame, cols: int, diagonal: bool = False) -> DataFrame:
 
 
 def renumbered(labels: DataFrame) -> DataFrame:
-    """Labels as 1, 2, .. in their order; the distinct labels alone are ranked."""
-    ranks = labels.select("label").distinct().withColumn("number", F.dense_rank().over(Window.orderBy("label")))
-    return labels.join(ranks, "label").withColumn("label", F.col("number").cast("long")).drop("number")
+    """Labels as 1, 2, .. in their order.
+
+    The distinct labels are cut into ranges; a label's number is its place in its range after the sizes of those before.
+    """
+    part = labels.select("label").distinct().repartitionByRange("label").withColumn("part", F.spark_partition_id())
+    part = settled(part)
+    sizes = part.groupBy("part").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # one row a range
+    starts = sizes.select("part", F.coalesce(before, F.lit(0)).alias("start"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy("label"))
+    numbers = part.withColumn("place", place).join(starts, "part").select("label", (F.col("start") + F.col("place")).alias("number"))
+    return labels.join(numbers, "label").withColumn("label", F.col("number").cast("long")).drop("number")
 
 
 def without_small(labels: DataFrame, least: int = 5) -> DataFrame:

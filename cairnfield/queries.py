@@ -407,6 +407,11 @@ def components8(spark, sf_dir):
     return cells.components(mask(spark, sf_dir), COLS, diagonal=True).groupBy("label").agg(F.count("*").alias("area"))
 
 
+@query("label_numbers", _label_sql(False) + " SELECT row, col, dense_rank() OVER (ORDER BY label) AS label FROM l")
+def label_numbers(spark, sf_dir):
+    return cells.renumbered(cells.components(mask(spark, sf_dir), COLS))
+
+
 @query("object_zonal", _label_sql(False) + f""", big AS (SELECT label FROM l GROUP BY label HAVING count(*) >= 3),
 edge AS (SELECT DISTINCT label FROM l, ({SIZE_SQL}) s WHERE row = 0 OR row = nr - 1 OR col = 0 OR col = {COLS - 1})
 SELECT l.label, count(*) AS area, round(min(g.value), 9) AS p_min, round(avg(g.value), 9) AS p_mean, round(max(g.value), 9) AS p_max

@@ -62,8 +62,9 @@ def test_objects(spark, noise, diagonal):
     assert {r.label for r in cells.without_small(df, 3).collect()} == big
     edge = set(np.concatenate([want[0], want[-1], want[:, 0], want[:, -1]]))
     assert {r.label for r in cells.without_border(df, ROWS, COLS).collect()} == set(np.unique(want[m])) - edge
-    numbers = {r.label for r in cells.renumbered(df).collect()}
-    assert numbers == set(range(1, len(np.unique(want[m])) + 1))
+    order = {x: k for k, x in enumerate(np.unique(want[m]), 1)}
+    numbers = {(r["row"], r["col"]): r.label for r in cells.renumbered(df).collect()}
+    assert numbers == {(r, c): order[want[r, c]] for r, c in zip(*np.nonzero(m))}
 
 
 def test_no_cells(spark):
