@@ -223,14 +223,23 @@ def fit(rows: list[set[str]], labels: np.ndarray, names: list[str]) -> tuple[dic
     return {f: float(v) for f, v in zip(names, w[:-1], strict=True)}, float(w[-1])
 
 
+def labelled_sample(labels: DataFrame, learn: Column) -> DataFrame:
+    """(doc_id, toxic): the documents of each class with the smallest hashes of doc_id, as many as SAMPLE says."""
+    known = labels.where(F.col("toxic").isin(0, 1) & learn).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = known.where("doc_id is not null").withColumn("h", F.xxhash64("doc_id"))
+    order = Window.partitionBy("toxic").orderBy("h", "doc_id")
+    # ranks are given below a hash under which twice the sample is expected, so that no task sorts a whole class
+    counts = known.groupBy("toxic").agg(F.count("*").alias("n")).collect()
+    cut = {r.toxic: min((2 * SAMPLE[r.toxic] << 64) // r.n, (1 << 64) - 1) - (1 << 63) for r in counts}
+    of = lambda bounds: F.when(F.col("toxic") == 1, F.lit(bounds.get(1, 0))).otherwise(F.lit(bounds.get(0, 0)))
+    ranked = known.where(F.col("h") <= of(cut)).withColumn("n", F.row_number().over(order))
+    return ranked.where(F.col("n") <= of(SAMPLE)).select("doc_id", "toxic")
+
+
 def learn_model(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
     """Learns from a bounded sample of the rows of docs (doc_id, text) with a label, where learn holds of doc_id."""
     spark = docs.sparkSession
-    known = labels.where(F.col("toxic").isin(0, 1) & learn).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ranked = known.where("doc_id is not null").withColumn("n", F.row_number().over(order))
-    chosen = ranked.where(F.when(F.col("toxic") == 1, F.col("n") <= SAMPLE[1]).otherwise(F.col("n") <= SAMPLE[0])).select("doc_id", "toxic")
-    chosen = stored(chosen, "toxicity-sample")  # SAMPLE bounds its rows
+    chosen = stored(labelled_sample(labels, learn), "toxicity-sample")  # SAMPLE bounds its rows
     texts = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "toxicity-texts")
     sizes = {r.toxic: r.n for r in texts.groupBy("toxic").agg(F.countDistinct("doc_id").alias("n")).collect()}
     if len(sizes) < 2:

@@ -119,6 +119,19 @@ def test_model_is_the_same_whatever_the_partitions(frames, model):
     assert again.weights == pytest.approx(model.weights)
 
 
+def test_sample_holds_the_smallest_hashes_of_each_class(spark, monkeypatch):
+    monkeypatch.setattr(T, "SAMPLE", {1: 20, 0: 45})
+    rows = [(i, 1, int(i % 4 == 0)) for i in range(2000)] + [(3, 1, 1), (None, 1, 1), (5, 1, None)]
+    labels = spark.createDataFrame(rows, "doc_id long, quality int, toxic int").repartition(3)
+    hashed = {r.doc_id: r.h for r in labels.select("doc_id", F.xxhash64("doc_id").alias("h")).distinct().collect()}
+    toxic = {i for i in range(2000) if i % 4 == 0} | {3}
+    for learn in ("doc_id % 5 <> 0", "doc_id < 30"):
+        held = [i for i in range(2000) if (i % 5 if "%" in learn else i < 30)]
+        first = lambda ids, n: set(sorted(ids, key=hashed.get)[:n])
+        want = {(i, 1) for i in first([i for i in held if i in toxic], 20)} | {(i, 0) for i in first([i for i in held if i not in toxic], 45)}
+        assert {(r.doc_id, r.toxic) for r in T.labelled_sample(labels, F.expr(learn)).collect()} == want
+
+
 def test_nothing_to_learn_from(spark, frames):
     docs, labels = frames
     for none in (labels.where("toxic = 0"), labels.limit(0)):
