@@ -18,6 +18,7 @@ from __future__ import annotations
 import bisect
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,9 @@ SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, seq
 
 _WS = "[\t-\r \x85\xa0  -     　]"
 _RUN = re.compile(f"{_WS} (?:{_WS}|\\Z)")
+#: Letters that every tokenizer's tables know; a word of them, a mark, a line break and a further word are units each.
+_LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+"
+_UNITS = re.compile(f"({_LETTERS})(?:([.,;:!?]?)(\n?)({_LETTERS})?)").fullmatch
 _PAIRS = tuple(c + " " for c in "\t\n\x0b\x0c\r ")
 
 
@@ -60,6 +64,8 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.model, self.most, self.cache = Tokenizer.from_file(path), cache_words, {}
+        self.tails: dict[str, bytes] = {}
+        self.starts = {i for t, i in self.model.get_vocab().items() if t[0] == "\u0120"}
         self.special = tuple(t.content for t in self.model.get_added_tokens_decoder().values())
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -69,6 +75,40 @@ class WordTokenizer:
     def whole(self, text: str) -> bytes:
         return self._encode([text])[0]
 
+    def _learn(self, missing: set[str]) -> None:
+        """Puts the ids of words into the cache: plain words in one go, words with marks from their units."""
+        cache, made, plain, others = self.cache, [], set(), []
+        for w in missing:
+            found = _UNITS(w)
+            if found is None:
+                others.append(w)
+            elif found[1] == w:
+                plain.add(w)
+            else:
+                made.append((w, found.groups()))
+                if found[1] not in cache:
+                    plain.add(found[1])
+        words = list(plain)
+        if words:
+            ids = self.model.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids
+            raw, starts = array("I", ids).tobytes(), self.starts
+            at = [4 * i for i, t in enumerate(ids) if t in starts]
+            if len(at) == len(words):
+                at.append(len(raw))
+                for w, a, b in zip(words, at, at[1:], strict=False):
+                    cache[w] = raw[a:b]
+            else:  # a vocabulary whose units don't start with the blank
+                others += words
+        cache.update(zip(others, self._encode([" " + w for w in others]), strict=True))
+        for w, (first, *rest) in made:
+            cache[w] = cache[first] + b"".join([self.tail(u) for u in rest if u])
+
+    def tail(self, unit: str) -> bytes:
+        """The ids of a unit that no blank goes before."""
+        if unit not in self.tails:
+            self.tails[unit] = self.whole(unit)
+        return self.tails[unit]
+
     def __call__(self, text: str) -> bytes:
         """The ids, as little-endian unsigned 32-bit integers."""
         if not text:
@@ -79,12 +119,13 @@ class WordTokenizer:
         words = text.split(" ")
         first, words = words[0], words[1:]
         cache = self.cache
-        missing = list(set(words).difference(cache))
+        missing = set(words).difference(cache)
         if missing:
-            if len(cache) + len(missing) > self.most:
+            if len(cache) + 2 * len(missing) > self.most:  # a word and its first unit
                 cache.clear()
-                missing = list(set(words))
-            cache.update(zip(missing, self._encode([" " + w for w in missing]), strict=True))
+                self.tails.clear()
+                missing = set(words)
+            self._learn(missing)
         return (self.whole(first) if first else b"") + b"".join([cache[w] for w in words])
 
 

@@ -31,6 +31,13 @@ def test_words_give_the_ids_of_whole_texts_of_any_kind(words, text):
     assert words(text) == (words.whole(text) if text else b"")
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="aBthéÿ\u0240ßªº×.,;:!?\n'1", max_size=8), max_size=12))
+def test_words_of_units_give_the_ids_of_whole_texts(words, parts):
+    text = " ".join(parts)
+    assert words(text) == (words.whole(text) if text else b"")
+
+
 def test_cache_is_bounded():
     small = WordTokenizer(tokenizer_path(), cache_words=5)
     for i in range(20):
