@@ -2,7 +2,9 @@
 
 Pages are written as WARC records by Spark's text writer, whose line separator is the blank line that ends a record;
 so commits, retries and remote stores are Spark's business. Every record of one write carries the write's own id right
-after its version line, and the reader splits files at that whole sequence, which no payload can hold.
+after its version line, and the reader splits files at that whole sequence, which no payload can hold. The blank line
+before it is no part of the delimiter: Hadoop's line reader forgets a partial match at the end of its buffer, so a run of
+line ends before a delimiter that starts with line ends hides it. Records read are counted against rows written.
 
 The index is merged externally: each task's captures, sorted by URL key and time, are one run in the shared folder; a
 range partitioning by (URL key, time, page) cuts all runs into slices, and every task merges its slices of the runs
@@ -104,8 +106,9 @@ def read_warc(spark: SparkSession, path: str, own: str) -> DataFrame:
 
     payload is null for revisits, whose size and digest are those of the full payload.
     """
+    # holds no blank line, and a blank line stands before it: no match that starts earlier can reach into it
     first = f"WARC/1.1\r\nWARC-Warcinfo-ID: <urn:uuid:{own}>\r\n"
-    raw = spark.read.option("lineSep", END + first).text(path).select("value", F.col("_metadata.file_name").alias("archive")).where("value <> ''")
+    raw = spark.read.option("lineSep", first).text(path).select("value", F.col("_metadata.file_name").alias("archive")).where("value <> ''")
     head = F.substring_index("value", END, 1)
     rows = raw.select(
         F.concat(F.lit("\r\n"), head, F.lit("\r\n")).alias("head"),
@@ -119,7 +122,7 @@ def read_warc(spark: SparkSession, path: str, own: str) -> DataFrame:
     def maybe(name: str) -> Column:
         return F.when(F.contains(F.col("head"), F.lit(f"\r\n{name}: ")), named(name))
 
-    # the last record of a file still has its blank line
+    # each record still has its blank line, which Content-Length cuts away
     rows = rows.select(
         F.nullif(named("X-Page"), F.lit("")).cast("long").alias("page_id"),
         named("WARC-Target-URI").alias("url"),
@@ -226,7 +229,11 @@ def capture_histories(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> D
     """
     path = new_path(pages.sparkSession, "warc")
     own = write_warc(pages, path, min_bytes)
-    return merge_runs(sorted_runs(read_warc(pages.sparkSession, path, own).drop("payload")))
+    runs = sorted_runs(read_warc(pages.sparkSession, path, own).drop("payload"))
+    read, written = runs.count(), pages.count()
+    if read != written:
+        raise RuntimeError(f"{read} records read of {written} written to {path}")
+    return merge_runs(runs)
 
 
 def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:

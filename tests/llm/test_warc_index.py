@@ -3,6 +3,8 @@ import hashlib
 import random
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
 from cairnfield.llm._shared import new_path
 from cairnfield.llm.warc_index import END, LoserTree, capture_histories, merge_runs, read_warc, sorted_runs, write_warc
 
@@ -41,6 +43,14 @@ def test_round_trip_of_hard_payloads(spark):
             assert r.record_type == "revisit" and r.refers_to == same and r.payload is None
 
 
+def test_no_revisit_is_lost_at_a_buffers_end(spark):
+    n = 300_000
+    rows = spark.range(n, numPartitions=4).selectExpr("id as page_id", "'http://h.example/' || id as url", "'' as html", "timestamp'2024-01-01' as captured")
+    path = new_path(spark, "warc-many")
+    got = read_warc(spark, path, write_warc(rows, path)).agg(F.count("*").alias("n"), F.countDistinct("page_id").alias("ids"), F.sum((F.col("record_type") == "revisit").cast("int")).alias("revisits")).first()
+    assert (got.n, got.ids, got.revisits) == (n, n, n - 1)
+
+
 def test_small_payloads_are_not_revisits(spark):
     rows = [(1, "http://a", "ab"), (2, "http://a", "ab"), (3, "http://a", "abcd"), (4, "http://a", "abcd")]
     got = {r.page_id: r.record_type for r in capture_histories(pages(spark, rows), min_bytes=3).collect()}
