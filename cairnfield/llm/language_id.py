@@ -8,6 +8,11 @@ products: presence of the landmarks' n-grams times the landmarks' presence, then
 Texts are lower-cased; every non-letter becomes one gap symbol and letters that no landmark holds become one other
 symbol, so that n-grams index a table of fixed size.
 
+A score tells languages apart, not whether a text is of any: a text unlike every landmark scores near 0.5. So the share
+of a text's n-grams that some landmark holds is measured too. Its bound is learned from the landmarks, each held against
+the others: KNOWN_SHARE of the share that nine of ten landmarks reach, in the language where that is least. Short texts
+have chance on their side: the bound is less by the one-sided 95 % error of a share of as many letters.
+
 Defined cases: null text, and text without a letter, is `und` with score 0; so is every text if there is no labelled
 row to learn from; rows with null lang, text or doc_id are not learned from; repeated rows are answered one by one; other
 columns are passed through, but for those that have the name of an output column.
@@ -33,6 +38,9 @@ RIDGE = 1e-3
 #: Symbols: 0 gap, 1 other letter, 2.. letters of the landmarks, the most frequent first.
 SYMBOLS = 128
 BATCH = 256
+#: Part of the landmarks' own share of known n-grams that a text must reach, and the normal quantile of its error.
+KNOWN_SHARE = 0.85
+ERROR = 1.645
 
 
 def has_letter(text: str | None) -> bool:
@@ -60,6 +68,20 @@ class Kernel:
         self._seen = np.zeros(len(self._column), np.int32)
         self._float = self.presence.astype(np.float32)
 
+    def known(self, texts: list[str], by: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        """Of each text, the share of its n-grams with a letter that at least `by` landmarks hold, and its letters."""
+        if self._symbol is None:
+            self._prepare()
+        kind = np.zeros(len(self._column), np.int8)
+        kind[self.codes[self._float.sum(1) >= by]] = 1
+        kind[[0, SYMBOLS, SYMBOLS + SYMBOLS**2]] = 2  # gaps alone
+        share, letters = np.zeros(len(texts)), np.zeros(len(texts))
+        for i, text in enumerate(texts):
+            grams = all_grams(text, self._symbol)
+            n = np.bincount(kind[grams], minlength=3)
+            share[i], letters[i] = n[1] / max(1, n[0] + n[1]), ((grams > 0) & (grams < SYMBOLS)).sum()
+        return share, letters
+
     def values(self, texts: list[str]) -> np.ndarray:
         """Kernel values, texts x landmarks."""
         if self._symbol is None:
@@ -113,10 +135,20 @@ class Model:
     languages: list[str]
     kernel: Kernel | None = None
     weights: np.ndarray | None = None
+    known_share: float = 0.0
+
+    def resembles(self, texts: list[str]) -> np.ndarray:
+        """Whether the landmarks hold enough of each text's n-grams."""
+        share, letters = self.kernel.known(texts)
+        b = self.known_share
+        return share >= b - ERROR * np.sqrt(b * (1 - b) / np.maximum(letters, 1))
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    def predict(self, texts: list[str | None], strict: bool = False) -> tuple[list[str], list[float]]:
+        """Languages and scores; if strict, a text that resembles no language is `und` too."""
         out = [(UND, 0.0)] * len(texts)
         at = [i for i, t in enumerate(texts) if has_letter(t)] if self.languages else []
+        if strict and at:
+            at = [i for i, good in zip(at, self.resembles([texts[i] for i in at]), strict=True) if good]
         for k in range(0, len(at), BATCH):
             part = at[k : k + BATCH]
             scores = self.kernel.values([texts[i] for i in part]) @ self.weights
@@ -141,7 +173,8 @@ def learn_model(docs: DataFrame, learn: Column) -> Model:
         return Model([])
     texts = docs.where(learn & F.col("text").isNotNull()).select("doc_id", "text")
     marks = [d for d, (_, mark) in sample.items() if mark]
-    kernel = kernel_of([t for _, t in sorted({r.doc_id: r.text for r in texts.where(F.col("doc_id").isin(marks)).collect()}.items())])
+    landmarks = sorted({r.doc_id: r.text for r in texts.where(F.col("doc_id").isin(marks)).collect()}.items())
+    kernel = kernel_of([t for _, t in landmarks])
 
     def values(batches: Iterator) -> Iterator:
         import pandas as pd
@@ -158,11 +191,13 @@ def learn_model(docs: DataFrame, learn: Column) -> Model:
     own = kernel.presence.astype(float)
     k_mm = own.T @ own / np.sqrt(np.outer(own.sum(0), own.sum(0)))
     weights = np.linalg.lstsq(k_nm.T @ k_nm + RIDGE * len(rows) * k_mm, k_nm.T @ target, rcond=None)[0]
-    return Model(languages, kernel, weights.astype(np.float32))
+    own_share, mark_lang = kernel.known([t for _, t in landmarks], 2)[0], np.array([sample[d][0] for d, _ in landmarks])
+    known_share = KNOWN_SHARE * min(float(np.quantile(own_share[mark_lang == lang], 0.1)) for lang in languages)
+    return Model(languages, kernel, weights.astype(np.float32), known_share)
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """docs (.., text, ..) plus lang_pred and score, which replace columns of these names."""
+def identify(docs: DataFrame, model: Model, strict: bool = False) -> DataFrame:
+    """docs (.., text, ..) plus lang_pred and score, which replace columns of these names; strict as Model.predict has it."""
     from pyspark.sql import types as T
 
     docs = docs.drop("lang_pred", "score")
@@ -175,7 +210,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for k in range(0, batch.num_rows, BATCH):
                 part = batch.slice(k, BATCH)
-                langs, scores = model.predict(part.column(at).to_pylist())
+                langs, scores = model.predict(part.column(at).to_pylist(), strict)
                 yield pa.record_batch([*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=schema.names)
 
     return docs.mapInArrow(run, schema)

@@ -23,12 +23,12 @@ ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter, and those that resemble no learned language."""
+    """Drops documents without a letter, and those that resemble no learned language (language_id says by which bound)."""
     model = language_id.learn_model(docs, ~language_id.held_out())
     if not model.languages:
         return docs
     good = (F.col("lang_pred") != language_id.UND) & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    return named_as(language_id.identify(beside(docs), model).where(good), docs)
+    return named_as(language_id.identify(beside(docs), model, strict=True).where(good), docs)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

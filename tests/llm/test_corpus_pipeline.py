@@ -63,6 +63,26 @@ def test_stages_take_effect(spark, corpus):
     assert {r.doc_id for r in pieces} == want and all(r.n == r.m for r in pieces)
 
 
+UNLIKE = {
+    900: "Съешь же ещё этих мягких французских булок да выпей чаю", 901: "Ξεσκεπάζω την ψυχοφθόρα βδελυγμία", 902: "我能吞下玻璃而不伤身体", 903: "привет",
+    904: "xkqz vbnwrt ghjklp qwrtz sdfgh mnbvc xcvbn plkjh wrtzp", 905: "for (k, v) in zip(hq, jw): print(x[k] == v); import numpy",
+    906: "我", 907: "zażółć gęślą jaźń pchnąć w tę łódź jeża lub ośm skrzyń fig",
+}
+
+
+def test_texts_that_resemble_no_language_go(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    clean = [r for r in docs.orderBy("doc_id").limit(40).collect()]
+    short = [(10**9 + 10 * i + n, " ".join(r.text.split()[3 : 3 + n]), None, "s", 0) for i, r in enumerate(clean) for n in (2, 4, 8) if r.text and any(map(str.isalpha, " ".join(r.text.split()[3 : 3 + n])))]
+    more = [(10**8 + i, t, None, "s", 0) for i, t in UNLIKE.items()]
+    whole = docs.unionByName(spark.createDataFrame(short + more, KIND))
+    left = {r.doc_id for r in P.language(spark, whole, sf).select("doc_id").collect()}
+    assert not left & {i for i, *_ in more}
+    lost = {r.doc_id for r in docs.where(F.col("text").rlike(r"\p{L}")).collect()} - left
+    assert not lost
+    assert {i for i, *_ in short} <= left
+
+
 def test_run_gives_the_rows_of_the_stages(spark, corpus):
     path, _ = corpus
     assert P.run(spark, path).select("doc_id").distinct().count() > 150
