@@ -3,8 +3,11 @@
 Equal vectors are one class, whose smallest id stands for it. Classes are dealt to a number of shards that grows only
 when a shard would pass SHARD_ROWS. Each shard's graph is built once, layer by layer from the sparsest, and stored. Then
 every class is looked up in every shard by a beam search from the top layer down. The beam that all searches start with
-is doubled until an audit finds RECALL of the links of sampled classes that brute force finds in the shard; and a single
-search whose beam holds nothing but links is widened until it does not, so groups of any size are found. Candidates are
+is doubled until audits find RECALL of the links that brute force finds in the shard, a vector's link with itself left
+out: those of sampled classes of the shard, those of as many vectors made at the bounding cosine from these classes (each
+has a link, however rare links are), and in each block those of sampled classes that ask, of all shards. A shard or block
+that fails with the widest beam is compared exactly. A single search whose beam holds nothing but links is widened until
+it does not, so groups of any size are found. Candidates are
 verified by cosine in double precision. A task gives the number of links of each class and a spanning forest of the
 links it saw instead of all pairs.
 
@@ -16,6 +19,7 @@ no part.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +40,8 @@ FIRST_BEAM = 16
 AUDIT_ROWS = 256
 RECALL = 0.998
 WIDEST_BEAM = 4096
+#: In place of a beam: compare with all nodes.
+EXACT = 0
 
 
 def diverse(ids: np.ndarray, sims: np.ndarray, x: np.ndarray, most: int) -> np.ndarray:
@@ -195,29 +201,72 @@ class SmallWorld:
 
     def within(self, q: np.ndarray, cosine: float, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(rows of q, places) of likely links, in parts; beams that hold nothing else are widened."""
+        if width == EXACT:
+            yield from self.compared(q, cosine)
+            return
         step = max(8, min(512, (1 << 25) // max(1, len(self.x))))
         for at in range(0, len(q), step):
             rows, w = np.arange(at, min(len(q), at + step)), width
             while len(rows):
+                if self.exact_is_cheaper(w):
+                    for r, c in self.compared(q[rows], cosine):
+                        yield rows[r], c
+                    break
                 ids, sims = self.search(q[rows], w)
                 full = (sims[:, -1] >= cosine) & (ids.shape[1] < len(self.x)) if ids.shape[1] else np.zeros(len(rows), bool)
                 r, c = np.nonzero((sims >= cosine) & ~full[:, None])
                 yield rows[r], ids[r, c]
                 rows, w = rows[full], 2 * w
 
-    def audited_width(self, cosine: float) -> int:
-        """The first beam that finds RECALL of the links of sampled nodes."""
-        sample = np.arange(0, len(self.x), max(1, len(self.x) // AUDIT_ROWS))
-        truth = 0
-        for at in range(0, len(sample), 64):
-            truth += int((self.x[sample[at : at + 64]] @ self.x.T >= cosine).sum())
-        width = FIRST_BEAM
-        while width < WIDEST_BEAM:
-            found = sum(len(r) for r, _ in self.within(self.x[sample], cosine, width))
-            if found >= RECALL * truth:
-                break
+    def exact_is_cheaper(self, width: int) -> bool:
+        """Whether a beam would meet as many links as there are nodes."""
+        return 2 * DEGREE * width >= len(self.x)
+
+    def compared(self, q: np.ndarray, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """within() by brute force."""
+        step = max(8, min(512, (1 << 23) // max(1, len(self.x))))
+        for at in range(0, len(q), step):
+            r, c = np.nonzero(q[at : at + step] @ self.x.T >= cosine)
+            yield r + at, c
+
+    def audited_width(self, cosine: float, asks: tuple[np.ndarray, np.ndarray] | None = None, width: int = FIRST_BEAM) -> int:
+        """The first beam from width on that finds RECALL of the links of sampled vectors, or EXACT if none does.
+
+        asks: vectors and their own places, -1 for none; else nodes, and vectors made at the cosine from them.
+        """
+        if width == EXACT or self.exact_is_cheaper(width):
+            return EXACT
+        if asks is None:
+            own = spaced(len(self.x))
+            sets = [(self.x[own], own), (at_cosine(self.x[own], cosine), np.full(len(own), -1))]
+        else:
+            at = spaced(len(asks[0]))
+            sets = [(asks[0][at], asks[1][at])]
+        truth = [linked(self.compared(q, cosine), own) for q, own in sets]
+        while width <= WIDEST_BEAM and not self.exact_is_cheaper(width):
+            if all(linked(self.within(q, cosine, width), own) >= RECALL * n for (q, own), n in zip(sets, truth, strict=True)):
+                return width
             width *= 2
-        return width
+        return EXACT
+
+
+def spaced(n: int) -> np.ndarray:
+    """AUDIT_ROWS to twice as many places below n, or all."""
+    return np.arange(0, n, max(1, n // AUDIT_ROWS))
+
+
+def at_cosine(x: np.ndarray, cosine: float) -> np.ndarray:
+    """A vector for each row of x, in a random direction from it, whose cosine with it is just over the given one."""
+    u = np.random.default_rng(11).standard_normal(x.shape)
+    u -= (u * x).sum(1, keepdims=True) * x
+    u /= np.maximum(np.sqrt((u**2).sum(1, keepdims=True)), 1e-12)
+    c = min(1.0, cosine + 1e-4)
+    return (c * x + math.sqrt(max(0.0, 1 - c * c)) * u).astype(np.float32)
+
+
+def linked(parts: Iterator[tuple[np.ndarray, np.ndarray]], own: np.ndarray) -> int:
+    """The number of links but for those of vectors with themselves."""
+    return sum(int((c != own[r]).sum()) for r, c in parts)
 
 
 def forest(u: np.ndarray, v: np.ndarray) -> list[tuple[int, int]]:
@@ -308,7 +357,10 @@ def links(graph: DataFrame, shards: int, blocks: int, cosine: float) -> DataFram
                     own = [m[len(m) - depth + k] for m in layers if len(m) >= depth - k]
                     world.layers.append(Layer(x[: len(own)], np.array(own, np.int32)))
                 q = np.flatnonzero(asking)
-                for r, p in world.within(x[q], cosine - 1e-5, int(whole.column(9)[0].as_py())):
+                place = {int(i): k for k, i in enumerate(ids[held])}
+                own = np.array([place.get(int(i), -1) for i in ids[q]])
+                width = world.audited_width(cosine - 1e-5, (x[q], own), int(whole.column(9)[0].as_py()))
+                for r, p in world.within(x[q], cosine - 1e-5, width):
                     r = q[r]
                     exact = (v[r] * v[p]).sum(1) / (norm[r, 0] * norm[p, 0]) >= cosine
                     r, p = r[exact & (ids[r] != ids[p])], p[exact & (ids[r] != ids[p])]

@@ -110,6 +110,34 @@ def test_small_world_finds_all_links():
     assert abs(found.sum() - truth.sum()) <= 0.002 * truth.sum()
 
 
+def cut_off(world, nodes):
+    """Takes every link to the nodes away."""
+    for layer in world.layers:
+        layer.links[np.isin(layer.links, nodes)] = -1
+
+
+def test_links_that_no_beam_reaches_are_found_exactly():
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((6000, 24))
+    x[4000:4400] = x[4000] + 0.02 * rng.standard_normal((400, 24))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    world = SmallWorld.build(x)
+    cut_off(world, np.arange(4000, 4400))
+    found = sum(len(r) for r, _ in world.within(x, 0.95, world.audited_width(0.95)))
+    assert found == int((x @ x.T >= 0.95).sum())
+
+
+def test_audits_without_links_among_nodes_still_ask():
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((5000, 24))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    world = SmallWorld.build(x)
+    cut_off(world, np.arange(1000, 5000))
+    q = dedup.at_cosine(x, 0.95)
+    found = sum(len(r) for r, _ in world.within(q, 0.95, world.audited_width(0.95)))
+    assert found == int((q @ x.T >= 0.95).sum())
+
+
 def test_forest_joins_what_links_join():
     pairs = forest(np.array([5, 4, 9, 3, 5]), np.array([4, 3, 8, 5, 5]))
     assert sorted(pairs) == [(4, 3), (5, 3), (9, 8)]
