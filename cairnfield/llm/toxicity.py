@@ -5,9 +5,10 @@ marks. For every suspicious token a lattice of the letters that each character m
 under a character trigram model, which is counted over all documents. The restored words, and their beginnings, are
 then scored by logistic regression.
 
-A token whose characters are all letters, with no letter three times running, has one path through its lattice and is
-its own restoration, so only the others are decoded; each distinct token is restored once per task as long as a bounded
-cache holds it.
+A token whose characters are all letters, with no letter twice running, has one path through its lattice and is its own
+restoration, so only the others are decoded; each distinct token is restored once per task as long as a bounded cache
+holds it. A letter written twice may be meant, so a token of letters alone with none three times running stays beside
+what it is decoded to, and writing twice costs it no more than writing thrice.
 
 Defined cases: null and empty texts have no words and get the score of the intercept; without labelled rows of both
 classes every score is 0; a document with several label rows counts as toxic if one of them is 1; null labels are not
@@ -51,6 +52,7 @@ N = len(ALPHABET) + 2  # 0 break, N - 1 any other letter
 _INDEX = {c: i + 1 for i, c in enumerate(ALPHABET)}
 _SPREAD = re.compile(r"(?<!\S)\S(?:[ ._*\-]\S){2,}(?!\S)")
 _TRIPLE = re.compile(r"(.)\1\1")
+_DOUBLE = re.compile(r"(.)\1")
 _WORD = re.compile(r"[^\W\d_]+")
 _EDGES = ".,;:!?\"'()[]{}<>*_-|"
 
@@ -101,13 +103,13 @@ class CharModel:
         return float(self.log[a, b, c])
 
 
-def decode(observed: str, lm: CharModel) -> str:
-    """The likeliest letters behind a string of characters, words apart by blanks."""
+def decode(observed: str, lm: CharModel, doubled: float = DOUBLED) -> str:
+    """The likeliest letters behind a string of characters, words apart by blanks; doubled: a letter written twice."""
     # state: the last two symbols -> (score, text so far, the letter last written or '')
     best: dict[tuple[int, int, str], tuple[float, tuple]] = {(0, 0, ""): (0.0, ())}
     for at, c in enumerate(observed):
         again = at > 0 and observed[at - 1] == c
-        again_cost = REPEATED if 3 * c in observed[max(0, at - 2) : at + 2] else DOUBLED
+        again_cost = REPEATED if 3 * c in observed[max(0, at - 2) : at + 2] else doubled
         letters = [(c, AS_IS)] if c.isalpha() else [(x, LOOKALIKE) for x in LOOKALIKES.get(c, "")]
         after: dict[tuple[int, int, str], tuple[float, tuple]] = {}
 
@@ -147,9 +149,12 @@ def restore_token(token: str, lm: CharModel) -> str:
         whole = token.lstrip(".,;:?\"')]}>*_-").rstrip(".,;:?\"'([{*_-")
         tries = [decode(core, lm)] + ([decode(whole, lm)] if whole != core else [])
         return " ".join(dict.fromkeys(w for t in tries for w in t.split()))
-    if suspicious(token):  # marks at an edge may be letters
-        return " ".join(dict.fromkeys([core, *decode(token, lm).split()])) if any(c in LOOKALIKES for c in token) and core.isalpha() and token[0] in LOOKALIKES else core
-    return core
+    words = [core]
+    if core.isalpha() and _DOUBLE.search(core):
+        words += decode(core, lm, REPEATED).split()
+    if suspicious(token) and core.isalpha() and token[0] in LOOKALIKES:  # marks at an edge may be letters
+        words += decode(token, lm).split()
+    return " ".join(dict.fromkeys(words))
 
 
 def restore_text(text: str | None, lm: CharModel) -> str:

@@ -59,6 +59,17 @@ def test_decoding_restores_disguised_words(model):
     assert T.restore_text("Gosmer, (pelrin) sunban!", model.lm) == "gosmer pelrin sunban"
 
 
+def test_a_letter_written_twice_is_undone(frames, model):
+    for word in BAD:
+        for at in range(len(word)):
+            seen = f"{word[:at]}{word[at]}{word[at:]}"
+            assert word in T.restore_text(f"gosmer {seen}, pelrin", model.lm).split(), seen
+    assert T.restore_text("gosmer pelrin sunban", model.lm) == "gosmer pelrin sunban"
+    score = model.scorer()
+    for word, seen in (("scoundrel", "scounndrel"), ("scoundrel", "sccoundrel"), ("nitwit", "nitwwit"), ("blockhead", "bloockhead")):
+        assert score(f"gosmer {seen} pelrin") >= score(f"gosmer {word} pelrin") > score("gosmer pelrin")
+
+
 def best_by_hand(observed, lm):
     """The likeliest decoding of a short string of letters and look-alikes without doublings, over all choices."""
     choices = [[(c, T.AS_IS)] if c.isalpha() else [(x, T.LOOKALIKE) for x in T.LOOKALIKES[c]] for c in observed]
