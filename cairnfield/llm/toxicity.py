@@ -10,10 +10,13 @@ restoration, so only the others are decoded; each distinct token is restored onc
 holds it. A letter written twice may be meant, so a token of letters alone with none three times running stays beside
 what it is decoded to, and writing twice costs it no more than writing thrice.
 
+The sample's classes are weighted to the shares that they have among all labels, so a score means the same however large
+the input is.
+
 Defined cases: null and empty texts have no words and get the score of the intercept; without labelled rows of both
 classes every score is 0; a document with several label rows counts as toxic if one of them is 1; null labels are not
-learned from; repeated rows are scored one by one; other columns are passed through, but for those that have
-the name of an output column.
+learned from; repeated rows are scored one by one, and one row of a doc_id is learned from, that with the least hash of
+its text; other columns are passed through, but for those that have the name of an output column.
 """
 
 from __future__ import annotations
@@ -31,11 +34,11 @@ from cairnfield.llm._shared import stored, table
 
 #: Bounds of the labelled sample: rows of each class, those with the smallest hash of doc_id.
 SAMPLE = {1: 2000, 0: 4000}
-#: Beginnings of words that are features besides the words; the least chi-square (p = 0.0001) and number of features.
+#: Beginnings of words that are features besides the words; the least chi-square (p = 0.0001) and number of documents
+#: of a feature. All that reach them are taken.
 BEGINNINGS = (4, 5, 6)
 CHI_SQUARE = 15.1
 MIN_DOCS = 4
-MAX_FEATURES = 500
 RIDGE = 0.1
 CACHE_TOKENS = 200_000
 
@@ -210,32 +213,59 @@ class Model:
         return score
 
 
-def fit(rows: list[set[str]], labels: np.ndarray, names: list[str]) -> tuple[dict[str, float], float]:
-    """Ridge logistic regression by Newton steps on presence of the named features."""
-    at = {f: i for i, f in enumerate(names)}
-    x = np.ones((len(rows), len(names) + 1))
-    x[:, :-1] = 0
-    for i, r in enumerate(rows):
-        x[i, [at[f] for f in r if f in at]] = 1
-    w, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], RIDGE)
+def fit(rows: list[set[str]], labels: np.ndarray, names: list[str], importance: np.ndarray) -> tuple[dict[str, float], float]:
+    """Ridge logistic regression on presence of the named features, each row counting by its importance.
+
+    Newton steps, each solved by conjugate gradients over the rows' lists of features, so any number of features fits.
+    """
+    at, n = {f: i for i, f in enumerate(names)}, len(names)
+    # a row's features and, as the last one, the intercept
+    lists = [sorted(at[f] for f in r if f in at) + [n] for r in rows]
+    row, col = np.repeat(np.arange(len(rows)), [len(x) for x in lists]), np.array([c for x in lists for c in x])
+    ridge = np.full(n + 1, RIDGE)
     ridge[-1] = 1e-3
+    by_row = lambda v: np.bincount(row, v[col], len(rows))
+    by_col = lambda v: np.bincount(col, v[row], n + 1)
+    w = np.zeros(n + 1)
     for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (labels - p) - ridge * w)
+        p = 1 / (1 + np.exp(-np.clip(by_row(w), -30, 30)))
+        curve = importance * p * (1 - p)
+        scale = by_col(curve) + ridge  # the diagonal preconditions
+        step, rest = np.zeros(n + 1), by_col(importance * (labels - p)) - ridge * w
+        z = rest / scale
+        way, size = z.copy(), float(rest @ z)
+        for _ in range(500):
+            if size < 1e-18:
+                break
+            bent = by_col(curve * by_row(way)) + ridge * way
+            far = size / float(way @ bent)
+            step += far * way
+            rest -= far * bent
+            z = rest / scale
+            before, size = size, float(rest @ z)
+            way = z + size / before * way
         w += step
         if np.abs(step).max() < 1e-6:
             break
     return {f: float(v) for f, v in zip(names, w[:-1], strict=True)}, float(w[-1])
 
 
+def known_labels(labels: DataFrame, learn: Column) -> DataFrame:
+    """(doc_id, toxic, h): one row for each document to learn from, with the hash of its id."""
+    known = labels.where(F.col("toxic").isin(0, 1) & learn).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return known.where("doc_id is not null").withColumn("h", F.xxhash64("doc_id"))
+
+
+def class_sizes(known: DataFrame) -> dict[int, int]:
+    return {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+
+
 def labelled_sample(labels: DataFrame, learn: Column) -> DataFrame:
     """(doc_id, toxic): the documents of each class with the smallest hashes of doc_id, as many as SAMPLE says."""
-    known = labels.where(F.col("toxic").isin(0, 1) & learn).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = known.where("doc_id is not null").withColumn("h", F.xxhash64("doc_id"))
+    known = known_labels(labels, learn)
     order = Window.partitionBy("toxic").orderBy("h", "doc_id")
     # ranks are given below a hash under which twice the sample is expected, so that no task sorts a whole class
-    counts = known.groupBy("toxic").agg(F.count("*").alias("n")).collect()
-    cut = {r.toxic: min((2 * SAMPLE[r.toxic] << 64) // r.n, (1 << 64) - 1) - (1 << 63) for r in counts}
+    cut = {t: min((2 * SAMPLE[t] << 64) // n, (1 << 64) - 1) - (1 << 63) for t, n in class_sizes(known).items()}
     of = lambda bounds: F.when(F.col("toxic") == 1, F.lit(bounds.get(1, 0))).otherwise(F.lit(bounds.get(0, 0)))
     ranked = known.where(F.col("h") <= of(cut)).withColumn("n", F.row_number().over(order))
     return ranked.where(F.col("n") <= of(SAMPLE)).select("doc_id", "toxic")
@@ -245,8 +275,11 @@ def learn_model(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
     """Learns from a bounded sample of the rows of docs (doc_id, text) with a label, where learn holds of doc_id."""
     spark = docs.sparkSession
     chosen = stored(labelled_sample(labels, learn), "toxicity-sample")  # SAMPLE bounds its rows
-    texts = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "toxicity-texts")
-    sizes = {r.toxic: r.n for r in texts.groupBy("toxic").agg(F.countDistinct("doc_id").alias("n")).collect()}
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # of rows that repeat a doc_id, one is learned from, the same whatever their order is
+    one = rows.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("t"))
+    texts = stored(one.select("doc_id", F.col("t.text").alias("text"), "toxic"), "toxicity-texts")
+    sizes = {r.toxic: r.n for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         return Model()
     lm = CharModel(trigram_counts(docs))
@@ -268,13 +301,14 @@ def learn_model(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
     counts = spread.groupBy("f").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     n1, n0 = F.lit(float(sizes[1])), F.lit(float(sizes[0]))
-    chi = (n1 + n0) * F.pow(a * (n0 - b) - b * (n1 - a), 2) / (n1 * n0 * (a + b) * (n1 + n0 - a - b))
-    rows = counts.where((F.col("a") + F.col("b") >= MIN_DOCS) & (a * n0 > b * n1)).withColumn("chi", chi)
-    rows = rows.where(F.col("chi") >= CHI_SQUARE).orderBy(F.desc("chi"), "f").limit(MAX_FEATURES).collect()
-    names = sorted(r.f for r in rows)
-    # MAX_FEATURES and SAMPLE bound this
+    # a feature of all documents tells nothing, and the statistic is null
+    chi = F.try_divide((n1 + n0) * F.pow(a * (n0 - b) - b * (n1 - a), 2), n1 * n0 * (a + b) * (n1 + n0 - a - b))
+    telling = counts.where((F.col("a") + F.col("b") >= MIN_DOCS) & (a * n0 > b * n1) & (chi >= CHI_SQUARE))
+    names = sorted(r.f for r in telling.select("f").collect())  # SAMPLE bounds these, as it bounds the texts
     data = sorted({(r.doc_id, r.toxic): set(r.f) for r in featured(set(names)).collect()}.items())
-    weights, intercept = fit([f for _, f in data], np.array([t for (_, t), _ in data], float), names)
+    toxic, known = np.array([t for (_, t), _ in data], float), class_sizes(known_labels(labels, learn))
+    share = {t: known[t] / sum(known.values()) * len(data) / n for t, n in sizes.items()}
+    weights, intercept = fit([f for _, f in data], toxic, names, np.where(toxic == 1, share[1], share[0]))
     return Model(lm, {f: w for f, w in weights.items() if abs(w) > 1e-3}, intercept)
 
 

@@ -156,3 +156,49 @@ def test_query_on_held_out_rows(spark, sf):
     rows = T.op7_toxicity(spark, sf).collect()
     held = [(r.predicted, toxic[r.doc_id]) for r in rows if r.held_out and r.doc_id in toxic]
     assert len(held) > 15 and sum(p == y for p, y in held) >= 0.9 * len(held)
+
+
+def test_rows_that_repeat_an_id_are_one_document(spark, rows, frames):
+    words = "everywhere "  # a feature of all learned documents
+    docs = [(i, words + t, None) for i, t, _ in rows]
+    again = [(i, t, None) for i, t, _ in docs[:80]] + [(i, f"{words}pelrin nitwit {i}", None) for i in range(0, 60, 2)] * 3
+    labels = frames[1]
+    models = []
+    for order in (docs + again, (docs + again)[::-1]):
+        docs_of = spark.createDataFrame(order, KIND).repartition(3)
+        models.append(T.learn_model(docs_of, labels, F.lit(True)))
+    assert models[0].weights and models[0].weights == pytest.approx(models[1].weights)
+    assert "everywhere" not in models[0].weights
+    assert T.score_toxicity(spark.createDataFrame(docs + again, KIND), models[0]).count() == len(docs) + len(again)
+
+
+def test_fit_reaches_the_least_loss():
+    rng = np.random.default_rng(3)
+    names = [f"f{k}" for k in range(12)]
+    rows = [{f for f in names if rng.random() < 0.3} for _ in range(200)]
+    labels = np.array([float(("f0" in r) + ("f1" in r) + rng.random() > 1.2) for r in rows])
+    weight = np.where(labels == 1, 0.4, 1.7)
+    found, intercept = T.fit(rows, labels, names, weight)
+    w = np.array([found[f] for f in names] + [intercept])
+    x = np.array([[f in r for f in names] + [True] for r in rows], float)
+    ridge = np.array([T.RIDGE] * 12 + [1e-3])
+    slope = x.T @ (weight * (labels - 1 / (1 + np.exp(-x @ w)))) - ridge * w
+    assert np.abs(slope).max() < 1e-5
+
+
+def test_weights_undo_the_classes_shares_in_the_sample():
+    rng = np.random.default_rng(4)
+    rows = [{"f0"} if rng.random() < 0.3 else set() for _ in range(6000)]
+    labels = np.array([float(rng.random() < (0.6 if r else 0.05)) for r in rows])
+    whole = T.fit(rows, labels, ["f0"], np.ones(len(rows)))
+    held = [i for i in range(len(rows)) if labels[i] or i % 5 == 0]
+    own = labels[held]
+    share = {y: (labels == y).mean() * len(held) / (own == y).sum() for y in (0, 1)}
+    part = T.fit([rows[i] for i in held], own, ["f0"], np.where(own == 1, share[1], share[0]))
+    assert part[1] == pytest.approx(whole[1], abs=0.25) and part[0]["f0"] == pytest.approx(whole[0]["f0"], abs=0.25)
+
+
+def test_columns_of_any_name_pass_through(spark, frames, model):
+    docs = frames[0].withColumnsRenamed({"predicted": "toxic"}).withColumn("f", F.lit(1)).withColumn("n", F.lit(2))
+    out = T.score_toxicity(docs, model)
+    assert out.columns == ["doc_id", "text", "toxic", "f", "n", "score", "predicted"] and out.count() == docs.count()
