@@ -5,8 +5,8 @@ of the product of their own numbers. Nyström landmarks stand for the kernel's s
 regression over the landmarks gives a score for each language. Whole batches of texts are scored by two matrix
 products: presence of the landmarks' n-grams times the landmarks' presence, then kernel values times weights.
 
-Texts are lower-cased; every non-letter becomes one gap symbol and letters that no landmark holds become one other
-symbol, so that n-grams index a table of fixed size.
+Texts are lower-cased and every non-letter becomes one gap symbol. A letter is its code point, so an n-gram's code holds
+up to three of them in 63 bits and any number of scripts keeps its n-grams apart.
 
 A score tells languages apart, not whether a text is of any: a text unlike every landmark scores near 0.5. So the share
 of a text's n-grams that some landmark holds is measured too. Its bound is learned from the landmarks, each held against
@@ -14,30 +14,35 @@ the others: KNOWN_SHARE of the share that nine of ten landmarks reach, in the la
 have chance on their side: the bound is less by the one-sided 95 % error of a share of as many letters.
 
 Defined cases: null text, and text without a letter, is `und` with score 0; so is every text if there is no labelled
-row to learn from; rows with null lang, text or doc_id are not learned from; repeated rows are answered one by one; other
-columns are passed through, but for those that have the name of an output column.
+row to learn from; rows with null lang, text or doc_id are not learned from; repeated rows are answered one by one; of
+rows that repeat a doc_id and lang, one is learned from, that with the least hash of its text; other columns are passed
+through, but for those that have the name of an output column.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property, lru_cache
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cairnfield.llm._shared import table
+from cairnfield.llm._shared import stored, table
 
 UND = "und"
 #: Bounds of the labelled sample: rows and landmarks for each language, those with the smallest hash of doc_id.
 ROWS_PER_LANG = 300
 LANDMARKS_PER_LANG = 32
 RIDGE = 1e-3
-#: Symbols: 0 gap, 1 other letter, 2.. letters of the landmarks, the most frequent first.
-SYMBOLS = 128
+#: Bits of a symbol: the gap, or a letter's code point plus one.
+BITS = 21
+GAP = 1
+GAPS = np.array([GAP, GAP << BITS | GAP, GAP << 2 * BITS | GAP << BITS | GAP])
+#: Texts that are scored together, and codes of the vocabulary in one matrix product.
 BATCH = 256
+BLOCK = 16_384
 #: Part of the landmarks' own share of known n-grams that a text must reach, and the normal quantile of its error.
 KNOWN_SHARE = 0.85
 ERROR = 1.645
@@ -47,87 +52,79 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
+@lru_cache(1)
+def letter_points() -> np.ndarray:
+    """Whether each code point is a letter."""
+    return np.fromiter(map(str.isalpha, map(chr, range(0x110000))), bool, 0x110000)
+
+
+def all_grams(text: str) -> np.ndarray:
+    """Codes of the text's n-grams of one to three symbols, repeated ones too."""
+    point = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    one = np.where(letter_points()[point], point + GAP, GAP).astype(np.int64)
+    two = one[:-1] << BITS | one[1:]
+    return np.concatenate([one, two, two[:-1] << BITS | one[2:]])
+
+
 @dataclass
 class Kernel:
-    """Landmarks as presence of n-grams: letters in symbol order, vocabulary of codes, presence (codes x landmarks)."""
+    """Landmarks as presence of n-grams: the sorted codes of all, and presence (codes x landmarks)."""
 
-    letters: str
     codes: np.ndarray
     presence: np.ndarray
 
-    def __post_init__(self) -> None:
-        self._symbol = None
-
-    def __getstate__(self) -> dict:
-        return {"letters": self.letters, "codes": self.codes, "presence": self.presence, "_symbol": None}
+    @cached_property
+    def holders(self) -> np.ndarray:
+        """How many landmarks hold each code."""
+        return self.presence.sum(1, dtype=np.int64)
 
-    def _prepare(self) -> None:
-        self._symbol = symbols(self.letters)
-        self._column = np.full(SYMBOLS + SYMBOLS**2 + SYMBOLS**3, -1, np.int32)
-        self._column[self.codes] = np.arange(len(self.codes), dtype=np.int32)
-        self._seen = np.zeros(len(self._column), np.int32)
-        self._float = self.presence.astype(np.float32)
+    @property
+    def letters(self) -> str:
+        """The letters of the landmarks."""
+        return "".join(chr(c - GAP) for c in self.codes[(self.codes > GAP) & (self.codes < 1 << BITS)])
 
     def known(self, texts: list[str], by: int = 1) -> tuple[np.ndarray, np.ndarray]:
         """Of each text, the share of its n-grams with a letter that at least `by` landmarks hold, and its letters."""
-        if self._symbol is None:
-            self._prepare()
-        kind = np.zeros(len(self._column), np.int8)
-        kind[self.codes[self._float.sum(1) >= by]] = 1
-        kind[[0, SYMBOLS, SYMBOLS + SYMBOLS**2]] = 2  # gaps alone
+        held = self.codes[self.holders >= by]
         share, letters = np.zeros(len(texts)), np.zeros(len(texts))
         for i, text in enumerate(texts):
-            grams = all_grams(text, self._symbol)
-            n = np.bincount(kind[grams], minlength=3)
-            share[i], letters[i] = n[1] / max(1, n[0] + n[1]), ((grams > 0) & (grams < SYMBOLS)).sum()
+            grams, n = np.unique(all_grams(text), return_counts=True)
+            n[np.isin(grams, GAPS)] = 0
+            hit = n[places(held, grams) >= 0].sum()
+            share[i], letters[i] = hit / max(1, n.sum()), n[grams < 1 << BITS].sum()
         return share, letters
 
     def values(self, texts: list[str]) -> np.ndarray:
-        """Kernel values, texts x landmarks."""
-        if self._symbol is None:
-            self._prepare()
-        held, own = np.zeros((len(texts), len(self.codes)), np.float32), np.ones(len(texts), np.float32)
-        for i, text in enumerate(texts):
-            grams = distinct(all_grams(text, self._symbol), self._seen)
-            own[i] = len(grams)
-            columns = self._column[grams]
-            held[i, columns[columns >= 0]] = 1
-        return (held @ self._float) / np.sqrt(own[:, None] * np.maximum(self._float.sum(0), 1))
-
-
-def symbols(letters: str) -> np.ndarray:
-    """The symbol of each UTF-16 unit."""
-    out = np.zeros(1 << 16, np.int32)
-    out[[c for c in range(1 << 16) if chr(c).isalpha() or 0xD800 <= c < 0xE000]] = 1
-    for i, c in enumerate(letters):
-        out[ord(c)] = i + 2
-    return out
-
-
-def all_grams(text: str, symbol: np.ndarray) -> np.ndarray:
-    one = symbol[np.frombuffer(f" {text.lower()} ".encode("utf-16-le", "surrogatepass"), np.uint16)]
-    two = one[:-1] * SYMBOLS + one[1:]
-    three = two[:-1] * SYMBOLS + one[2:]
-    return np.concatenate([one, two + SYMBOLS, three + SYMBOLS + SYMBOLS**2])
-
-
-def distinct(grams: np.ndarray, seen: np.ndarray) -> np.ndarray:
-    """The distinct values; seen is a scratch table that needs no cleaning."""
-    at = np.arange(len(grams), dtype=np.int32)
-    seen[grams] = at
-    return grams[seen[grams] == at]
+        """Kernel values, texts x landmarks: a product of presence matrices, over a block of codes at a time."""
+        grams = [np.unique(all_grams(t)) for t in texts]
+        own = np.array([len(g) for g in grams])
+        at = places(self.codes, np.concatenate(grams))
+        row, at = np.repeat(np.arange(len(texts)), own)[at >= 0], at[at >= 0]
+        shared = np.zeros((len(texts), self.presence.shape[1]), np.float32)
+        for low in range(0, len(self.codes), BLOCK):
+            part = self.presence[low : low + BLOCK].astype(np.float32)
+            now = (at >= low) & (at < low + BLOCK)
+            held = np.zeros((len(texts), len(part)), np.float32)
+            held[row[now], at[now] - low] = 1
+            shared += held @ part
+        return shared / np.sqrt(own[:, None] * np.maximum(self.presence.sum(0, dtype=np.float32), 1))
+
+
+def places(codes: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Where each n-gram is among the sorted codes, or -1."""
+    if not len(codes):
+        return np.full(len(grams), -1)
+    at = np.minimum(np.searchsorted(codes, grams), len(codes) - 1)
+    return np.where(codes[at] == grams, at, -1)
 
 
 def kernel_of(landmarks: list[str]) -> Kernel:
-    found = Counter(c for t in landmarks for c in t.lower() if c.isalpha() and ord(c) < 1 << 16)
-    letters = "".join(c for c, _ in sorted(found.items(), key=lambda x: (-x[1], x[0]))[: SYMBOLS - 2])
-    symbol = symbols(letters)
-    grams = [np.unique(all_grams(t, symbol)) for t in landmarks]
+    grams = [np.unique(all_grams(t)) for t in landmarks]
     codes = np.unique(np.concatenate(grams))
     presence = np.zeros((len(codes), len(landmarks)), np.uint8)
     for i, g in enumerate(grams):
         presence[np.searchsorted(codes, g), i] = 1
-    return Kernel(letters, codes, presence)
+    return Kernel(codes, presence)
 
 
 @dataclass
@@ -158,40 +155,43 @@ class Model:
         return [x for x, _ in out], [x for _, x in out]
 
 
-def training_sample(docs: DataFrame, learn: Column) -> list[tuple[int, str, bool]]:
-    """(doc_id, lang, whether a landmark): a bounded sample, the same whatever the partitions are."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+def training_sample(docs: DataFrame, learn: Column) -> DataFrame:
+    """(doc_id, lang, text, mark): a bounded sample, the same whatever the order of rows is; mark: whether a landmark."""
     may = docs.where(learn & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    ranked = may.select("doc_id", "lang", F.row_number().over(order).alias("n")).where(F.col("n") <= ROWS_PER_LANG)
-    return [(r.doc_id, r.lang, r.n <= LANDMARKS_PER_LANG) for r in ranked.collect()]
+    may = may.select(F.col("doc_id").cast("long"), "lang", "text").withColumn("h", F.xxhash64("doc_id"))
+    # ranks are given below a hash under which twice the sample is expected, so that no task sorts a whole language
+    sizes = may.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).collect()
+    cuts = [x for r in sizes for x in (F.lit(r.lang), F.lit(min((2 * ROWS_PER_LANG << 64) // max(1, r.n), (1 << 64) - 1) - (1 << 63)))]
+    few = may.where(F.col("h") <= F.element_at(F.create_map(*cuts), F.col("lang"))) if cuts else may.limit(0)
+    one = few.groupBy("lang", "doc_id", "h").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("t"))
+    ranked = one.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("n") <= ROWS_PER_LANG)
+    return ranked.select("doc_id", "lang", F.col("t.text").alias("text"), (F.col("n") <= LANDMARKS_PER_LANG).alias("mark"))
 
 
 def learn_model(docs: DataFrame, learn: Column) -> Model:
     """Learns from rows of docs (doc_id, text, lang) for which learn holds. Only landmark texts reach the driver."""
-    sample = {d: (lang, mark) for d, lang, mark in sorted(training_sample(docs, learn))}
-    if not sample:
+    sample = stored(training_sample(docs, learn), "language-sample")
+    landmarks = sorted((r.doc_id, r.lang, r.text) for r in sample.where("mark").collect())
+    if not landmarks:
         return Model([])
-    texts = docs.where(learn & F.col("text").isNotNull()).select("doc_id", "text")
-    marks = [d for d, (_, mark) in sample.items() if mark]
-    landmarks = sorted({r.doc_id: r.text for r in texts.where(F.col("doc_id").isin(marks)).collect()}.items())
-    kernel = kernel_of([t for _, t in landmarks])
+    kernel = kernel_of([t for *_, t in landmarks])
 
     def values(batches: Iterator) -> Iterator:
         import pandas as pd
 
         for batch in batches:
             if len(batch):
-                yield pd.DataFrame({"doc_id": batch["doc_id"], "k": list(kernel.values(list(batch["text"])).astype(float))})
+                yield pd.DataFrame({"doc_id": batch["doc_id"], "lang": batch["lang"], "k": list(kernel.values(list(batch["text"])).astype(float))})
 
-    rows = texts.where(F.col("doc_id").isin(list(sample))).mapInPandas(values, "doc_id long, k array<double>").collect()
-    rows = sorted({r.doc_id: r.k for r in rows}.items())
-    languages = sorted({lang for lang, _ in sample.values()})
-    k_nm = np.array([k for _, k in rows])
-    target = np.array([[1.0 if sample[d][0] == lang else -1.0 for lang in languages] for d, _ in rows])
+    rows = sample.select("doc_id", "lang", "text").mapInPandas(values, "doc_id long, lang string, k array<double>").collect()
+    rows = sorted((r.doc_id, r.lang, r.k) for r in rows)
+    languages = sorted({lang for _, lang, _ in rows})
+    k_nm = np.array([k for *_, k in rows])
+    target = np.array([[1.0 if own == lang else -1.0 for lang in languages] for _, own, _ in rows])
     own = kernel.presence.astype(float)
     k_mm = own.T @ own / np.sqrt(np.outer(own.sum(0), own.sum(0)))
     weights = np.linalg.lstsq(k_nm.T @ k_nm + RIDGE * len(rows) * k_mm, k_nm.T @ target, rcond=None)[0]
-    own_share, mark_lang = kernel.known([t for _, t in landmarks], 2)[0], np.array([sample[d][0] for d, _ in landmarks])
+    own_share, mark_lang = kernel.known([t for *_, t in landmarks], 2)[0], np.array([lang for _, lang, _ in landmarks])
     known_share = KNOWN_SHARE * min(float(np.quantile(own_share[mark_lang == lang], 0.1)) for lang in languages)
     return Model(languages, kernel, weights.astype(np.float32), known_share)
 

@@ -81,3 +81,33 @@ def test_query_on_held_out_rows(spark, sf):
     held = [r for r in rows if r.held_out and lang[r.doc_id] and r.lang_pred != L.UND]
     assert len(rows) == len(lang) and len(held) > 20
     assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.95 * len(held)
+
+
+def test_all_letters_keep_their_n_grams_apart():
+    marks = ["我能吞下玻璃而不伤身体", "日本語の文章です", "한국어 문장입니다", "🙂 Съешь же ещё", "a🙂b"]
+    texts = [*marks, "我能 body 文章", "문장 ещё 🙂", "zzz"]
+    got = L.kernel_of(marks).values(texts)
+    for i, t in enumerate(texts):
+        for k, m in enumerate(marks):
+            own, theirs = grams_by_hand(t), grams_by_hand(m)
+            assert got[i, k] == pytest.approx(len(own & theirs) / np.sqrt(len(own) * len(theirs)), rel=1e-5)
+
+
+def test_rows_that_repeat_an_id_give_one_model_in_any_order(spark, labelled):
+    rng = random.Random(9)
+    again = [(i % 7, text_of(rng, lang), lang, "x") for i, lang in enumerate(list(SYLLABLES) * 8)] + labelled[:9] * 2
+    rows = labelled + again
+    one, many = (L.learn_model(spark.createDataFrame(r, KIND).repartition(n), F.lit(True)) for r, n in ((rows, 1), (rows[::-1], 5)))
+    assert np.array_equal(one.kernel.codes, many.kernel.codes) and np.allclose(one.weights, many.weights)
+
+
+def test_sample_holds_the_smallest_hashes(spark, labelled, monkeypatch):
+    monkeypatch.setattr(L, "ROWS_PER_LANG", 7)
+    monkeypatch.setattr(L, "LANDMARKS_PER_LANG", 3)
+    docs = frame(spark, labelled)
+    hashed = {r.doc_id: (r.h, r.doc_id) for r in docs.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    got = L.training_sample(docs, F.lit(True)).collect()
+    for lang in SYLLABLES:
+        want = sorted((i for i, _, x, _ in labelled if x == lang), key=hashed.get)
+        assert {r.doc_id for r in got if r.lang == lang} == set(want[:7])
+        assert {r.doc_id for r in got if r.lang == lang and r.mark} == set(want[:3])
