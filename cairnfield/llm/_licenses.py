@@ -79,16 +79,99 @@ DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING F
 WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
 PERFORMANCE OF THIS SOFTWARE."""
 
-#: Texts whose titles may be there or not are listed both ways.
+_MIT_END = _MIT[_MIT.index('THE SOFTWARE IS PROVIDED "AS IS"') :]
+
+_MIT_0 = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+persons to whom the Software is furnished to do so.
+"""
+
+_0BSD = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+granted.
+"""
+
+_X11 = """Except as contained in this notice, the name of the X Consortium shall not be used in advertising or otherwise to
+promote the sale, use or other dealings in this Software without prior written authorization from the X Consortium.
+X Window System is a trademark of X Consortium, Inc."""
+
+_BSD4 = """3. All advertising materials mentioning features or use of this software must display the following
+acknowledgement: This product includes software developed by the organization.
+4. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission.
+"""
+
+_ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be
+held liable for any damages arising from the use of this software.
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it
+and redistribute it freely, subject to the following restrictions:
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If
+you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not
+required.
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution."""
+
+_BSL = """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and
+accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and
+transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software
+is furnished to do so, all subject to the following:
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and
+the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works
+of the Software, unless such copies or derivative works are solely in the form of machine-executable object code
+generated by a source language processor.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE
+COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT,
+TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+_UNLICENSE = """This is free and unencumbered software released into the public domain.
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or
+as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright
+interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the
+detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of
+all present and future rights to this software under copyright law.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE
+LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT
+OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+For more information, please refer to <https://unlicense.org/>"""
+
+_POSTGRESQL = """Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without
+fee, and without a written agreement is hereby granted, provided that the above copyright notice and this paragraph and
+the following two paragraphs appear in all copies.
+IN NO EVENT SHALL THE UNIVERSITY OF CALIFORNIA BE LIABLE TO ANY PARTY FOR DIRECT, INDIRECT, SPECIAL, INCIDENTAL, OR
+CONSEQUENTIAL DAMAGES, INCLUDING LOST PROFITS, ARISING OUT OF THE USE OF THIS SOFTWARE AND ITS DOCUMENTATION, EVEN IF THE
+UNIVERSITY OF CALIFORNIA HAS BEEN ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+THE UNIVERSITY OF CALIFORNIA SPECIFICALLY DISCLAIMS ANY WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES
+OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE. THE SOFTWARE PROVIDED HEREUNDER IS ON AN "AS IS" BASIS, AND THE
+UNIVERSITY OF CALIFORNIA HAS NO OBLIGATIONS TO PROVIDE MAINTENANCE, SUPPORT, UPDATES, ENHANCEMENTS, OR MODIFICATIONS."""
+
+_WTFPL = """Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing
+it is allowed as long as the name is changed.
+DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE TERMS AND CONDITIONS FOR COPYING, DISTRIBUTION AND MODIFICATION
+0. You just DO WHAT THE FUCK YOU WANT TO."""
+
+#: (licence, title, text) of whole texts; a title may be there or not.
+_WHOLE = [
+    ("MIT", "MIT License", _MIT),
+    ("MIT-0", "MIT No Attribution", _MIT_0 + _MIT_END),
+    ("X11", "X11 License", _MIT + "\n" + _X11),
+    ("BSD-2-Clause", "BSD 2-Clause License", _BSD2 + _DISCLAIMER),
+    ("BSD-3-Clause", "BSD 3-Clause License", _BSD2 + _BSD3 + _DISCLAIMER),
+    ("BSD-4-Clause", "BSD 4-Clause License", _BSD2 + _BSD4 + _DISCLAIMER),
+    ("ISC", "ISC License", _ISC + _ISC_END),
+    ("0BSD", "BSD Zero Clause License", _0BSD + _ISC_END),
+    ("Zlib", "zlib License", _ZLIB),
+    ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003", _BSL),
+    ("Unlicense", "The Unlicense", _UNLICENSE),
+    ("PostgreSQL", "PostgreSQL License", _POSTGRESQL),
+    ("WTFPL", "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE\nVersion 2, December 2004", _WTFPL),
+]
+
 KNOWN = {
-    "MIT": _MIT,
-    "MIT+title": "MIT License\n" + _MIT,
-    "BSD-2-Clause": _BSD2 + _DISCLAIMER,
-    "BSD-2-Clause+title": "BSD 2-Clause License\n" + _BSD2 + _DISCLAIMER,
-    "BSD-3-Clause": _BSD2 + _BSD3 + _DISCLAIMER,
-    "BSD-3-Clause+title": "BSD 3-Clause License\n" + _BSD2 + _BSD3 + _DISCLAIMER,
-    "ISC": _ISC + _ISC_END,
-    "ISC+title": "ISC License\n" + _ISC + _ISC_END,
+    **{name: text for name, _, text in _WHOLE},
+    **{f"{name}+title": f"{title}\n{text}" for name, title, text in _WHOLE},
     "notice:Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "notice:CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "notice:GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",

@@ -46,3 +46,30 @@ def test_equal_texts_are_reported_by_the_smallest_id(spark):
 
 def test_query_equals_the_sql(spark, sf):
     assert spark_rows(S.op10_license_scan(spark, sf)) == duck_rows(S.oracle_sql(), sf)
+
+
+def test_rows_without_an_id_keep_their_notices(spark):
+    notice = "prose\nLicensed under CC BY-NC 4.0."
+    got = scan(spark, [(None, notice), (None, "prose"), (1, notice), (2, notice), (2, "Released under the MIT License."), (2, "prose")])
+    assert sorted(got[None]) == [(None, ""), (None, "notice:CC-BY-NC-4.0")] and got[1] == [(None, "notice:CC-BY-NC-4.0")]
+    assert sorted(got[2], key=str) == [("notice:MIT", "notice:MIT"), (None, ""), (None, "notice:CC-BY-NC-4.0")]
+
+
+def test_rows_without_an_id_equal_the_sql(spark, tmp_path):
+    rows = [(None, "a\nLicensed under CC BY-NC 4.0."), (1, "Licensed under CC BY-NC 4.0.\nb"), (1, "c"), (None, None), (3, KNOWN["Zlib"])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert spark_rows(S.op10_license_scan(spark, str(tmp_path))) == duck_rows(S.oracle_sql(), str(tmp_path))
+
+
+def test_every_known_text_is_found_as_itself(spark):
+    rows = list(enumerate(KNOWN.items()))
+    got = scan(spark, [(i, "(C) 2020 Jo\n" + text.title().replace(". ", " .\n")) for i, (_, text) in rows])
+    assert {i: got[i][0][0] for i, _ in rows} == {i: name for i, (name, _) in rows}
+
+
+def test_columns_that_clash_and_known_texts_of_a_folder(spark, tmp_path):
+    (tmp_path / "Own-1.0.txt").write_text("Do as you like.\nBut be kind.")
+    names = ["lines", "row", "notices", "canonical_sha256"]
+    docs = spark.createDataFrame([(1, "DO AS YOU LIKE, but be kind!", *"abcd")], ["doc_id", "text", *names])
+    got = S.scan_licenses(docs, S.licenses_in(spark, str(tmp_path))).collect()
+    assert [(r.doc_id, r.license_id, r.notices) for r in got] == [(1, "Own-1.0", "Own-1.0")]
