@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnfield.llm._shared import ASCII_SPACE, ascii_lower, dropped, new_path, stored, table
+from cairnfield.llm._shared import ASCII_SPACE, ascii_lower, beside, dropped, new_path, stored, table
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -40,10 +40,11 @@ def key_hash(key: Column) -> Column:
     return F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(SECOND_SEED), key).alias("h2"))
 
 
-def long_key_hashes(text: Column, min_chars: int) -> Column:
-    """The distinct hashes of a text's keys of min_chars code points or more."""
-    keys = F.filter(F.transform(lines_of(text), line_key), lambda k: F.length(k) >= min_chars)
-    return F.array_distinct(F.transform(keys, key_hash))
+def long_keys(text: Column, min_chars: int) -> Column:
+    """Structs (pos, h1, h2) of the lines, from 0, whose keys have min_chars code points or more."""
+    at = F.transform(lines_of(text), lambda line, i: F.struct(i.alias("pos"), line_key(line).alias("key")))
+    long = F.filter(at, lambda x: F.length(x["key"]) >= min_chars)
+    return F.transform(long, lambda x: F.struct(x["pos"].alias("pos"), key_hash(x["key"])["h1"].alias("h1"), key_hash(x["key"])["h2"].alias("h2")))
 
 
 class LineRuns:
@@ -92,36 +93,49 @@ class LineRuns:
 
 
 def repeated_lines(docs: DataFrame, min_chars: int, min_docs: int, batches: int) -> DataFrame:
-    """(doc_id, drops): for each document, the hashes of the keys whose lines go from it."""
+    """(doc_id, text_hash, gone): for each text of a document, the sorted places of the lines that go from it."""
     spark = docs.sparkSession
     held = docs.where(F.col("doc_id").isNotNull())
     cuts = held.select(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 1000).alias("c")).first()
     cuts = sorted(set(cuts["c"] or []), reverse=True)
     batch = reduce(lambda n, c: n + (F.col("doc_id") <= F.lit(c)).cast("int"), cuts, F.lit(0))
-    keyed = held.select("doc_id", batch.alias("batch"), F.explode(long_key_hashes(F.col("text"), min_chars)).alias("k"))
-    keyed = stored(keyed.select("doc_id", "k.h1", "k.h2", "batch"), "line-keys", "batch")
+    # texts are hashed before their lines are spread, or else they would be for every line
+    keyed = held.select("doc_id", F.xxhash64("text").alias("text_hash"), batch.alias("batch"), long_keys(F.col("text"), min_chars).alias("keys"))
+    keyed = stored(keyed.withColumn("k", F.explode("keys")).select("doc_id", "text_hash", "k.pos", "k.h1", "k.h2", "batch"), "line-keys", "batch")
     runs = LineRuns(spark)
     for i in range(len(cuts) + 1):
-        # repeated rows of a document must count once; a document's rows are all in one batch
-        runs.add(keyed.where(F.col("batch") == i).groupBy("h1", "h2", "doc_id").agg(F.lit(1)).select("doc_id", "h1", "h2"))
+        # a document's repeated lines and rows must count once; its rows are all in one batch
+        runs.add(keyed.where(F.col("batch") == i).select("doc_id", "h1", "h2").distinct())
     hot = stored(LineRuns.totals(runs.rows()).where(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper"), "line-hot")
     drops = keyed.join(hot, ["h1", "h2"]).where(F.col("doc_id") < F.col("keeper"))
-    return drops.groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("drops"))
+    # places are the same in rows that repeat a document and its text
+    return drops.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("pos")).alias("gone"))
+
+
+def without(lines: Column, gone: Column) -> Column:
+    """The lines but for those at the sorted places `gone`, by a mask that is made of the gaps between them."""
+    ends = F.arrays_zip(F.concat(F.array(F.lit(-1)), F.slice(gone, 1, F.size(gone) - 1)).alias("a"), gone.alias("b"))
+    mask = F.flatten(F.transform(ends, lambda e: F.concat(F.array_repeat(F.lit(False), e["b"] - e["a"] - 1), F.array(F.lit(True)))))
+    # the array around them binds both to a name, so that they are made once
+    bound = F.array(F.struct(lines.alias("lines"), mask.alias("mask")))
+    return F.transform(bound, lambda s: F.filter(s["lines"], lambda _, i: ~F.coalesce(F.get(s["mask"], i), F.lit(False))))[0]
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES) -> DataFrame:
-    """docs plus kept_text, n_lines and n_dropped.
+    """docs plus n_lines, kept_text and n_dropped.
 
     Keys of min_chars code points or more found in min_docs documents or more lose their lines except in the largest
     doc_id that holds them.
     """
     docs = docs.drop("kept_text", "n_lines", "n_dropped")
-    gone = repeated_lines(docs, min_chars, min_docs, batches).withColumnsRenamed({"doc_id": "__doc", "drops": "__drops"})
-    both = docs.join(gone, F.col("doc_id") == F.col("__doc"), "left").drop("__doc")
-    stays = lambda line: ~F.array_contains(F.col("__drops"), key_hash(line_key(line)))
-    kept = F.when(F.col("__drops").isNull(), lines_of(F.col("text"))).otherwise(F.filter(lines_of(F.col("text")), stays))
-    both = both.withColumn("n_lines", F.size(lines_of(F.col("text"))).cast("long")).withColumn("__kept", kept)
-    return both.withColumns({"kept_text": F.array_join("__kept", "\n"), "n_dropped": F.col("n_lines") - F.size("__kept")}).drop("__kept", "__drops")
+    gone = repeated_lines(docs.select("doc_id", "text"), min_chars, min_docs, batches).withColumnRenamed("doc_id", "id")
+    own = beside(docs)
+    both = own.join(gone, (F.col("doc_id") == F.col("id")) & (F.xxhash64("text") == F.col("text_hash")), "left")
+    kept = F.array_join(without(lines_of(F.col("text")), F.col("gone")), "\n")
+    text = F.when(F.col("gone").isNull(), F.coalesce("text", F.lit(""))).otherwise(kept)
+    n_lines = F.size(lines_of(F.col("text"))).cast("long")
+    out = both.select(*own.columns, n_lines.alias("n_lines"), text.alias("kept_text"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"))
+    return out.toDF(*docs.columns, "n_lines", "kept_text", "n_dropped")
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

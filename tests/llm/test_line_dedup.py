@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import pytest
 
@@ -86,3 +87,23 @@ def test_digests_are_those_of_the_kept_text(spark, tmp_path):
     frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.kept_sha256 for r in L.op5_line_dedup(spark, str(tmp_path)).collect()}
     assert got == {i: hashlib.sha256(t.encode()).hexdigest() for i, _, _, t in by_hand(rows)}
+
+
+def test_columns_of_any_name_pass_through(spark):
+    names = ["__doc", "__kept", "id", "gone", "text_hash", "h1", "pos", "column3", "kept_text"]
+    rows = [(i, f"{LONG}\n{i}", *[f"{n}{i}" for n in names]) for i in range(3)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *names]).repartition(2)
+    out = L.dedup_lines(docs)
+    assert out.columns == ["doc_id", "text", *names[:-1], "n_lines", "kept_text", "n_dropped"]
+    assert sorted((r.doc_id, r["__doc"], r["__kept"], r.gone, r.kept_text) for r in out.collect()) == [(i, f"__doc{i}", f"__kept{i}", f"gone{i}", f"{i}" if i < 2 else f"{LONG}\n2") for i in range(3)]
+
+
+def test_a_text_of_many_repeated_lines_takes_seconds(spark):
+    shared = [f"a line that three documents hold, number {k}" for k in range(50_000)]
+    own = [f"a line that only one document holds, number {k}" for k in range(50_000)]
+    whole = [x for pair in zip(shared, own) for x in pair]
+    rows = [(1, "\n".join(whole)), (2, "\n".join(shared)), (3, "\n".join(shared))]
+    began = time.monotonic()
+    got = rows_of(L.dedup_lines(frame(spark, rows)).cache())
+    assert time.monotonic() - began < 60
+    assert got == [(1, 100_000, 50_000, "\n".join(own)), (2, 50_000, 50_000, ""), (3, 50_000, 0, "\n".join(shared))]
