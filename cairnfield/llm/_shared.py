@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,5 +57,19 @@ def named_as(out: DataFrame, docs: DataFrame) -> DataFrame:
     return out.select(beside(docs).columns).toDF(*docs.columns)
 
 
+def parts_of(batch, column: int, rows: int, octets: int = 4 << 20) -> Iterator:  # noqa: ANN001
+    """Slices of an Arrow batch of `rows` rows at most and, but for single longer texts, `octets` bytes of a text column."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(ends):
+        full = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + octets, side="right"))
+        end = max(at + 1, min(at + rows, full))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

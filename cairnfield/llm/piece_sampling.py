@@ -18,22 +18,27 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from array import array
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnfield.llm._shared import table
+from cairnfield.llm._shared import parts_of, table
 
 SEED = 1
 #: Weight of the piece of rank r: (r + RANK_SHIFT) ** -SHARPNESS; of a byte: BYTE_WEIGHT.
 RANK_SHIFT = 10.0
 SHARPNESS = 1.0
 BYTE_WEIGHT = 1e-6
-#: Distinct segments in a task's cache, and rows that are drawn together.
+#: Distinct segments in a task's cache and their characters at most, and rows that are drawn together.
 CACHE_SEGMENTS = 150_000
+CACHE_PLACES = 1_500_000
 BATCH_ROWS = 300
+#: Characters from which a segment is gone through on its own.
+LONG = 2000
 
 MARK = "▁"
 _SEGMENT = re.compile("[\n" + MARK + "]| *[^ \n" + MARK + "]+| +")
@@ -53,7 +58,7 @@ def model_path(name: str = "piece_bpe_32k.model") -> str:
 class Pieces:
     """The vocabulary: ids and log weights of pieces with blanks for marks, ids of bytes, and texts by id."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, rank_shift: float = RANK_SHIFT, sharpness: float = SHARPNESS):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -70,9 +75,10 @@ class Pieces:
                 self.text[i] = piece
                 if "\n" in piece or " " in piece.lstrip(" "):
                     raise ValueError(f"piece {piece!r} goes on over a blank or line break")
-                self.ids[piece] = (i, -SHARPNESS * math.log(rank + RANK_SHIFT))
+                self.ids[piece] = (i, -sharpness * math.log(rank + rank_shift))
                 rank += 1
         self.longest = max(map(len, self.ids))
+        self.is_byte = np.array([t.__class__ is int for t in self.text])
         self.hashed()
 
     def edges(self, segment: str, end: int) -> Iterator[tuple[int, tuple[int, ...], float]]:
@@ -108,6 +114,8 @@ class Pieces:
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; runs of bytes are read as UTF-8."""
+        if not self.is_byte[ids].any():
+            return "".join(map(self.text.__getitem__, ids.tolist()))
         out, raw = [], bytearray()
         for t in map(self.text.__getitem__, ids.tolist()):
             if t.__class__ is int:
@@ -172,6 +180,47 @@ def forward(pieces: Pieces, segments: list[str]) -> tuple[np.ndarray, np.ndarray
     return base + sizes, shares, before, piece.T[held]
 
 
+class LongSegment:
+    """The forward table of one segment, place by place: the edges that end at place n are first[n - 1]..first[n] - 1.
+
+    share holds cumulative shares of a place's edges, back their lengths, piece as forward() has it.
+    """
+
+    def __init__(self, pieces: Pieces, segment: str):
+        known, most = pieces.ids.get, pieces.longest
+        alpha = array("d", bytes(8 * (len(segment) + 1)))
+        self.first, self.share, self.back, self.piece = array("q", [0]), array("d"), array("H"), array("i")
+        for end in range(1, len(segment) + 1):
+            found = [(n, hit) for n in range(1, min(end, most) + 1) if (hit := known(segment[end - n : end]))]
+            if not found or found[0][0] > 1:
+                c = ord(segment[end - 1])
+                found.insert(0, (1, (-1 - c, math.log(BYTE_WEIGHT) * len(chr(c).encode("utf-8", "surrogatepass")))))
+            paths = [w + alpha[end - n] for n, (_, w) in found]
+            top = max(paths)
+            parts = [math.exp(x - top) for x in paths]
+            whole, so_far = math.fsum(parts), 0.0
+            alpha[end] = top + math.log(whole)
+            for (n, (i, _)), part in zip(found, parts, strict=True):
+                so_far += part
+                self.share.append(so_far / whole)
+                self.back.append(n)
+                self.piece.append(i)
+            self.first.append(len(self.share))
+
+    def drawn(self, uniform: Callable[[int, int], np.ndarray]) -> np.ndarray:
+        """Pieces in order; uniform(a, b) gives the draws a..b-1."""
+        first, share, back, piece = self.first, self.share, self.back, self.piece
+        at, out, step = len(first) - 1, array("i"), 1 << 14
+        while at:
+            for u in uniform(len(out), len(out) + step).tolist():
+                edge = bisect_right(share, u, first[at - 1], first[at] - 1)
+                out.append(piece[edge])
+                at -= back[edge]
+                if not at:
+                    break
+        return np.array(out, np.int32)[::-1]
+
+
 class Sampler:
     """Draws segmentations of batches of rows; holds the forward tables of segments as flat arrays.
 
@@ -179,8 +228,8 @@ class Sampler:
     cumulative share, so one binary search finds the edge that a draw at a node means.
     """
 
-    def __init__(self, path: str, seed: int = SEED, most: int = CACHE_SEGMENTS):
-        self.pieces, self.seed, self.most = Pieces(path), seed, most
+    def __init__(self, path: str, seed: int = SEED, most: int = CACHE_SEGMENTS, rank_shift: float = RANK_SHIFT, sharpness: float = SHARPNESS):
+        self.pieces, self.seed, self.most = Pieces(path, rank_shift, sharpness), seed, most
         self._clear()
 
     def _clear(self) -> None:
@@ -203,11 +252,11 @@ class Sampler:
             at = end
         self.share, self.before, self.piece = (np.concatenate(x) for x in zip(*parts, strict=True))
 
-    def draws(self, keys: np.ndarray, segment: np.ndarray, draw: int) -> np.ndarray:
+    def draws(self, keys: np.ndarray, segment: np.ndarray, draw: int | np.ndarray) -> np.ndarray:
         """Uniform numbers in [0, 1), the same for the same seed, key, segment and draw."""
         with np.errstate(over="ignore"):
             x = keys.view(np.uint64) * _U(0x9E3779B97F4A7C15) + segment.astype(np.uint64) * _U(0xC2B2AE3D27D4EB4F)
-            x += _U((self.seed * 0x165667B19E3779F9 + draw * 0x27D4EB2F165667C5) & 0xFFFFFFFFFFFFFFFF)
+            x = x + _U(self.seed * 0x165667B19E3779F9 & 0xFFFFFFFFFFFFFFFF) + np.asarray(draw, np.uint64) * _U(0x27D4EB2F165667C5)
             for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
                 x = (x ^ (x >> _U(shift))) * _U(factor)
             x ^= x >> _U(31)
@@ -217,18 +266,21 @@ class Sampler:
         """The ids of each text."""
         rows = [_SEGMENT.findall(t) for t in texts]
         flat = [s for r in rows for s in r]
-        missing = list(set(flat).difference(self.last))
+        long = [i for i, s in enumerate(flat) if len(s) > LONG]
+        short = set(flat).difference([flat[i] for i in long])
+        missing = list(short.difference(self.last))
         if missing:
-            if len(self.last) + len(missing) > self.most:
+            if len(self.last) + len(missing) > self.most or self.nodes + sum(map(len, missing)) > CACHE_PLACES:
                 self._clear()
-                missing = list(set(flat))
+                missing = list(short)
             self._add(missing)
         counts = np.array([len(r) for r in rows], np.int64)
         start = np.cumsum(counts) - counts
         key = np.repeat(np.array([k or 0 for k in keys], np.int64), counts)
         number = np.arange(len(flat)) - np.repeat(start, counts)
-        node = np.array([self.last[s] for s in flat], np.int64)
-        live, drawn, edges, step = np.arange(len(flat)), [], [], 0
+        live = np.delete(np.arange(len(flat)), long)
+        node = np.array([self.last[flat[i]] for i in live], np.int64)
+        drawn, edges, step = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
         while len(live):
             edge = np.searchsorted(self.share, node + self.draws(key[live], number[live], step), side="right")
             drawn.append(live)
@@ -236,15 +288,17 @@ class Sampler:
             node = self.before[edge]
             live, node = live[node >= 0], node[node >= 0]
             step += 1
-        if not drawn:
-            return [np.zeros(0, np.int32) for _ in texts]
-        turn = np.repeat(np.arange(len(drawn)), [len(d) for d in drawn])
+        alone = {i: LongSegment(self.pieces, flat[i]).drawn(lambda a, b, i=i: self.draws(key[i : i + 1], number[i : i + 1], np.arange(a, b))) for i in long}
+        turn = np.repeat(np.arange(len(drawn)) - 1, [len(d) for d in drawn])
         drawn, edges = np.concatenate(drawn), np.concatenate(edges)
         pieces = np.bincount(drawn, minlength=len(flat))
+        for i, found in alone.items():
+            pieces[i] = len(found)
         ends = np.cumsum(pieces)
-        order = np.empty(len(edges), np.int64)
-        order[ends[drawn] - 1 - turn] = edges
-        ids = self.piece[order]
+        ids = np.empty(ends[-1] if len(flat) else 0, np.int32)
+        ids[ends[drawn] - 1 - turn] = self.piece[edges]
+        for i, found in alone.items():
+            ids[ends[i] - len(found) : ends[i]] = found
         upto = np.concatenate([[0], np.cumsum(pieces)])[np.concatenate([start, [len(flat)]])]
         if (ids < 0).any():
             own = {int(x): self.pieces.bytes_of(-1 - int(x)) for x in np.unique(ids[ids < 0])}
@@ -260,17 +314,19 @@ class Sampler:
         return [ids[a:b] for a, b in zip(upto[:-1], upto[1:], strict=True)]
 
 
-def encode(docs: DataFrame, model: str | None = None, seed: int = SEED) -> DataFrame:
-    """(doc_id, text, ids): ids are little-endian unsigned 32-bit integers in a binary column."""
+def encode(docs: DataFrame, model: str | None = None, seed: int = SEED, rank_shift: float = RANK_SHIFT, sharpness: float = SHARPNESS) -> DataFrame:
+    """(doc_id, text, ids): ids are little-endian unsigned 32-bit integers in a binary column.
+
+    The piece of rank r weighs (r + rank_shift) ** -sharpness: a larger sharpness keeps nearer to the likeliest pieces.
+    """
     path = model or model_path()
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        sample = Sampler(path, seed)
+        sample = Sampler(path, seed, rank_shift=rank_shift, sharpness=sharpness)
         for batch in batches:
-            for k in range(0, batch.num_rows, BATCH_ROWS):
-                part = batch.slice(k, BATCH_ROWS)
+            for part in parts_of(batch, 1, BATCH_ROWS):
                 texts = part.column(1).to_pylist()
                 found = sample(part.column(0).to_pylist(), [t or "" for t in texts])
                 ids = [None if t is None else i.astype("<u4").tobytes() for t, i in zip(texts, found, strict=True)]
@@ -292,8 +348,7 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
 
         pieces = Pieces(path)
         for batch in batches:
-            for k in range(0, batch.num_rows, BATCH_ROWS):
-                part = batch.slice(k, BATCH_ROWS)
+            for part in parts_of(batch, at, BATCH_ROWS):
                 texts = [None if b is None else pieces.decode(np.frombuffer(b, "<u4")) for b in part.column(at).to_pylist()]
                 yield pa.record_batch([*part.columns, pa.array(texts, pa.string())], names=schema.names)
 

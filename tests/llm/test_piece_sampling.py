@@ -1,4 +1,5 @@
 import math
+import time
 from collections import Counter
 
 import numpy as np
@@ -6,6 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from cairnfield.llm import piece_sampling as P
 from cairnfield.llm.piece_sampling import MARK, Pieces, Sampler, decode, encode, model_path, op6_piece_sampling
 
 
@@ -73,3 +75,25 @@ def test_frame_with_nulls_and_clashing_names(spark):
 def test_query_is_lossless(spark, sf):
     rows = op6_piece_sampling(spark, sf).collect()
     assert rows and all(r.lossless for r in rows)
+
+
+def test_long_segments_follow_the_same_weights(sampler, monkeypatch):
+    monkeypatch.setattr(P, "LONG", 4)
+    keys = list(range(2000))
+    one = sampler(keys, [" there are bäume \U0001f600"] * 2000)
+    monkeypatch.setattr(P, "LONG", 2000)
+    assert all(np.array_equal(a, b) for a, b in zip(one, sampler(keys, [" there are bäume \U0001f600"] * 2000), strict=True))
+
+
+@pytest.mark.parametrize("text", ["x" * 1_000_000, "thequickbrownfox" * 62_500, "我能\U0001f600" * 333_333, "ab " * 333_333])
+def test_a_million_characters_take_seconds(sampler, text):
+    began = time.monotonic()
+    ids = sampler([3], [text])[0]
+    assert time.monotonic() - began < 60
+    assert sampler.pieces.decode(ids) == text
+
+
+def test_sharpness_is_a_parameter(spark):
+    docs = spark.createDataFrame([(i, "there are words") for i in range(50)], "doc_id long, text string")
+    sizes = {s: sum(len(r.ids) for r in encode(docs, sharpness=s).collect()) for s in (0.2, 3.0)}
+    assert sizes[0.2] != sizes[3.0]
