@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cairnfield.llm._shared import stored, table
+from cairnfield.llm._shared import parts_of, stored, table
 
 UND = "und"
 #: Bounds of the labelled sample: rows and landmarks for each language, those with the smallest hash of doc_id.
@@ -208,8 +208,7 @@ def identify(docs: DataFrame, model: Model, strict: bool = False) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            for k in range(0, batch.num_rows, BATCH):
-                part = batch.slice(k, BATCH)
+            for part in parts_of(batch, at, BATCH):
                 langs, scores = model.predict(part.column(at).to_pylist(), strict)
                 yield pa.record_batch([*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=schema.names)
 

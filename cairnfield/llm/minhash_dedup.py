@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnfield.llm._shared import dropped, new_path, stored, table
+from cairnfield.llm._shared import dropped, new_path, parts_of, stored, table
 from cairnfield.llm.components import components
 
 WORDS = 5
@@ -132,8 +132,7 @@ def signatures(docs: DataFrame, percent: int) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            for k in range(0, batch.num_rows, 1000):
-                part = batch.slice(k, 1000)
+            for part in parts_of(batch, 1, 1000):
                 sets = [shingle_set(t) for t in part.column(1).to_pylist()]
                 sigs = np.array([signature(s) for s in sets]).reshape(-1, HASHES)
                 with np.errstate(over="ignore"):

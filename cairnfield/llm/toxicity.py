@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cairnfield.llm._shared import stored, table
+from cairnfield.llm._shared import parts_of, stored, table
 
 #: Bounds of the labelled sample: rows of each class, those with the smallest hash of doc_id.
 SAMPLE = {1: 2000, 0: 4000}
@@ -77,8 +77,8 @@ def trigram_counts(docs: DataFrame) -> np.ndarray:
             table[ord(c)] = i
         total = np.zeros(N**3, np.int64)
         for batch in batches:
-            for k in range(0, batch.num_rows, 500):
-                text = " ".join(x for x in batch.column(0).slice(k, 500).to_pylist() if x).lower()
+            for part in parts_of(batch, 0, 500):
+                text = " ".join(x for x in part.column(0).to_pylist() if x).lower()
                 s = table[np.frombuffer(f"  {text}  ".encode("utf-16-le", "surrogatepass"), np.uint16)]
                 codes = (s[:-2] * N + s[1:-1]) * N + s[2:]
                 total += np.bincount(codes[(s[1:-1] > 0) | (s[2:] > 0)], minlength=N**3)
@@ -306,8 +306,7 @@ def learn_model(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
             import pyarrow as pa
 
             for batch in batches:
-                for k in range(0, batch.num_rows, 100):
-                    part = batch.slice(k, 100)
+                for part in parts_of(batch, 1, 100):
                     found = [features_of(restore_text(t, lm)) for t in part.column(1).to_pylist()]
                     found = [sorted(f if keep is None else f & keep) for f in found]
                     yield pa.record_batch([part.column(0), part.column(2), pa.array(found, pa.list_(pa.string()))], names=["doc_id", "toxic", "f"])
@@ -342,8 +341,7 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
 
         score = model.scorer()
         for batch in batches:
-            for k in range(0, batch.num_rows, 500):
-                part = batch.slice(k, 500)
+            for part in parts_of(batch, at, 500):
                 scores = [score(t) for t in part.column(at).to_pylist()]
                 yield pa.record_batch([*part.columns, pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())], names=schema.names)
 
