@@ -1,20 +1,25 @@
 """Approximate nearest neighbours by stable projections and kd-trees.
 
 Largest inner product becomes nearest Euclidean neighbour by one more component that gives all vectors the same norm.
-Gaussian (2-stable) projections to 8 dimensions turn a squared distance d^2 into d^2 times a chi-square variable. Each
-shard's projections are held in a kd-tree; a query visits leaves by their projected distance and verifies their vectors
-by the true inner product, until the next leaf is so far that, by the chi-square law, a vector nearer than the k-th
-found would have come before with probability CONFIDENCE.
+Gaussian (2-stable) projections to 8 dimensions turn a squared distance d^2 into d^2 times a chi-square variable. The
+index holds a kd-tree over the projections of each shard. It is built once and stored: a shard's vectors in the order of
+its leaves, which with their number fixes the tree. A query walks the tree best first, so leaves come by their projected
+distance, and verifies each leaf's vectors by the true inner product. After each leaf it is tested whether the next is so
+far that, by the chi-square law, a vector nearer than the k-th found would have come before with probability CONFIDENCE.
 
-Queries and shards meet in blocks of bounded size, so no task holds more than one shard and one block.
+A shard's size is bounded by memory. A task holds one shard and lets its queries stream by; a shard is sent to more than
+one task only where it has more than BLOCK_QUERIES queries, or where there would be fewer tasks than cores.
 
 Defined cases: null ids, and vectors that are null, zero or hold null or non-finite components, take no part, neither as
 queries nor as candidates; vectors of different lengths never meet; equal scores go to the smaller id; rows that repeat
-an id are candidates one by one, but never of a query of the same id; other columns take no part.
+an id are candidates one by one, but never of a query of the same id; of queries that repeat an id the one with the least
+hash of its vector is answered; where squares of components overflow, all vectors are verified; other columns take no
+part.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator
 
@@ -23,15 +28,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cairnfield.llm._shared import stored, table
-from cairnfield.llm.vectors import matrix, usable
+from cairnfield.llm.vectors import lists, matrix, runs, usable, whole
 
 K = 20
 DIMENSIONS = 8
 CONFIDENCE = 0.98
-SHARD_ROWS = 8192
-BLOCK_QUERIES = 4096
-LEAF = 64
+SHARD_BYTES = 64 << 20
+BLOCK_QUERIES = 250_000
+LEAF = 256
 SEED = 11
+INDEX = "shard long, size int, place long, ids array<long>, v array<double>, p array<double>"
 
 
 def chi_square_quantile(p: float, dof: int = DIMENSIONS) -> float:
@@ -45,140 +51,187 @@ def chi_square_quantile(p: float, dof: int = DIMENSIONS) -> float:
 
 
 class KdTree:
-    """Leaves of a balanced kd-tree: order holds row numbers leaf by leaf, low and high the leaves' bounding boxes."""
-
-    def __init__(self, points: np.ndarray, leaf: int = LEAF):
-        parts, todo = [], [np.arange(len(points))]
-        while todo:
-            rows = todo.pop()
-            if len(rows) <= leaf:
-                parts.append(rows)
-                continue
-            own = points[rows]
-            axis = int(np.argmax(own.max(0) - own.min(0)))
-            half = len(rows) // 2
-            rows = rows[np.argpartition(own[:, axis], half)]
-            todo += [rows[half:], rows[:half]]
-        self.leaves = parts
-        self.low = np.array([points[p].min(0) for p in parts])
-        self.high = np.array([points[p].max(0) for p in parts])
+    """A balanced kd-tree over points; leaves holds the row numbers of each leaf.
+
+    A node's rows are halved along its widest side, so the tree of points that are already in the order of the leaves
+    (ordered) follows from their number alone. The children of node i are left[i] and left[i] + 1; leaves have -1.
+    """
+
+    def __init__(self, points: np.ndarray, leaf: int = LEAF, ordered: bool = False):
+        self.order = np.arange(len(points))
+        self.start, self.end, self.left = [0], [len(points)], [-1]
+        node = 0
+        while node < len(self.start):
+            s, e = self.start[node], self.end[node]
+            if e - s > leaf:
+                half = (e - s) // 2
+                if not ordered:
+                    own = points[self.order[s:e]]
+                    axis = int(np.argmax(own.max(0) - own.min(0)))
+                    self.order[s:e] = self.order[s:e][np.argpartition(own[:, axis], half)]
+                self.left[node] = len(self.start)
+                self.start += [s, s + half]
+                self.end += [s + half, e]
+                self.left += [-1, -1]
+            node += 1
+        self.low, self.high = np.zeros((node, points.shape[1])), np.zeros((node, points.shape[1]))
+        for i in range(node - 1, -1, -1):  # children come after their parents
+            c = self.left[i]
+            if c < 0:
+                own = points[self.order[self.start[i] : self.end[i]]]
+                self.low[i], self.high[i] = own.min(0), own.max(0)
+            else:
+                self.low[i], self.high[i] = self.low[c : c + 2].min(0), self.high[c : c + 2].max(0)
+        self.leaf_nodes = [i for i in range(node) if self.left[i] < 0]
+        self.leaves = [self.order[self.start[i] : self.end[i]] for i in self.leaf_nodes]
 
     def box_distances(self, queries: np.ndarray) -> np.ndarray:
         """Squared distances of queries to the leaves' boxes."""
-        out = np.zeros((len(queries), len(self.leaves)))
-        for d in range(queries.shape[1]):
-            q = queries[:, d : d + 1]
-            out += np.maximum(np.maximum(self.low[:, d] - q, q - self.high[:, d]), 0) ** 2
-        return out
+        return np.stack([self.gaps(q, self.leaf_nodes) for q in queries])
+
+    def gaps(self, q: np.ndarray, nodes: slice | list) -> np.ndarray:
+        """Squared distances of a query to the boxes of nodes."""
+        d = np.maximum(np.maximum(self.low[nodes] - q, q - self.high[nodes]), 0)
+        return np.einsum("nd,nd->n", d, d)
+
+    def walk(self, q: np.ndarray) -> Iterator[tuple[float, int, int]]:
+        """(squared distance of the box, first and last place in `order`) of the leaves, nearest first."""
+        ahead = [(0.0, 0)]
+        while ahead:
+            gap, node = heapq.heappop(ahead)
+            c = self.left[node]
+            if c < 0:
+                yield gap, self.start[node], self.end[node]
+            else:
+                near, far = self.gaps(q, slice(c, c + 2)).tolist()
+                heapq.heappush(ahead, (near, c))
+                heapq.heappush(ahead, (far, c + 1))
+
+
+def projected(vectors: np.ndarray, norm2: float) -> np.ndarray:
+    """Projections of vectors with the component that makes all norms equal; norm2 is None for queries, which lack it."""
+    direction = np.random.default_rng(SEED).standard_normal((vectors.shape[1] + 1, DIMENSIONS))
+    out = vectors @ direction[:-1]
+    if norm2 is not None:
+        out += np.sqrt(np.maximum(norm2 - (vectors**2).sum(1), 0))[:, None] * direction[-1]
+    return out
 
 
 class Shard:
-    """An index of distinct vectors; the ids of each are held in rising order."""
-
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, norm2: float):
-        order = np.argsort(ids, kind="stable")
-        ids, vectors = ids[order], np.ascontiguousarray(vectors[order])
-        _, first, inverse = np.unique(vectors.view(np.dtype((np.void, vectors.shape[1] * 8))).ravel(), return_index=True, return_inverse=True)
-        self.vectors, self.norm2 = vectors[first], norm2
-        by = np.argsort(inverse, kind="stable")
-        self.owners = np.split(ids[by], np.cumsum(np.bincount(inverse))[:-1])
-        rest = np.sqrt(np.maximum(norm2 - (self.vectors**2).sum(1), 0))
-        self.direction = np.random.default_rng(SEED).standard_normal((vectors.shape[1] + 1, DIMENSIONS))
-        self.tree = KdTree(self.vectors @ self.direction[:-1] + rest[:, None] * self.direction[-1])
+    """A stored shard: distinct vectors in the order of the tree's leaves, with the rising ids of each."""
+
+    def __init__(self, owners: list[list[int]], vectors: np.ndarray, points: np.ndarray, norm2: float):
+        self.owners, self.vectors, self.norm2 = owners, vectors, norm2
+        self.tree = KdTree(points, ordered=True)
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, confidence: float) -> Iterator[tuple[int, int, float]]:
         """(query_id, vec_id, score) of the k nearest found for each query."""
-        tree, limit = self.tree, chi_square_quantile(confidence)
-        boxes = tree.box_distances(queries @ self.direction[:-1])
-        visit = np.argsort(boxes, axis=1, kind="stable")
-        q2 = (queries**2).sum(1)
-        n, leaves = len(queries), len(tree.leaves)
-        found_rows: list[list[np.ndarray]] = [[] for _ in range(n)]
-        found_scores: list[list[np.ndarray]] = [[] for _ in range(n)]
-        kth = np.full((n, 0), -np.inf)
-        active, step = np.arange(n), max(1, leaves // 12)
-        for at in range(0, leaves, step):
-            now = visit[active, at : at + step]
-            fresh = np.full((n, k + 1), -np.inf)
-            for leaf in np.unique(now):
-                asking = active[(now == leaf).any(1)]
-                rows = tree.leaves[leaf]
-                scores = queries[asking] @ self.vectors[rows].T
-                for i, s in zip(asking, scores, strict=True):
-                    found_rows[i].append(rows)
-                    found_scores[i].append(s)
-                most = min(k + 1, len(rows))
-                best = -np.partition(-scores, most - 1, axis=1)[:, :most]
-                both = np.concatenate([fresh[asking], best], axis=1)
-                fresh[asking] = -np.partition(-both, k, axis=1)[:, : k + 1]
-            kth = np.concatenate([kth, fresh], axis=1)
-            kth = -np.partition(-kth, k, axis=1)[:, : k + 1]
-            if at + step >= leaves:
-                break
-            # one more than k, as the query itself is among them
-            worst = np.maximum(q2[active] + self.norm2 - 2 * kth[active].min(1), 1e-12)
-            following = boxes[active, visit[active, at + step]]
-            active = active[following < limit * worst]
-            if not len(active):
-                break
-        for i in range(n):
-            rows, scores = np.concatenate(found_rows[i]), np.concatenate(found_scores[i])
-            slack = 1e-9 * (1 + abs(scores).max())
-            cut = -np.partition(-scores, min(k, len(scores) - 1))[min(k, len(scores) - 1)]
-            rows = rows[scores >= cut - slack]
+        limit = chi_square_quantile(confidence)
+        exact = not math.isfinite(self.norm2)
+        points = np.zeros((len(queries), DIMENSIONS)) if exact else projected(queries, None)
+        for query_id, q, point in zip(query_ids.tolist(), queries, points, strict=True):
+            # one more than k, as the query itself may be among them
+            best, rows, scores = np.full(k + 1, -np.inf), [], []
+            least, q2 = -np.inf, float(q @ q)
+            for gap, start, end in self.tree.walk(point):
+                if not exact and gap >= limit * max(q2 + self.norm2 - 2 * least, 1e-12):
+                    break
+                found = self.vectors[start:end] @ q
+                hit = np.flatnonzero(found >= least - 1e-9 * (1 + abs(least)) if math.isfinite(least) else found == found)
+                if len(hit):
+                    rows.append(start + hit)
+                    scores.append(found[hit])
+                    best = -np.partition(-np.concatenate([best, found[hit]]), k)[: k + 1]
+                    least = float(best.min())
+            rows, scores = np.concatenate(rows), np.concatenate(scores)
+            if math.isfinite(least):
+                rows = rows[scores >= least - 1e-9 * (1 + abs(least))]
             # matrix products may round by position; these sums don't
-            exact = (self.vectors[rows] * queries[i]).sum(1)
-            out = []
-            for s, r in zip(exact, rows, strict=True):
-                out += [(-s, o) for o in self.owners[r][: k + 1] if o != query_ids[i]]
-            for s, o in sorted(out)[:k]:
-                yield int(query_ids[i]), int(o), float(-s)
+            sums = (self.vectors[rows] * q).sum(1).tolist()
+            near = [(-s, o) for s, r in zip(sums, rows.tolist(), strict=True) for o in self.owners[r][: k + 1] if o != query_id]
+            for s, o in sorted(near)[:k]:
+                yield query_id, o, -s
+
+
+def index(held: DataFrame, shards: int, norm2: float) -> DataFrame:
+    """The stored index of held (vec_id, v, size): one row for each distinct vector of a shard, as INDEX says."""
 
+    def build(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-def nearest(vectors: DataFrame, queries: Column, k: int = K, confidence: float = CONFIDENCE, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found of each row of vectors (vec_id, embedding) where queries holds."""
+        def one(key: tuple, parts: list) -> pa.RecordBatch:
+            batch = whole(parts)
+            ids, v = batch.column(2).to_numpy(), np.ascontiguousarray(matrix(batch.column(3)))
+            order = np.argsort(ids, kind="stable")
+            ids, v = ids[order], v[order]
+            _, first, inverse = np.unique(v.view(np.dtype((np.void, v.shape[1] * 8))).ravel(), return_index=True, return_inverse=True)
+            owner = np.argsort(inverse, kind="stable")
+            owners = np.split(ids[owner], np.cumsum(np.bincount(inverse))[:-1])
+            v = v[first]
+            points = projected(v, norm2) if math.isfinite(norm2) else np.zeros((len(v), DIMENSIONS))
+            at = KdTree(points).order
+            n = len(at)
+            columns = [pa.array([key[0]] * n, pa.int64()), pa.array([key[1]] * n, pa.int32()), pa.array(range(n), pa.int64())]
+            columns += [pa.array([owners[i] for i in at], pa.list_(pa.int64())), lists(v[at]), lists(points[at])]
+            return pa.record_batch(columns, names=[c.split()[0] for c in INDEX.split(", ")])
+
+        group, parts = None, []
+        for key, part in runs(batches, 2):
+            if key != group and parts:
+                yield one(group, parts)
+                parts = []
+            group = key
+            parts.append(part)
+        if parts:
+            yield one(group, parts)
+
+    shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard")
+    dealt = held.select(shard, "size", "vec_id", "v").repartition("shard", "size").sortWithinPartitions("shard", "size")
+    return stored(dealt.mapInArrow(build, INDEX), "projection-index")
+
+
+def nearest(vectors: DataFrame, queries: Column, k: int = K, confidence: float = CONFIDENCE, shard_rows: int | None = None) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k nearest found of each row of vectors (vec_id, embedding) where queries holds.
+
+    shard_rows: vectors of a shard, as many as SHARD_BYTES hold if not given.
+    """
     held = stored(usable(vectors).withColumn("size", F.size("v")), "vectors")
-    ask = held.where(queries)
-    facts = held.agg(F.count("*").alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("norm2"), F.count_if(queries).alias("q")).first()
-    shards, blocks, norm2 = max(1, -(-facts.n // shard_rows)), max(1, -(-facts.q // BLOCK_QUERIES)), facts.norm2 or 0.0
-    base = held.select(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard"), F.explode(F.expr(f"sequence(0L, {blocks - 1}L)")).alias("block"), "size", F.lit(0).alias("asks"), "vec_id", "v")
-    asks = ask.select(F.explode(F.expr(f"sequence(0L, {shards - 1}L)")).alias("shard"), F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).alias("block"), "size", F.lit(1).alias("asks"), "vec_id", "v")
-    dealt = base.unionByName(asks).repartition("shard", "block", "size").sortWithinPartitions("shard", "block", "size", "asks", "vec_id")
+    squares = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+    facts = held.agg(F.count("*").alias("n"), F.max("size").alias("size"), F.max(squares).alias("norm2"), F.count_if(queries).alias("q")).first()
+    norm2 = facts.norm2 or 0.0
+    shards = max(1, -(-facts.n // (shard_rows or max(1, SHARD_BYTES // (8 * (facts.size or 1))))))
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    blocks = max(1, -(-facts.q // BLOCK_QUERIES), -(-cores // shards))
+    each = lambda n, name: F.explode(F.expr(f"sequence(0L, {n - 1}L)")).alias(name)
+    none = F.lit(None).cast("array<double>").alias("p")
+    base = index(held, shards, norm2).select("shard", "size", each(blocks, "block"), F.lit(0).alias("asks"), "place", "ids", "v", "p")
+    asking = held.where(queries).groupBy("vec_id").agg(F.min(F.struct(F.xxhash64("v"), "v", "size")).alias("q"))
+    block = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).alias("block")
+    asks = asking.select(each(shards, "shard"), "q.size", block, F.lit(1).alias("asks"), F.lit(0).cast("long").alias("place"), F.array("vec_id").alias("ids"), "q.v", none)
+    dealt = base.unionByName(asks).repartition("shard", "size", "block").sortWithinPartitions("shard", "size", "block", "asks", "place")
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        def answer(rows: list) -> Iterator:
-            whole = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
-            asking = whole.column(3).to_numpy() == 1
-            ids, v = whole.column(4).to_numpy(), matrix(whole.column(5))
-            if asking.all() or not asking.any():
-                return
-            shard = Shard(ids[~asking], v[~asking], norm2)
-            q_ids, first = np.unique(ids[asking], return_index=True)
-            q = v[asking][first]
-            for at in range(0, len(q), 256):
-                found = list(shard.search(q_ids[at : at + 256], q[at : at + 256], k, confidence))
+        group, parts, shard = None, [], None
+        for (*key, asks), part in runs(batches, 4):
+            if key != group:
+                group, parts, shard = key, [], None
+            if not asks:
+                parts.append(part)
+                continue
+            if shard is None and parts:
+                batch = whole(parts)
+                shard = Shard(batch.column(5).to_pylist(), np.ascontiguousarray(matrix(batch.column(6))), matrix(batch.column(7)), norm2)
+                parts = []
+            if shard is None:  # no vector of this length is in the shard
+                continue
+            ids, q = part.column(5).flatten().to_numpy(), matrix(part.column(6))
+            for at in range(0, len(ids), 1000):
+                found = list(shard.search(ids[at : at + 1000], q[at : at + 1000], k, confidence))
                 kinds = (pa.int64(), pa.int64(), pa.float64())
                 yield pa.record_batch([pa.array([r[c] for r in found], kind) for c, kind in enumerate(kinds)], names=["query_id", "vec_id", "score"])
 
-        group, held = None, []
-        for batch in batches:
-            keys = list(zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True))
-            at = 0
-            while at < len(keys):
-                end = at + 1
-                while end < len(keys) and keys[end] == keys[at]:
-                    end += 1
-                if keys[at] != group:
-                    if held:
-                        yield from answer(held)
-                    group, held = keys[at], []
-                held.append(batch.slice(at, end - at))
-                at = end
-        if held:
-            yield from answer(held)
-
     found = dealt.mapInArrow(run, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

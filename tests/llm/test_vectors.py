@@ -166,3 +166,33 @@ def test_repeated_ids_share_a_component(spark):
 def test_no_vectors(spark):
     assert dedup.near_duplicates(frame(spark, [])).count() == 0
     assert dedup.near_duplicates(frame(spark, [(1, None), (2, [0, 0])])).count() == 2
+
+
+def test_walk_gives_leaves_by_distance_and_order_fixes_the_tree():
+    rng = np.random.default_rng(8)
+    points, q = rng.standard_normal((3000, 8)), rng.standard_normal(8)
+    tree = KdTree(points)
+    again = KdTree(points[tree.order], ordered=True)
+    steps = list(tree.walk(q))
+    assert [g for g, _, _ in steps] == sorted(g for g, _, _ in steps) and len(steps) == len(tree.leaves)
+    assert list(again.walk(q)) == steps
+    # a walk that stops early has opened only part of the tree
+    assert next(tree.walk(q))[0] == pytest.approx(tree.box_distances(q[None]).min())
+
+
+def test_recall_over_many_shards(spark):
+    rng = np.random.default_rng(12)
+    v = np.concatenate([rng.standard_normal((2500, 32)), np.repeat(rng.standard_normal((50, 32)), 10, 0) + 0.1 * rng.standard_normal((500, 32))]).astype(np.float32)
+    want = brute_nearest(range(len(v)), v.astype(float), 20)
+    found = {}
+    for r in nearest(frame(spark, list(enumerate(v.tolist()))), F.col("vec_id") % 20 == 0, shard_rows=300).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    assert sum(len(found[i] & {j for j, _ in w}) for i, w in want.items()) >= 0.95 * sum(map(len, want.values()))
+
+
+def test_nearest_of_extreme_magnitudes_and_repeated_queries(spark):
+    rows = [(0, [1e200, 0]), (1, [1e200, 1e199]), (2, [1e-200, 1e-200]), (3, [0.0, 1e150]), (20, [1, 1]), (20, [1, -1]), (20, [1, 1])]
+    docs = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows], "vec_id long, embedding array<double>")
+    one, two = (sorted(map(tuple, nearest(docs.repartition(n), F.col("vec_id") % 20 == 0).collect())) for n in (1, 3))
+    assert one == two and [(r[1], r[2]) for r in one if r[0] == 0] == [(1, 1), (2, 20), (3, 20), (4, 20), (5, 2), (6, 3)]
+    assert len([r for r in one if r[0] == 20]) == 4
