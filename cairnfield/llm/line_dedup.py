@@ -35,16 +35,16 @@ def line_key(line: Column) -> Column:
     return ascii_lower(F.btrim(line, F.lit(ASCII_SPACE)))
 
 
-def key_hash(key: Column) -> Column:
+def key_hashes(key: Column) -> tuple[Column, Column]:
     """128 bits of a key; at 10^12 distinct lines a collision anywhere has a chance of about 10^-15."""
-    return F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(SECOND_SEED), key).alias("h2"))
+    return F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(SECOND_SEED), key).alias("h2")
 
 
 def long_keys(text: Column, min_chars: int) -> Column:
     """Structs (pos, h1, h2) of the lines, from 0, whose keys have min_chars code points or more."""
     at = F.transform(lines_of(text), lambda line, i: F.struct(i.alias("pos"), line_key(line).alias("key")))
     long = F.filter(at, lambda x: F.length(x["key"]) >= min_chars)
-    return F.transform(long, lambda x: F.struct(x["pos"].alias("pos"), key_hash(x["key"])["h1"].alias("h1"), key_hash(x["key"])["h2"].alias("h2")))
+    return F.transform(long, lambda x: F.struct(x["pos"].alias("pos"), *key_hashes(x["key"])))
 
 
 class LineRuns:
