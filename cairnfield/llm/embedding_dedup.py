@@ -2,14 +2,14 @@
 
 Equal vectors are one class, whose smallest id stands for it. Classes are dealt to a number of shards that grows only
 when a shard would pass SHARD_ROWS. Each shard's graph is built once, layer by layer from the sparsest, and stored. Then
-every class is looked up in every shard by a beam search from the top layer down. The beam that all searches start with
-is doubled until audits find RECALL of the links that brute force finds in the shard, a vector's link with itself left
-out: those of sampled classes of the shard, those of as many vectors made at the bounding cosine from these classes (each
-has a link, however rare links are), and in each block those of sampled classes that ask, of all shards. A shard or block
-that fails with the widest beam is compared exactly. A single search whose beam holds nothing but links is widened until
-it does not, so groups of any size are found. Candidates are
-verified by cosine in double precision. A task gives the number of links of each class and a spanning forest of the
-links it saw instead of all pairs.
+every class is looked up in every shard by a beam search from the top layer down: a task holds one shard's graph and lets
+the classes stream by, BLOCK_ROWS of them at most. The beam that searches start with is doubled until audits find RECALL
+of the links that brute force finds in the shard, a vector's link with itself left out: those of sampled classes of the
+shard, those of as many vectors made at the bounding cosine from these classes (each has a link, however rare links are),
+and those of sampled classes among those that ask, which are of all shards. Where the widest beam fails, the shard is
+compared exactly. A single search whose beam holds nothing but links is widened until it does not, so groups of any size
+are found. Candidates are verified by cosine in double precision, of vectors scaled by powers of two so that no square
+overflows. A task gives the number of links of each class and a spanning forest of the links it saw, not all pairs.
 
 Defined cases: vectors that are null, zero or hold null or non-finite components link with nothing and keep themselves;
 so do vectors of different lengths with one another; rows that repeat an id link with each other where their vectors do
@@ -28,12 +28,12 @@ from pyspark.sql import functions as F
 
 from cairnfield.llm._shared import stored, table
 from cairnfield.llm.components import components
-from cairnfield.llm.vectors import matrix, usable
+from cairnfield.llm.vectors import matrix, runs, takes_part, usable, whole
 
 COSINE = 0.95
 SHARDS = 6
 SHARD_ROWS = 250_000
-BLOCK_ROWS = 16_384
+BLOCK_ROWS = 250_000
 DEGREE = 16
 BUILD_BEAM = 64
 FIRST_BEAM = 16
@@ -42,6 +42,8 @@ RECALL = 0.998
 WIDEST_BEAM = 4096
 #: In place of a beam: compare with all nodes.
 EXACT = 0
+#: Likely links that are verified at once.
+PAIRS = 1 << 16
 
 
 def diverse(ids: np.ndarray, sims: np.ndarray, x: np.ndarray, most: int) -> np.ndarray:
@@ -271,122 +273,131 @@ def linked(parts: Iterator[tuple[np.ndarray, np.ndarray]], own: np.ndarray) -> i
 
 def forest(u: np.ndarray, v: np.ndarray) -> list[tuple[int, int]]:
     """A spanning forest of the links (u, v), as links to the least of each tree."""
-    up: dict[int, int] = {}
+    nodes, place = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = place[: len(u)], place[len(u) :]
+    root = np.arange(len(nodes))
+    while (root[a] != root[b]).any():
+        low = np.minimum(root[a], root[b])
+        np.minimum.at(root, root[a], low)
+        np.minimum.at(root, root[b], low)
+        while (root[root] != root).any():
+            root = root[root]
+    moved = np.flatnonzero(root != np.arange(len(nodes)))
+    return list(zip(nodes[moved].tolist(), nodes[root[moved]].tolist(), strict=True))
 
-    def root(x: int) -> int:
-        while (p := up.setdefault(x, x)) != x:
-            up[x] = x = up[p]
-        return x
 
-    for a, b in zip(u.tolist(), v.tolist(), strict=True):
-        a, b = root(a), root(b)
-        if a != b:
-            up[max(a, b)] = min(a, b)
-    return [(x, r) for x in up if (r := root(x)) != x]
+def scaled(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(v with each row times a power of two that brings its largest component near 1, the norms of the rows)."""
+    v = np.ldexp(v, -np.frexp(np.abs(v).max(1, keepdims=True))[1])
+    return v, np.sqrt((v**2).sum(1))
 
 
-GRAPH = "shard long, size int, node int, vec_id long, copies long, v array<double>, layers array<array<int>>, width int"
+GRAPH = "shard long, size int, node int, vec_id long, copies long, v array<double>, layers binary, width int"
 
 
 def graphs(classes: DataFrame, shards: int, cosine: float) -> DataFrame:
-    """The stored graphs of all shards: one row a node, as GRAPH says."""
+    """The stored graphs of all shards: one row a node, as GRAPH says.
+
+    layers: the node's neighbours, 2 * DEGREE places for each layer it is in, as 32-bit integers, the lowest layer first.
+    """
 
     def build(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        def one(rows: list) -> pa.RecordBatch:
-            whole = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
-            v = matrix(whole.column(4))
-            x = (v / np.sqrt((v**2).sum(1, keepdims=True))).astype(np.float32)
-            world = SmallWorld.build(x)
-            n = len(x)
-            layers = [[layer.links[i].tolist() for layer in world.layers if i < len(layer.x)] for i in range(n)]
-            width = world.audited_width(cosine - 1e-5)
-            kinds = [whole.column(0), whole.column(1), pa.array(range(n), pa.int32()), whole.column(2), whole.column(3), whole.column(4)]
-            kinds += [pa.array(layers, pa.list_(pa.list_(pa.int32()))), pa.array([width] * n, pa.int32())]
-            return pa.record_batch(kinds, names=[c.split()[0] for c in GRAPH.split(", ")])
-
-        group, held = None, []
-        for batch in batches:
-            keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
-            at = 0
-            while at < len(keys):
-                end = next((i for i in range(at, len(keys)) if keys[i] != keys[at]), len(keys))
-                if keys[at] != group:
-                    if held:
-                        yield one(held)
-                    group, held = keys[at], []
-                held.append(batch.slice(at, end - at))
-                at = end
-        if held:
-            yield one(held)
+        def one(parts: list) -> pa.RecordBatch:
+            batch = whole(parts)
+            v, norm = scaled(matrix(batch.column(4)))
+            world = SmallWorld.build((v / norm[:, None]).astype(np.float32))
+            n, width = len(v), world.audited_width(cosine - 1e-5)
+            layers = [b"".join(m.links[i].tobytes() for m in reversed(world.layers) if i < len(m.links)) for i in range(n)]
+            columns = [batch.column(0), batch.column(1), pa.array(range(n), pa.int32()), batch.column(2), batch.column(3), batch.column(4)]
+            columns += [pa.array(layers, pa.binary()), pa.array([width] * n, pa.int32())]
+            return pa.record_batch(columns, names=[c.split()[0] for c in GRAPH.split(", ")])
+
+        group, parts = None, []
+        for key, part in runs(batches, 2):
+            if key != group and parts:
+                yield one(parts)
+                parts = []
+            group = key
+            parts.append(part)
+        if parts:
+            yield one(parts)
 
     shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard")
     dealt = classes.select(shard, F.size("v").alias("size"), "vec_id", "copies", "v").repartition("shard", "size").sortWithinPartitions("shard", "size", F.hash("vec_id", F.lit(7)), "vec_id")
     return stored(dealt.mapInArrow(build, GRAPH), "graphs")
 
 
+class Held:
+    """A stored shard: its graph, and what its nodes are."""
+
+    def __init__(self, ids: np.ndarray, copies: np.ndarray, v: np.ndarray, layers: list[bytes], width: int):
+        self.ids, self.copies, self.width = ids, copies, width
+        self.v, self.norm = scaled(v)
+        x = (self.v / self.norm[:, None]).astype(np.float32)
+        rows = np.frombuffer(b"".join(layers), np.int32).reshape(-1, 2 * DEGREE)
+        depth = np.array([len(b) for b in layers]) // (8 * DEGREE)
+        first = np.cumsum(depth) - depth
+        # layer k from below has the nodes that are in more than k layers, which are the first ones
+        self.world = SmallWorld(x, [Layer(x[: (depth > k).sum()], rows[first[depth > k] + k]) for k in range(int(depth.max()) - 1, -1, -1)])
+        self.order = np.argsort(ids, kind="stable")
+
+    def places(self, ids: np.ndarray) -> np.ndarray:
+        """The nodes of ids, -1 for those of other shards."""
+        at = self.order[np.minimum(np.searchsorted(self.ids, ids, sorter=self.order), len(self.ids) - 1)]
+        return np.where(self.ids[at] == ids, at, -1)
+
+    def links(self, ids: np.ndarray, v: np.ndarray, cosine: float) -> tuple[np.ndarray, list[tuple[int, int]]]:
+        """(number of links of each vector with others' nodes, copies counted; a forest of the links)."""
+        v, norm = scaled(v)
+        q = (v / norm[:, None]).astype(np.float32)
+        count, trees = np.zeros(len(ids)), []
+        self.width = self.world.audited_width(cosine - 1e-5, (q, self.places(ids)), self.width)
+        for rows, nodes in self.world.within(q, cosine - 1e-5, self.width):
+            for at in range(0, len(rows), PAIRS):
+                r, p = rows[at : at + PAIRS], nodes[at : at + PAIRS]
+                near = (v[r] * self.v[p]).sum(1) / (norm[r] * self.norm[p]) >= cosine
+                near &= ids[r] != self.ids[p]
+                r, p = r[near], p[near]
+                count += np.bincount(r, self.copies[p], len(ids))
+                trees += forest(ids[r], self.ids[p])
+        return count, forest(*np.array(trees, np.int64).reshape(-1, 2).T)
+
+
 def links(graph: DataFrame, shards: int, blocks: int, cosine: float) -> DataFrame:
     """(u, v, n): with v null, n other vectors that class u links with in some shard; else a link of a forest."""
-    base = graph.withColumn("block", F.explode(F.expr(f"sequence(0L, {blocks - 1}L)"))).withColumn("asks", F.lit(0))
-    asks = graph.select(
-        F.explode(F.expr(f"sequence(0L, {shards - 1}L)")).alias("shard"), "size", F.lit(0).alias("node"), "vec_id", "copies", "v",
-        F.lit(None).cast("array<array<int>>").alias("layers"), F.lit(0).alias("width"), F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).alias("block"), F.lit(1).alias("asks"),
-    )
-    order = ["shard", "size", "block", "asks", "node", "vec_id"]
-    columns = [*order, "copies", "v", "layers", "width"]
-    dealt = base.unionByName(asks).select(columns).repartition("shard", "size", "block").sortWithinPartitions(*order)
+    each = lambda n, name: F.explode(F.expr(f"sequence(0L, {n - 1}L)")).alias(name)
+    base = graph.select("shard", "size", each(blocks, "block"), F.lit(0).alias("asks"), "node", "vec_id", "copies", "v", "layers", "width")
+    block = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).alias("block")
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("copies", "long"), ("v", "array<double>"), ("layers", "binary"), ("width", "int"))]
+    none[1] = F.col("v")
+    asks = graph.select(each(shards, "shard"), "size", block, F.lit(1).alias("asks"), F.lit(0).alias("node"), "vec_id", *none)
+    dealt = base.unionByName(asks).repartition("shard", "size", "block").sortWithinPartitions("shard", "size", "block", "asks", "node", "vec_id")
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        def answer(rows: list) -> pa.RecordBatch:
-            whole = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
-            asking = whole.column(3).to_numpy() == 1
-            ids, copies, v = whole.column(5).to_numpy(), whole.column(6).to_numpy(), matrix(whole.column(7))
-            held = np.flatnonzero(~asking)
-            count: dict[int, int] = {}
-            u, w = [], []
-            if len(held) and asking.any():
-                layers = whole.column(8).slice(0, len(held)).to_pylist()
-                depth = max(map(len, layers))
-                norm = np.sqrt((v**2).sum(1, keepdims=True))
-                x = (v / norm).astype(np.float32)
-                world = SmallWorld(x[: len(held)], [])
-                for k in range(depth):  # a node's layers end with the lowest, which all nodes have
-                    own = [m[len(m) - depth + k] for m in layers if len(m) >= depth - k]
-                    world.layers.append(Layer(x[: len(own)], np.array(own, np.int32)))
-                q = np.flatnonzero(asking)
-                place = {int(i): k for k, i in enumerate(ids[held])}
-                own = np.array([place.get(int(i), -1) for i in ids[q]])
-                width = world.audited_width(cosine - 1e-5, (x[q], own), int(whole.column(9)[0].as_py()))
-                for r, p in world.within(x[q], cosine - 1e-5, width):
-                    r = q[r]
-                    exact = (v[r] * v[p]).sum(1) / (norm[r, 0] * norm[p, 0]) >= cosine
-                    r, p = r[exact & (ids[r] != ids[p])], p[exact & (ids[r] != ids[p])]
-                    for a, n in zip(*np.unique(r, return_inverse=True)[:1], np.bincount(np.unique(r, return_inverse=True)[1], copies[p]), strict=True):
-                        count[int(ids[a])] = count.get(int(ids[a]), 0) + int(n)
-                    pairs = forest(ids[r], ids[p])
-                    u += [a for a, _ in pairs]
-                    w += [b for _, b in pairs]
-            pairs = forest(np.array(u, np.int64), np.array(w, np.int64))
-            out = ([*count, *(a for a, _ in pairs)], [*[None] * len(count), *(b for _, b in pairs)], [*count.values(), *[0] * len(pairs)])
-            return pa.record_batch([pa.array(c, pa.int64()) for c in out], names=["u", "v", "n"])
-
-        group, held = None, []
-        for batch in batches:
-            keys = list(zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True))
-            at = 0
-            while at < len(keys):
-                end = next((i for i in range(at, len(keys)) if keys[i] != keys[at]), len(keys))
-                if keys[at] != group:
-                    if held:
-                        yield answer(held)
-                    group, held = keys[at], []
-                held.append(batch.slice(at, end - at))
-                at = end
-        if held:
-            yield answer(held)
+        group, parts, held = None, [], None
+        for (*key, asks), part in runs(batches, 4):
+            if key != group:
+                group, parts, held = key, [], None
+            if not asks:
+                parts.append(part)
+                continue
+            if held is None and parts:
+                b = whole(parts)
+                held = Held(b.column(5).to_numpy(), b.column(6).to_numpy(), matrix(b.column(7)), b.column(8).to_pylist(), b.column(9)[0].as_py())
+                parts = []
+            if held is None:  # the shard has no vector of this length
+                continue
+            ids = part.column(5).to_numpy()
+            count, trees = held.links(ids, matrix(part.column(7)), cosine)
+            some = np.flatnonzero(count)
+            u = ids[some].tolist() + [a for a, _ in trees]
+            v = [None] * len(some) + [b for _, b in trees]
+            n = count[some].astype(np.int64).tolist() + [0] * len(trees)
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in (u, v, n)], names=["u", "v", "n"])
 
     return stored(dealt.mapInArrow(run, "u long, v long, n long"), "vector-links")
 
@@ -403,13 +414,15 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, shards: int = SH
     counts = found.where("v is null").groupBy(F.col("u").alias("rep")).agg(F.sum("n").alias("n"))
     reps = classes.select("v", F.col("vec_id").alias("rep"), "copies", F.xxhash64("v").alias("h"))
     member = stored(held.select("vec_id", "v", key).join(reps, ["h", "v"]).select("vec_id", "rep", "copies"), "vector-members")
-    same = member.groupBy("vec_id").agg(F.collect_set("rep").alias("reps")).where("size(reps) > 1").select(F.explode("reps").alias("u"), "vec_id")
-    part = components(found.where("v is not null").select("u", "v").union(same.select("u", F.col("vec_id").alias("v"))))
-    rest = vectors.select(F.col("vec_id").cast("long")).join(member.select("vec_id").distinct(), "vec_id", "left_anti")
+    # rows that repeat an id may be in several classes
+    several = member.groupBy("vec_id").agg(F.min("rep").alias("u"), F.max("rep").alias("v")).where("u <> v").select("vec_id", "u")
+    same = member.join(several, "vec_id").select("u", F.col("rep").alias("v")).distinct()
+    part = components(found.where("v is not null").select("u", "v").union(same))
     linked = member.join(counts, "rep", "left").join(part.withColumnRenamed("id", "rep"), "rep", "left")
     out = linked.select("vec_id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id"))
-    out = out.unionByName(rest.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")))
-    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+    own = F.col("vec_id").cast("long")
+    rest = vectors.where(~takes_part()).select(own.alias("vec_id"), F.lit(0).cast("long").alias("n_links"), own.alias("component_id"))
+    return out.unionByName(rest).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

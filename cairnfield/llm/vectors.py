@@ -5,16 +5,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, v array<double>) of the rows whose id and vector are not null and whose components are finite, not all 0."""
-    v = F.col("v")
+def takes_part() -> Column:
+    """Whether a row (vec_id, embedding) has an id, and a vector of finite components that are not all 0."""
+    v = F.col("embedding").cast("array<double>")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    held = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("v"))
-    return held.where(F.col("vec_id").isNotNull() & v.isNotNull() & ~bad & F.exists(v, lambda x: x != 0))
+    return F.coalesce(F.col("vec_id").isNotNull() & ~bad & F.exists(v, lambda x: x != 0), F.lit(False))
+
+
+def usable(vectors: DataFrame) -> DataFrame:
+    """(vec_id, v array<double>) of the rows that take part."""
+    return vectors.where(takes_part()).select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("v"))
 
 
 def matrix(column) -> np.ndarray:  # noqa: ANN001

@@ -196,3 +196,24 @@ def test_nearest_of_extreme_magnitudes_and_repeated_queries(spark):
     one, two = (sorted(map(tuple, nearest(docs.repartition(n), F.col("vec_id") % 20 == 0).collect())) for n in (1, 3))
     assert one == two and [(r[1], r[2]) for r in one if r[0] == 0] == [(1, 1), (2, 20), (3, 20), (4, 20), (5, 2), (6, 3)]
     assert len([r for r in one if r[0] == 20]) == 4
+
+
+def test_extreme_magnitudes_link_as_double_precision_says(spark):
+    rows = [(1, [1e200, 1e200]), (2, [1e200, 1.01e200]), (3, [1e-300, 1e-300]), (4, [1e200, -1e200]), (5, [3.0, 3.0]), (6, [5e-324, 5e-324]), (6, None)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in dedup.near_duplicates(docs).collect())
+    assert got == [(1, 4, 1), (2, 4, 1), (3, 4, 1), (4, 0, 4), (5, 4, 1), (6, 0, 6), (6, 4, 1)]
+
+
+def test_stored_graphs_come_back_and_other_shards_are_asked(spark):
+    v = clustered(6000, 24, 3)
+    rows = frame(spark, list(enumerate(v.tolist())))
+    classes = rows.select("vec_id", F.lit(1).cast("long").alias("copies"), F.col("embedding").cast("array<double>").alias("v"))
+    graph = dedup.graphs(classes, 2, 0.95).where("shard = 0").orderBy("node").collect()
+    held = dedup.Held(*(np.array([r[c] for r in graph]) for c in ("vec_id", "copies", "v")), [bytes(r.layers) for r in graph], graph[0].width)
+    world = SmallWorld.build(held.world.x)
+    assert len(world.layers) == len(held.world.layers) and all(np.array_equal(a.links, b.links) for a, b in zip(world.layers, held.world.layers, strict=True))
+    truth = brute_links(v.astype(float), 0.95)
+    got = {r.vec_id: r for r in dedup.near_duplicates(rows, shards=8).collect()}
+    assert sum(got[i].n_links for i in got) >= 0.998 * sum(truth[0]) > 0
+    assert sum(got[i].component_id == truth[1][i] for i in got) >= 0.99 * len(v)
