@@ -96,7 +96,7 @@ class Pieces:
         return tuple(self.byte[b] for b in chr(point).encode("utf-8", "surrogatepass"))
 
     def hashed(self) -> None:
-        """Sorted hashes of the pieces with their ids and weights, and a table that rules most other hashes out."""
+        """Sorted hashes of the pieces with their ids and weights, and a table that finds most of them at once."""
         points = {p: np.frombuffer(p.encode("utf-32-le"), np.uint32).astype(np.uint64) + _U(1) for p in self.ids}
         keys = np.array([(c[::-1] * _POWERS[: len(c)]).sum(dtype=np.uint64) for c in points.values()], np.uint64)
         order = np.argsort(keys)
@@ -105,8 +105,21 @@ class Pieces:
             raise ValueError("two pieces have one hash")
         self.key_ids = np.array([i for i, _ in self.ids.values()], np.int32)[order]
         self.key_weights = np.array([w for _, w in self.ids.values()])[order]
-        self.maybe = np.zeros(1 << 20, bool)
-        self.maybe[self.slot(self.keys)] = True
+        slots = self.slot(self.keys)
+        self.at_slot = np.full(1 << 20, -1, np.int32)
+        self.at_slot[slots] = np.arange(len(slots))
+        self.shared_slot = np.bincount(slots, minlength=1 << 20) > 1
+
+    def found(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which of the hashes are pieces', the places of those pieces in the sorted keys)."""
+        slots = self.slot(keys)
+        at = self.at_slot[slots]
+        right = self.keys[at] == keys
+        others = np.flatnonzero(~right & self.shared_slot[slots])
+        at[others] = np.minimum(np.searchsorted(self.keys, keys[others]), len(self.keys) - 1)
+        right[others] = self.keys[at[others]] == keys[others]
+        hit = np.flatnonzero(right)
+        return hit, at[hit]
 
     @staticmethod
     def slot(keys: np.ndarray) -> np.ndarray:
@@ -130,12 +143,13 @@ class Pieces:
         return "".join(out)
 
 
-def forward(pieces: Pieces, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The forward tables of segments, longest first: (node at the end of each, share, before, piece).
+def forward(pieces: Pieces, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The forward tables of segments, longest first: (node at the end of each, first, share, before, piece).
 
-    Segment k takes a node for its start and one for each of its characters. The other arrays have an edge each, in the
-    order of the nodes where edges end: node plus cumulative share, the node where the edge starts (-1 if that is a
-    segment's start), and the piece's id, or -1 - c for the bytes of character c.
+    Segment k takes a node for its start and one for each of its characters; first is the first edge of each node. The
+    other arrays have an edge each, in the order of the nodes where edges end: cumulative share among the node's edges,
+    the node where the edge starts (-1 if that is a segment's start), and the piece's id, or -1 - c for the bytes of
+    character c.
     """
     sizes = np.array([len(s) for s in segments], np.int64)
     base = np.cumsum(sizes + 1) - sizes - 1
@@ -144,40 +158,46 @@ def forward(pieces: Pieces, segments: list[str]) -> tuple[np.ndarray, np.ndarray
     point = np.zeros(total, np.uint64)
     point[place > 0] = np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), np.uint32)
     point += _U(1)
-    most = pieces.longest
-    weight, piece = np.full((most, total), -np.inf), np.zeros((most, total), np.int32)
-    at, key = np.flatnonzero(place > 0), np.zeros(total, np.uint64)[place > 0]
-    for n in range(1, most + 1):
+    at = np.flatnonzero(place > 0)
+    key, edges, alone = np.zeros(len(at), np.uint64), [], np.zeros(total, bool)
+    for n in range(1, pieces.longest + 1):
         held = place[at] >= n
         at, key = at[held], key[held] + point[at[held] - (n - 1)] * _POWERS[n - 1]
-        likely = np.flatnonzero(pieces.maybe[pieces.slot(key)])
-        k = np.minimum(np.searchsorted(pieces.keys, key[likely]), len(pieces.keys) - 1)
-        right = pieces.keys[k] == key[likely]
-        weight[n - 1, at[likely[right]]] = pieces.key_weights[k[right]]
-        piece[n - 1, at[likely[right]]] = pieces.key_ids[k[right]]
-    bare = np.flatnonzero((place > 0) & np.isneginf(weight[0]))
+        hit, k = pieces.found(key)
+        node = at[hit]
+        edges.append((node, np.full(len(node), n), pieces.key_weights[k], pieces.key_ids[k]))
+        if n == 1:
+            alone[node] = True
+    bare = np.flatnonzero((place > 0) & ~alone)
     c = point[bare].astype(np.int64) - 1
-    weight[0, bare] = math.log(BYTE_WEIGHT) * (1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000))
-    piece[0, bare] = -1 - c
-
-    alpha, share = np.zeros(total), np.zeros((most, total))
-    rising = sizes[::-1]
-    for end in range(1, int(sizes[0]) + 1):
-        now = base[: len(sizes) - int(np.searchsorted(rising, end))] + end
-        n = min(end, most)
-        paths = weight[:n, now] + alpha[now[None, :] - np.arange(1, n + 1)[:, None]]
-        top = paths.max(0)
-        parts = np.exp(paths - top)
-        whole = parts.sum(0)
-        alpha[now] = top + np.log(whole)
-        share[:n, now] = np.cumsum(parts, 0) / whole
-    held = ~np.isneginf(weight.T)
-    node, n = np.nonzero(held)
-    shares = node + share.T[held]
-    last = np.flatnonzero(np.append(node[1:] != node[:-1], True))
-    shares[last] = node[last] + 1.0
-    before = np.where(place[node] == n + 1, -1, node - n - 1)
-    return base + sizes, shares, before, piece.T[held]
+    edges.append((bare, np.ones(len(bare), np.int64), math.log(BYTE_WEIGHT) * (1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)), -1 - c))
+    node, back, weight, piece = (np.concatenate(x) for x in zip(*edges, strict=True))
+
+    # edges by the place where they end, so that a place's sums are made for all segments at once
+    order = np.argsort((place[node] * total + node) * (pieces.longest + 1) + back)
+    node, back, weight, piece = node[order], back[order], weight[order], piece[order].astype(np.int32)
+    group = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
+    count = np.diff(np.append(group, len(node)))
+    steps = np.searchsorted(place[node[group]], np.arange(1, int(sizes[0]) + 2))
+    alpha, share = np.zeros(total), np.zeros(len(node))
+    for g, h in zip(steps, steps[1:], strict=False):
+        s, e = group[g], group[h] if h < len(group) else len(node)
+        own, n = group[g:h] - s, count[g:h]
+        paths = weight[s:e] + alpha[node[s:e] - back[s:e]]
+        top = np.maximum.reduceat(paths, own)
+        so_far = np.cumsum(np.exp(paths - np.repeat(top, n)))
+        ends = so_far[own + n - 1]
+        before = np.append(0.0, ends[:-1])
+        alpha[node[s:e][own]] = top + np.log(ends - before)
+        share[s:e] = (so_far - np.repeat(before, n)) / np.repeat(ends - before, n)
+    share[group + count - 1] = 1.0
+
+    order = np.argsort(node, kind="stable")
+    node, back = node[order], back[order]
+    first = np.cumsum(np.bincount(node, minlength=total))
+    first = np.append(0, first[:-1])
+    before = np.where(place[node] == back, -1, node - back)
+    return base + sizes, first, share[order], before, piece[order]
 
 
 class LongSegment:
@@ -224,8 +244,7 @@ class LongSegment:
 class Sampler:
     """Draws segmentations of batches of rows; holds the forward tables of segments as flat arrays.
 
-    Node n of the arrays is a place of a segment. `share` rises over all edges: an edge's value is its node plus its
-    cumulative share, so one binary search finds the edge that a draw at a node means.
+    Node n of the arrays is a place of a segment, its edges start at first[n], and share rises to 1 over them.
     """
 
     def __init__(self, path: str, seed: int = SEED, most: int = CACHE_SEGMENTS, rank_shift: float = RANK_SHIFT, sharpness: float = SHARPNESS):
@@ -234,23 +253,41 @@ class Sampler:
 
     def _clear(self) -> None:
         self.last: dict[str, int] = {}  # the node at a segment's end
-        self.nodes = 0
+        self.nodes = self.edges = 0
+        self.first = np.zeros(0, np.int64)
         self.share, self.before, self.piece = np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
+    @staticmethod
+    def _joined(old: np.ndarray, used: int, new: np.ndarray) -> np.ndarray:
+        """old with new from place `used` on; room doubles when it ends."""
+        if used + len(new) > len(old):
+            old = np.concatenate([old[:used], np.empty(max(used, 2 * len(new)), old.dtype)])
+        old[used : used + len(new)] = new
+        return old
+
     def _add(self, segments: list[str]) -> None:
-        segments = sorted(segments, key=len, reverse=True)
-        parts, at = [(self.share, self.before, self.piece)], 0
+        segments, at = sorted(segments, key=len, reverse=True), 0
         while at < len(segments):
             end, places = at, 0
             while end < len(segments) and (end == at or places + len(segments[end]) < PLACES):
                 places += len(segments[end]) + 1
                 end += 1
-            last, share, before, piece = forward(self.pieces, segments[at:end])
+            last, first, share, before, piece = forward(self.pieces, segments[at:end])
             self.last.update(zip(segments[at:end], (last + self.nodes).tolist(), strict=True))
-            parts.append((share + self.nodes, np.where(before < 0, -1, before + self.nodes), piece))
-            self.nodes += int(last[-1]) + 1
-            at = end
-        self.share, self.before, self.piece = (np.concatenate(x) for x in zip(*parts, strict=True))
+            self.first = self._joined(self.first, self.nodes, first + self.edges)
+            self.share = self._joined(self.share, self.edges, share)
+            self.before = self._joined(self.before, self.edges, np.where(before < 0, -1, before + self.nodes))
+            self.piece = self._joined(self.piece, self.edges, piece)
+            self.nodes, self.edges, at = self.nodes + len(first), self.edges + len(share), end
+
+    def step(self, node: np.ndarray, draw: np.ndarray) -> np.ndarray:
+        """The edge that each draw means at its node: the first whose share is above it."""
+        edge = self.first[node]
+        on = np.flatnonzero(self.share[edge] <= draw)
+        while len(on):
+            edge[on] += 1
+            on = on[self.share[edge[on]] <= draw[on]]
+        return edge
 
     def draws(self, keys: np.ndarray, segment: np.ndarray, draw: int | np.ndarray) -> np.ndarray:
         """Uniform numbers in [0, 1), the same for the same seed, key, segment and draw."""
@@ -266,8 +303,10 @@ class Sampler:
         """The ids of each text."""
         rows = [_SEGMENT.findall(t) for t in texts]
         flat = [s for r in rows for s in r]
-        long = [i for i, s in enumerate(flat) if len(s) > LONG]
-        short = set(flat).difference([flat[i] for i in long])
+        short = set(flat)
+        if huge := {s for s in short if len(s) > LONG}:
+            short -= huge
+        long = [i for i, s in enumerate(flat) if s in huge] if huge else []
         missing = list(short.difference(self.last))
         if missing:
             if len(self.last) + len(missing) > self.most or self.nodes + sum(map(len, missing)) > CACHE_PLACES:
@@ -279,10 +318,10 @@ class Sampler:
         key = np.repeat(np.array([k or 0 for k in keys], np.int64), counts)
         number = np.arange(len(flat)) - np.repeat(start, counts)
         live = np.delete(np.arange(len(flat)), long)
-        node = np.array([self.last[flat[i]] for i in live], np.int64)
+        node = np.fromiter(map(self.last.__getitem__, [flat[i] for i in live] if long else flat), np.int64, len(live))
         drawn, edges, step = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
         while len(live):
-            edge = np.searchsorted(self.share, node + self.draws(key[live], number[live], step), side="right")
+            edge = self.step(node, self.draws(key[live], number[live], step))
             drawn.append(live)
             edges.append(edge)
             node = self.before[edge]
