@@ -186,7 +186,7 @@ def index(held: DataFrame, shards: int, norm2: float) -> DataFrame:
             yield one(group, parts)
 
     shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard")
-    dealt = held.select(shard, "size", "vec_id", "v").repartition("shard", "size").sortWithinPartitions("shard", "size")
+    dealt = held.select(shard, "size", "vec_id", "v").repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "size")
     return stored(dealt.mapInArrow(build, INDEX), "projection-index")
 
 
@@ -208,7 +208,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = K, confidence: float =
     asking = held.where(queries).groupBy("vec_id").agg(F.min(F.struct(F.xxhash64("v"), "v", "size")).alias("q"))
     block = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).alias("block")
     asks = asking.select(each(shards, "shard"), "q.size", block, F.lit(1).alias("asks"), F.lit(0).cast("long").alias("place"), F.array("vec_id").alias("ids"), "q.v", none)
-    dealt = base.unionByName(asks).repartition("shard", "size", "block").sortWithinPartitions("shard", "size", "block", "asks", "place")
+    # numbered tasks: a hash would put several shards into one
+    dealt = base.unionByName(asks).repartitionById(shards * blocks, (F.col("shard") * blocks + F.col("block")).cast("int")).sortWithinPartitions("shard", "size", "block", "asks", "place")
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
