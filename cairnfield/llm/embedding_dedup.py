@@ -3,12 +3,12 @@
 Equal vectors are one class, whose smallest id stands for it. Classes are dealt to a number of shards that grows only
 when a shard would pass SHARD_ROWS. Each shard's graph is built once, layer by layer from the sparsest, and stored. Then
 every class is looked up in every shard by a beam search from the top layer down: a task holds one shard's graph and lets
-the classes stream by, BLOCK_ROWS of them at most. The beam that searches start with is doubled until audits find RECALL
+the classes stream by, BLOCK_ROWS of them at most, fewer where there would be fewer tasks than cores. The beam that searches start with is doubled until audits find RECALL
 of the links that brute force finds in the shard, a vector's link with itself left out: those of sampled classes of the
 shard, those of as many vectors made at the bounding cosine from these classes (each has a link, however rare links are),
 and those of sampled classes among those that ask, which are of all shards. Where the widest beam fails, the shard is
-compared exactly. A single search whose beam holds nothing but links is widened until it does not, so groups of any size
-are found. Candidates are verified by cosine in double precision, of vectors scaled by powers of two so that no square
+compared exactly. A single search whose beam holds nothing but links is widened until it does not, or until comparing it
+with all nodes costs less, so groups of any size are found. Candidates are verified by cosine in double precision, of vectors scaled by powers of two so that no square
 overflows. A task gives the number of links of each class and a spanning forest of the links it saw, not all pairs.
 
 Defined cases: vectors that are null, zero or hold null or non-finite components link with nothing and keep themselves;
@@ -42,6 +42,8 @@ RECALL = 0.998
 WIDEST_BEAM = 4096
 #: In place of a beam: compare with all nodes.
 EXACT = 0
+#: Nodes that the exact comparison takes in the time of one node of a beam, as its product reads them in order.
+IN_ORDER = 16
 #: Likely links that are verified at once.
 PAIRS = 1 << 16
 
@@ -210,7 +212,7 @@ class SmallWorld:
         for at in range(0, len(q), step):
             rows, w = np.arange(at, min(len(q), at + step)), width
             while len(rows):
-                if self.exact_is_cheaper(w):
+                if self.exact_is_cheaper(w if w == width else IN_ORDER * w):
                     for r, c in self.compared(q[rows], cosine):
                         yield rows[r], c
                     break
@@ -325,7 +327,7 @@ def graphs(classes: DataFrame, shards: int, cosine: float) -> DataFrame:
             yield one(parts)
 
     shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard")
-    dealt = classes.select(shard, F.size("v").alias("size"), "vec_id", "copies", "v").repartition("shard", "size").sortWithinPartitions("shard", "size", F.hash("vec_id", F.lit(7)), "vec_id")
+    dealt = classes.select(shard, F.size("v").alias("size"), "vec_id", "copies", "v").repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "size", F.hash("vec_id", F.lit(7)), "vec_id")
     return stored(dealt.mapInArrow(build, GRAPH), "graphs")
 
 
@@ -373,7 +375,8 @@ def links(graph: DataFrame, shards: int, blocks: int, cosine: float) -> DataFram
     none = [F.lit(None).cast(t).alias(c) for c, t in (("copies", "long"), ("v", "array<double>"), ("layers", "binary"), ("width", "int"))]
     none[1] = F.col("v")
     asks = graph.select(each(shards, "shard"), "size", block, F.lit(1).alias("asks"), F.lit(0).alias("node"), "vec_id", *none)
-    dealt = base.unionByName(asks).repartition("shard", "size", "block").sortWithinPartitions("shard", "size", "block", "asks", "node", "vec_id")
+    # numbered tasks: a hash would put several shards into one
+    dealt = base.unionByName(asks).repartitionById(shards * blocks, (F.col("shard") * blocks + F.col("block")).cast("int")).sortWithinPartitions("shard", "size", "block", "asks", "node", "vec_id")
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -409,7 +412,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, shards: int = SH
     classes = held.groupBy(key, "v").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"))
     classes = stored(classes.drop("h"), "vector-classes")
     n = classes.count()
-    shards, blocks = max(shards, -(-n // shard_rows)), max(1, -(-n // block_rows))
+    shards = max(shards, -(-n // shard_rows))
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    blocks = max(1, -(-n // block_rows), -(-cores // shards))
     found = links(graphs(classes, shards, cosine), shards, blocks, cosine)
     counts = found.where("v is null").groupBy(F.col("u").alias("rep")).agg(F.sum("n").alias("n"))
     reps = classes.select("v", F.col("vec_id").alias("rep"), "copies", F.xxhash64("v").alias("h"))
