@@ -1,60 +1,39 @@
 """Piecewise linear fits with one or two breaks, chosen by mean absolute error or by explained variance.
 
-A series is one row with its points as a sorted array; each candidate split is fitted by closed-form least squares over
-slices of it, so the search needs one shuffle.
+A series is one row with its points as a sorted array, so the search needs one shuffle. Least-squares lines of all series
+of one length are fitted together, split by split.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+import numpy as np
+from pyspark.sql import DataFrame
 
+from cairnfield.operators.arrays import gathered, per_series
 
-def _mean(points: Column, key: str) -> Column:
-    return F.aggregate(points, F.lit(0.0), lambda a, v: a + v[key], lambda a: F.try_divide(a, F.size(points)))
+#: Digits to which two candidates' qualities are told apart; equal ones go to the first.
+DIGITS = 9
 
 
-def _line(points: Column) -> Column:
-    """struct(b, a) of the least-squares line y = a + b x; b is null if all x are equal."""
-    mx, my = _mean(points, "x"), _mean(points, "y")
-    means = F.struct(mx.alias("mx"), my.alias("my"))
+def line(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Fitted values of the least-squares line of each row; NaN where all x are equal."""
+    dx, my = x - x.mean(1, keepdims=True), y.mean(1, keepdims=True)
+    sxx = (dx * dx).sum(1, keepdims=True)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return my + (dx * (y - my)).sum(1, keepdims=True) / np.where(sxx > 0, sxx, np.nan) * dx
 
-    def fit(m: Column) -> Column:
-        sxy = F.aggregate(points, F.lit(0.0), lambda s, v: s + (v["x"] - m["mx"]) * (v["y"] - m["my"]))
-        sxx = F.aggregate(points, F.lit(0.0), lambda s, v: s + (v["x"] - m["mx"]) * (v["x"] - m["mx"]))
-        b = F.try_divide(sxy, sxx)
-        return F.struct(b.alias("b"), (m["my"] - b * m["mx"]).alias("a"))
 
-    return F.transform(F.array(means), fit)[0]
+def quality(y: np.ndarray, fitted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean absolute error, and the squared correlation of observed and fitted values (NaN if either is constant)."""
+    dy, df = y - y.mean(1, keepdims=True), fitted - fitted.mean(1, keepdims=True)
+    spread = (dy * dy).sum(1) * (df * df).sum(1)
+    return np.abs(y - fitted).mean(1), (dy * df).sum(1) ** 2 / np.where(spread > 0, spread, np.nan)
 
 
-def _with_fit(points: Column) -> Column:
-    """points as structs (y, f): the observed and the fitted value of one line."""
-    return F.transform(F.array(_line(points)), lambda line: F.transform(points, lambda v: F.struct(v["y"].alias("y"), (line["a"] + line["b"] * v["x"]).alias("f"))))[0]
-
-
-def _quality(fitted: Column) -> tuple[Column, Column]:
-    """Mean absolute error, and the squared correlation of observed and fitted values (null if either is constant)."""
-    n = F.size(fitted)
-    mae = F.aggregate(fitted, F.lit(0.0), lambda a, v: a + F.abs(v["y"] - v["f"]), lambda a: F.try_divide(a, n))
-    means = F.struct(_mean(fitted, "y").alias("y"), _mean(fitted, "f").alias("f"))
-
-    def r2(m: Column) -> Column:
-        cov = F.aggregate(fitted, F.lit(0.0), lambda s, v: s + (v["y"] - m["y"]) * (v["f"] - m["f"]))
-        vy = F.aggregate(fitted, F.lit(0.0), lambda s, v: s + (v["y"] - m["y"]) * (v["y"] - m["y"]))
-        vf = F.aggregate(fitted, F.lit(0.0), lambda s, v: s + (v["f"] - m["f"]) * (v["f"] - m["f"]))
-        return F.try_divide(cov * cov, vy * vf)
-
-    return mae, F.transform(F.array(means), r2)[0]
-
-
-def _candidate(points: Column, cuts: list[Column]) -> Column:
-    n = F.size(points)
-    bounds = [F.lit(0), *cuts, n]
-    parts = [_with_fit(F.slice(points, lo + 1, hi - lo)) for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)]
-    whole = F.transform(F.array(F.concat(*parts)), lambda f: F.struct(*[c.alias(k) for c, k in zip(_quality(f), ("mae", "r2"), strict=True)]))[0]
-    at = [F.element_at(points, c + 1)["x"] for c in cuts]
-    return F.struct(whole["mae"].alias("mae"), whole["r2"].alias("r2"), *[c.alias(f"i{k + 1}") for k, c in enumerate(cuts)], *[v.alias(f"x{k + 1}") for k, v in enumerate(at)])
+def cuts_of(n: int, breaks: int) -> list[tuple[int, ...]]:
+    """The places of the breaks of n points, in order; every part holds two points at least."""
+    firsts = range(2, n - 1)
+    return [(i,) for i in firsts] if breaks == 1 else [(i, j) for i in firsts for j in range(i + 2, n - 1)]
 
 
 def breakpoints(obs: DataFrame, pixel: list[str], x: str = "x", y: str = "y", breaks: int = 1, predictor: str = "mae") -> DataFrame:
@@ -63,18 +42,24 @@ def breakpoints(obs: DataFrame, pixel: list[str], x: str = "x", y: str = "y", br
     A break at i parts the sorted points into [:i] and [i:]; every part holds two points at least. The first of the
     best candidates wins: least mae, or largest r2. Series too short for a break get nulls for it.
     """
-    point = F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    series = obs.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*pixel).agg(F.sort_array(F.collect_list(point)).alias("p"))
-    p, n = F.col("p"), F.size("p")
-    firsts = F.when(n >= 4, F.sequence(F.lit(2), n - 2)).otherwise(F.array().cast("array<int>"))
-    if breaks == 1:
-        found = F.transform(firsts, lambda i: _candidate(p, [i]))
-    else:
-        seconds = lambda i: F.filter(F.when(n >= 4, F.sequence(F.lit(2), n - 2)), lambda j: j >= i + 2)
-        found = F.flatten(F.transform(firsts, lambda i: F.transform(seconds(i), lambda j: _candidate(p, [i, j]))))
-    series = series.withColumn("found", F.filter(found, lambda c: c[predictor].isNotNull()))
-    best = F.array_min(F.transform("found", lambda c: c[predictor])) if predictor == "mae" else F.array_max(F.transform("found", lambda c: c[predictor]))
-    series = series.withColumn("best", F.get(F.filter("found", lambda c: c[predictor] == best), F.lit(0)))
-    line_mae, line_r2 = _quality(_with_fit(p))
-    chosen = [F.col(f"best.{c}{k}").alias(f"break_{'loc' if c == 'i' else 'x'}{k}") for k in range(1, breaks + 1) for c in "ix"]
-    return series.select(*pixel, *chosen, F.col("best.mae").alias("mae"), F.col("best.r2").alias("r2"), line_mae.alias("mae_linear"), line_r2.alias("r2_linear"))
+    if breaks not in (1, 2) or predictor not in ("mae", "r2"):
+        raise ValueError(f"breaks is 1 or 2, predictor mae or r2, not {breaks!r}, {predictor!r}")
+    places = {f"break_{kind}{k}": "int" if kind == "loc" else "double" for k in range(1, breaks + 1) for kind in ("loc", "x")}
+
+    def work(xs: np.ndarray, ys: np.ndarray) -> list[np.ndarray]:
+        count, n = xs.shape
+        best = np.full((len(places) + 2, count), np.nan)
+        score = np.full(count, np.inf)
+        for cuts in cuts_of(n, breaks):
+            ends = [0, *cuts, n]
+            fitted = np.concatenate([line(xs[:, a:b], ys[:, a:b]) for a, b in zip(ends, ends[1:], strict=False)], 1)
+            mae, r2 = quality(ys, fitted)
+            own = np.round(mae if predictor == "mae" else -r2, DIGITS)
+            better = own < score  # never for NaN
+            score[better] = own[better]
+            now = [v for c in cuts for v in (np.full(count, c), xs[:, c])] + [mae, r2]
+            best[:, better] = np.stack(now)[:, better]
+        return [*best, *quality(ys, line(xs, ys))]
+
+    outputs = {**places, "mae": "double", "r2": "double", "mae_linear": "double", "r2_linear": "double"}
+    return per_series(gathered(obs, pixel, x, y).where("size(p) > 0"), outputs, work, lambda n: n)

@@ -74,14 +74,13 @@ def opening(mask: DataFrame, rows: int, cols: int) -> DataFrame:
 
 
 def focal(cells: DataFrame, weights: dict[tuple[int, int], float], value: str = "value") -> DataFrame:
-    """The weighted mean of each cell's window over the cells that are there."""
-    pairs = F.create_map(*[x for (i, k), w in weights.items() for x in (F.lit(f"{-i},{-k}"), F.lit(float(w)))])
-    moved = spread(cells.select("row", "col", F.col(value).alias("value")), [(-i, -k) for i, k in weights])
-    moved = moved.withColumn("w", pairs[F.concat_ws(",", F.col("di").cast("string"), F.col("dk").cast("string"))])
-    moved = moved.withColumn("w", F.coalesce(moved["w"], F.lit(0.0)))
-    out = moved.groupBy("row", "col").agg(F.sum(F.col("w") * F.col("value")).alias("s"), F.sum("w").alias("w"))
-    held = cells.select("row", "col")
-    return out.join(held, ["row", "col"], "left_semi").select("row", "col", (F.col("s") / F.nullif(F.col("w"), F.lit(0.0))).alias(value))
+    """The weighted mean of each cell's window over the cells that are there; the window holds the cell itself."""
+    taps = [F.struct(F.lit(-i).alias("i"), F.lit(-k).alias("k"), F.lit(float(w)).alias("w")) for (i, k), w in weights.items()]
+    moved = cells.select("row", "col", F.col(value).alias("value"), F.explode(F.array(*taps)).alias("o"))
+    own = (F.col("o.i") == 0) & (F.col("o.k") == 0)
+    moved = moved.select((F.col("row") + F.col("o.i")).alias("row"), (F.col("col") + F.col("o.k")).alias("col"), (F.col("o.w") * F.col("value")).alias("s"), "o.w", own.alias("own"))
+    out = moved.groupBy("row", "col").agg(F.sum("s").alias("s"), F.sum("w").alias("w"), F.max("own").alias("own")).where("own")
+    return out.select("row", "col", (F.col("s") / F.nullif(F.col("w"), F.lit(0.0))).alias(value))
 
 
 def whole_grid(spark: SparkSession, rows: int, cols: int) -> DataFrame:

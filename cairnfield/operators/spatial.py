@@ -65,6 +65,16 @@ def updated(left: DataFrame, right: DataFrame, keys: list[str], columns: list[st
     return out.withColumns({c: F.coalesce(f"__{c}", c) for c in columns}).drop(*[f"__{c}" for c in columns])
 
 
+def with_attributes(objects: DataFrame, tables: list[DataFrame], key: str, how: str = "left") -> DataFrame:
+    """objects joined with attribute tables of their key, one after the other: left, or full_outer to keep all keys.
+
+    All joins are on one key, so objects and tables are dealt by it once each.
+    """
+    for t in tables:
+        objects = objects.join(t, key, how)
+    return objects
+
+
 def stale(outputs: DataFrame, inputs: DataFrame, key: str, stamp: str = "ts") -> DataFrame:
     """Keys of outputs with whether they must be made again: missing, or older than the newest input."""
     newest = inputs.groupBy(key).agg(F.max(stamp).alias("newest"))

@@ -1,40 +1,42 @@
 """Robust trends: the median of the slopes of all pairs, with rank-based confidence bounds.
 
-All pairs of a series are made inside one row by higher-order functions, so a series costs one shuffle of its own points
-and no self-join. Their number is the square of the series' length; series of a few hundred dates fit well.
+All pairs of a series are made inside one row, as a matrix for series of one length, so a series costs one shuffle of its
+own points and no self-join. Their number is half the square of the series' length, which is bounded by MAX_POINTS.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cairnfield.operators.arrays import gathered, per_series
+
 #: The two-sided 95 % quantile of the normal distribution.
 Z95 = 1.959963984540054
 PER_DECADE_DAYS = 3650.0
 PER_DECADE_YEARS = 10.0
 MIN_OBSERVATIONS = 4
 MIN_FOR_TREND = 6
+#: Observations of a series at most: 8 million pairs, some 200 MB in a task. A longer one raises an error.
+MAX_POINTS = 4000
 
 
-def median_of_sorted(values: Column) -> Column:
-    n = F.size(values)
-    lower, upper = F.floor((n + 1) / 2).cast("int"), F.floor(n / 2 + 1).cast("int")
-    return F.when(n > 0, (F.element_at(values, F.greatest(lower, F.lit(1))) + F.element_at(values, F.greatest(F.least(upper, n), F.lit(1)))) / 2)
-
-
-def pair_slopes(points: Column) -> Column:
-    """Slopes of all pairs of different x, of an array of structs (x, y), sorted."""
-    rising = lambda a: F.transform(F.filter(points, lambda b: b["x"] > a["x"]), lambda b: (b["y"] - a["y"]) / (b["x"] - a["x"]))
-    return F.sort_array(F.flatten(F.transform(points, rising)))
+def pair_slopes(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(slopes of all pairs of different x of each row, sorted, NaN at the end; their number). x rises along rows."""
+    first, second = np.triu_indices(x.shape[1], 1)
+    gap = x[:, second] - x[:, first]
+    with np.errstate(invalid="ignore", divide="ignore"):
+        slopes = np.where(gap > 0, (y[:, second] - y[:, first]) / gap, np.nan)
+    slopes.sort(1)
+    return slopes, (gap > 0).sum(1)
 
 
-def rank_bounds(n: Column, pairs: Column, z: float = Z95) -> tuple[Column, Column]:
+def rank_bounds(n: int, pairs: np.ndarray, z: float = Z95) -> tuple[np.ndarray, np.ndarray]:
     """Ranks (from 0) of the lower and upper bound among the sorted slopes; halves round to even."""
-    spread = F.sqrt(n * (n - 1) * (2 * n + 5) / 18.0) * z
-    low = F.greatest(F.rint((pairs - spread) / 2.0) - 1, F.lit(0.0))
-    high = F.least(F.rint((pairs + spread) / 2.0), pairs - 1.0)
-    return low.cast("int"), high.cast("int")
+    spread = np.sqrt(n * (n - 1) * (2 * n + 5) / 18.0) * z
+    low, high = np.maximum(np.rint((pairs - spread) / 2) - 1, 0), np.minimum(np.rint((pairs + spread) / 2), pairs - 1)
+    return low.astype(int), high.astype(int)
 
 
 def robust_trend(obs: DataFrame, pixel: list[str], x: str = "x", y: str = "y", factor: float = 1.0, least: int = MIN_OBSERVATIONS, fill_zero: bool = False) -> DataFrame:
@@ -42,24 +44,23 @@ def robust_trend(obs: DataFrame, pixel: list[str], x: str = "x", y: str = "y", f
 
     Pixels with fewer than `least` observations, or without two different x, get nulls, or zeros with fill_zero.
     """
-    point = F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    held = F.col(y).isNotNull() & F.col(x).isNotNull()
-    series = obs.groupBy(*pixel).agg(F.collect_list(F.when(held, point)).alias("p"))
-    enough = F.size("p") >= least
-    series = series.withColumn("s", pair_slopes(F.when(enough, F.col("p"))))
-    n, pairs = F.size("p").cast("double"), F.size("s")
-    low, high = rank_bounds(n, pairs)
-    some = enough & (pairs > 0)
-    slope = median_of_sorted(F.col("s"))
-    mid = lambda c: median_of_sorted(F.sort_array(F.transform("p", lambda v: v[c])))
-    out = {
-        "slope": slope * factor,
-        "intercept": mid("y") - slope * mid("x"),
-        "ci_low": F.get("s", F.least(low, pairs - 1)) * factor,
-        "ci_high": F.get("s", F.greatest(high, F.lit(0))) * factor,
-    }
-    shown = [(F.when(some, F.coalesce(c, F.lit(0.0)) if fill_zero else c).otherwise(F.lit(0.0 if fill_zero else None).cast("double"))).alias(k) for k, c in out.items()]
-    return series.select(*pixel, F.size("p").alias("nobs"), *shown)
+
+    def work(xs: np.ndarray, ys: np.ndarray) -> list[np.ndarray]:
+        count, n = xs.shape
+        if n > MAX_POINTS:
+            raise ValueError(f"a series of {n} observations: MAX_POINTS is {MAX_POINTS}")
+        if n < max(least, 2):
+            return [np.full(count, np.nan)] * 4
+        slopes, pairs = pair_slopes(xs, ys)
+        rows, last = np.arange(count), np.maximum(pairs - 1, 0)
+        low, high = rank_bounds(n, pairs)
+        slope = (slopes[rows, last // 2] + slopes[rows, np.minimum(pairs // 2, last)]) / 2
+        bounds = [slopes[rows, np.minimum(low, last)], slopes[rows, np.maximum(high, 0)]]
+        return [slope * factor, np.median(ys, 1) - slope * np.median(xs, 1), *(b * factor for b in bounds)]
+
+    series = gathered(obs, pixel, x, y).withColumn("nobs", F.size("p"))
+    out = per_series(series, dict.fromkeys(("slope", "intercept", "ci_low", "ci_high"), "double"), work, lambda n: n * n // 2)
+    return out.na.fill(0.0, ["slope", "intercept", "ci_low", "ci_high"]) if fill_zero else out
 
 
 def pairwise_median_slope(obs: DataFrame, pixel: list[str], x: str = "x", y: str = "y") -> DataFrame:

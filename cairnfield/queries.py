@@ -192,6 +192,7 @@ def _break_query(breaks: int, predictor: str) -> None:
 _break_query(1, "mae")
 _break_query(1, "r2")
 _break_query(2, "mae")
+_break_query(2, "r2")
 
 # --- spectral ------------------------------------------------------------------------------------------------------
 
@@ -506,10 +507,12 @@ def two_means(spark, sf_dir):
     return cells.two_means(d)
 
 
-@query("zonal_minmeanmax", "SELECT l_suppkey AS label, min(l_quantity) AS q_min, round(avg(l_quantity), 9) AS q_mean, max(l_quantity) AS q_max FROM lineitem GROUP BY 1")
+@query("zonal_minmeanmax", "SELECT o_custkey AS label, min(l_quantity) AS q_min, round(avg(l_quantity), 9) AS q_mean, max(l_quantity) AS q_max FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1")
 def zonal_minmeanmax(spark, sf_dir):
-    d = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("label"), F.col("l_orderkey").alias("row"), F.col("l_linenumber").alias("col"), "l_quantity")
-    return d.groupBy("label").agg(F.min("l_quantity").alias("q_min"), F.round(F.avg("l_quantity"), 9).alias("q_mean"), F.max("l_quantity").alias("q_max"))
+    places = lambda df, key: df.select(F.col(key).alias("row"), F.lit(0).alias("col"), "*")
+    zones = places(table(spark, sf_dir, "orders"), "o_orderkey").select("row", "col", F.col("o_custkey").alias("label"))
+    values = places(table(spark, sf_dir, "lineitem"), "l_orderkey").select("row", "col", F.col("l_quantity").alias("value"))
+    return _rounded9(cells.zonal(zones, values, "q_"))
 
 
 OBJ_SQL = """SELECT l_partkey AS label, sum(CASE WHEN l_linestatus = 'F' THEN l_quantity ELSE 0 END) AS area_water_inside, sum(CASE WHEN l_linestatus = 'O' THEN l_quantity / 8 ELSE 0 END) AS area_water_steady,
@@ -577,14 +580,14 @@ def zone_left_joins(spark, sf_dir):
     d = table(spark, sf_dir, "lineitem").withColumnRenamed("l_partkey", "label")
     i = d.where("l_linestatus = 'F'").groupBy("label").agg(F.count("*").alias("inside"))
     g = d.where("l_returnflag = 'R'").groupBy("label").agg(F.sum("l_quantity").alias("margin"))
-    return p.join(i, "label", "left").join(g, "label", "left").withColumn("inside", F.coalesce("inside", F.lit(0).cast("long")))
+    return spatial.with_attributes(p, [i, g], "label").withColumn("inside", F.coalesce("inside", F.lit(0).cast("long")))
 
 
-@query("aux_full_join", "SELECT coalesce(a.k, b.k) AS k, a.n AS orders, b.n AS lines FROM (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_custkey % 3 <> 0 GROUP BY 1) a FULL JOIN (SELECT l_suppkey AS k, count(*) AS n FROM lineitem GROUP BY 1) b ON a.k = b.k")
+@query("aux_full_join", "SELECT coalesce(a.k, b.k) AS k, a.n AS orders, b.n AS lines FROM (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1) a FULL JOIN (SELECT l_partkey AS k, count(*) AS n FROM lineitem GROUP BY 1) b ON a.k = b.k")
 def aux_full_join(spark, sf_dir):
-    a = table(spark, sf_dir, "orders").where("o_custkey % 3 <> 0").groupBy(F.col("o_custkey").alias("k")).agg(F.count("*").alias("orders"))
-    b = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("k")).agg(F.count("*").alias("lines"))
-    return a.join(b, "k", "full_outer")
+    a = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.count("*").alias("orders"))
+    b = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("k")).agg(F.count("*").alias("lines"))
+    return spatial.with_attributes(a, [b], "k", "full_outer")
 
 
 @query("layers_by_name", "SELECT l_orderkey AS key, max(l_quantity) FILTER (WHERE l_linenumber = 1) AS tcb, max(l_quantity) FILTER (WHERE l_linenumber = 2) AS tcg, max(l_quantity) FILTER (WHERE l_linenumber = 3) AS tcw FROM (SELECT l_orderkey, l_linenumber, max(l_quantity) AS l_quantity FROM lineitem GROUP BY 1, 2) GROUP BY 1")
@@ -823,7 +826,7 @@ def utm_round_trip(spark, sf_dir):
     return d.select("c_custkey", F.round("easting", 3).alias("easting"), F.round("northing", 3).alias("northing"), F.round(lon, 7).alias("lon"), F.round(lat, 7).alias("lat"))
 
 
-TARGET_SQL = f"SELECT row AS r, col AS c, row * 1.3::DOUBLE + 0.27 AS v, col * 0.7::DOUBLE + 0.43 AS u FROM ({GRID_SQL}) WHERE row % 2 = 0"
+TARGET_SQL = f"SELECT row AS r, col AS c, row * 1.3::DOUBLE + 0.27 AS v, col * 0.7::DOUBLE + 0.43 AS u FROM ({GRID_SQL})"
 
 
 def _resample_query(method: str) -> None:
@@ -840,7 +843,7 @@ SELECT t.r, t.c, {w} AS w, g.value FROM ({TARGET_SQL}) t JOIN ({GRID_SQL}) g ON
 ON x.r = t.r AND x.c = t.c AND w <> 0 GROUP BY t.r, t.c""")
     def run(spark, sf_dir):
         g = grid(spark, sf_dir)
-        t = g.where("row % 2 = 0").select(F.col("row").alias("r"), F.col("col").alias("c"), (F.col("row") * 1.3 + 0.27).alias("v"), (F.col("col") * 0.7 + 0.43).alias("u"))
+        t = g.select(F.col("row").alias("r"), F.col("col").alias("c"), (F.col("row") * 1.3 + 0.27).alias("v"), (F.col("col") * 0.7 + 0.43).alias("u"))
         return spatial.resampled(t, g, ["r", "c"], "v", "u", method).withColumn("value", F.round("value", 7))
 
 
@@ -855,11 +858,11 @@ def box_union(spark, sf_dir):
     return spatial.box_union(b, "c_nationkey")
 
 
-@query("newer_tiles", "SELECT l_orderkey, l_linenumber FROM lineitem LEFT JOIN (SELECT o_orderkey, max(o_orderdate) AS made FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY 1) ON o_orderkey = l_orderkey WHERE l_shipdate > coalesce(made + INTERVAL 60 DAY, TIMESTAMP '1900-01-01')")
+@query("newer_tiles", "SELECT l_orderkey, l_linenumber FROM lineitem LEFT JOIN (SELECT o_custkey, max(o_orderdate) AS made FROM orders GROUP BY 1) ON o_custkey = l_partkey WHERE l_shipdate > coalesce(made - INTERVAL 1000 DAY, TIMESTAMP '1900-01-01')")
 def newer_tiles(spark, sf_dir):
-    tiles = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), "l_linenumber", F.col("l_shipdate").cast("timestamp_ntz").alias("ts"))
-    made = table(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("k"), (F.col("o_orderdate").cast("timestamp_ntz") + F.expr("interval 60 days")).alias("ts"))
-    return spatial.newer_only(tiles, made, "k").select(F.col("k").alias("l_orderkey"), "l_linenumber")
+    tiles = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("k"), "l_orderkey", "l_linenumber", F.col("l_shipdate").cast("timestamp_ntz").alias("ts"))
+    made = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), (F.col("o_orderdate").cast("timestamp_ntz") - F.expr("interval 1000 days")).alias("ts"))
+    return spatial.newer_only(tiles, made, "k").select("l_orderkey", "l_linenumber")
 
 
 @query("training_points", f"""WITH g AS ({GRID_SQL}), b AS (SELECT *, s_suppkey % 5 AS k FROM supplier),
