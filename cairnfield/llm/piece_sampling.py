@@ -21,6 +21,7 @@ import re
 from array import array
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -143,6 +144,12 @@ class Pieces:
         return "".join(out)
 
 
+@lru_cache(2)
+def pieces_of(path: str, rank_shift: float = RANK_SHIFT, sharpness: float = SHARPNESS) -> Pieces:
+    """A vocabulary, read once by each Python worker."""
+    return Pieces(path, rank_shift, sharpness)
+
+
 def forward(pieces: Pieces, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The forward tables of segments, longest first: (node at the end of each, first, share, before, piece).
 
@@ -173,9 +180,11 @@ def forward(pieces: Pieces, segments: list[str]) -> tuple[np.ndarray, np.ndarray
     edges.append((bare, np.ones(len(bare), np.int64), math.log(BYTE_WEIGHT) * (1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)), -1 - c))
     node, back, weight, piece = (np.concatenate(x) for x in zip(*edges, strict=True))
 
+    order = np.argsort(node * (pieces.longest + 1) + back)
+    kept = node[order], back[order], piece[order].astype(np.int32)
     # edges by the place where they end, so that a place's sums are made for all segments at once
-    order = np.argsort((place[node] * total + node) * (pieces.longest + 1) + back)
-    node, back, weight, piece = node[order], back[order], weight[order], piece[order].astype(np.int32)
+    by_place = np.argsort(place[kept[0]].astype(np.uint16), kind="stable")
+    node, back, weight = kept[0][by_place], kept[1][by_place], weight[order[by_place]]
     group = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
     count = np.diff(np.append(group, len(node)))
     steps = np.searchsorted(place[node[group]], np.arange(1, int(sizes[0]) + 2))
@@ -192,12 +201,13 @@ def forward(pieces: Pieces, segments: list[str]) -> tuple[np.ndarray, np.ndarray
         share[s:e] = (so_far - np.repeat(before, n)) / np.repeat(ends - before, n)
     share[group + count - 1] = 1.0
 
-    order = np.argsort(node, kind="stable")
-    node, back = node[order], back[order]
+    node, back, piece = kept
+    shares = np.empty(len(share))
+    shares[by_place] = share
     first = np.cumsum(np.bincount(node, minlength=total))
     first = np.append(0, first[:-1])
     before = np.where(place[node] == back, -1, node - back)
-    return base + sizes, first, share[order], before, piece[order]
+    return base + sizes, first, shares, before, piece
 
 
 class LongSegment:
@@ -248,7 +258,7 @@ class Sampler:
     """
 
     def __init__(self, path: str, seed: int = SEED, most: int = CACHE_SEGMENTS, rank_shift: float = RANK_SHIFT, sharpness: float = SHARPNESS):
-        self.pieces, self.seed, self.most = Pieces(path, rank_shift, sharpness), seed, most
+        self.pieces, self.seed, self.most = pieces_of(path, rank_shift, sharpness), seed, most
         self._clear()
 
     def _clear(self) -> None:
@@ -265,13 +275,13 @@ class Sampler:
         old[used : used + len(new)] = new
         return old
 
-    def _add(self, segments: list[str]) -> None:
-        segments, at = sorted(segments, key=len, reverse=True), 0
+    def _add(self, segments: list[str], sizes: np.ndarray) -> None:
+        order = np.argsort(-sizes, kind="stable")
+        segments, upto = [segments[i] for i in order], np.cumsum(sizes[order] + 1)
+        at = 0
         while at < len(segments):
-            end, places = at, 0
-            while end < len(segments) and (end == at or places + len(segments[end]) < PLACES):
-                places += len(segments[end]) + 1
-                end += 1
+            full = int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PLACES))
+            end = max(at + 1, full)
             last, first, share, before, piece = forward(self.pieces, segments[at:end])
             self.last.update(zip(segments[at:end], (last + self.nodes).tolist(), strict=True))
             self.first = self._joined(self.first, self.nodes, first + self.edges)
@@ -303,16 +313,19 @@ class Sampler:
         """The ids of each text."""
         rows = [_SEGMENT.findall(t) for t in texts]
         flat = [s for r in rows for s in r]
-        short = set(flat)
-        if huge := {s for s in short if len(s) > LONG}:
-            short -= huge
-        long = [i for i, s in enumerate(flat) if s in huge] if huge else []
-        missing = list(short.difference(self.last))
+        distinct = set(flat)
+        missing, long = list(distinct.difference(self.last)), []
         if missing:
-            if len(self.last) + len(missing) > self.most or self.nodes + sum(map(len, missing)) > CACHE_PLACES:
+            sizes = np.fromiter(map(len, missing), np.int64, len(missing))
+            if len(self.last) + len(missing) > self.most or self.nodes + int(sizes.sum()) > CACHE_PLACES:
                 self._clear()
-                missing = list(short)
-            self._add(missing)
+                missing = list(distinct)
+                sizes = np.fromiter(map(len, missing), np.int64, len(missing))
+            if sizes.max() > LONG:
+                huge = {missing[i] for i in np.flatnonzero(sizes > LONG)}
+                long = [i for i, s in enumerate(flat) if s in huge]
+                missing, sizes = [s for s in missing if s not in huge], sizes[sizes <= LONG]
+            self._add(missing, sizes)
         counts = np.array([len(r) for r in rows], np.int64)
         start = np.cumsum(counts) - counts
         key = np.repeat(np.array([k or 0 for k in keys], np.int64), counts)
@@ -385,7 +398,7 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        pieces = Pieces(path)
+        pieces = pieces_of(path)
         for batch in batches:
             for part in parts_of(batch, at, BATCH_ROWS):
                 texts = [None if b is None else pieces.decode(np.frombuffer(b, "<u4")) for b in part.column(at).to_pylist()]
