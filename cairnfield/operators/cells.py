@@ -205,12 +205,16 @@ def zonal(labels: DataFrame, values: DataFrame, prefix: str = "", value: str = "
 
 
 def shape(labels: DataFrame) -> DataFrame:
-    """Area, centroid, equivalent diameter, axes, eccentricity, orientation and perimeter (cell sides that are open)."""
+    """Area, centroid, equivalent diameter, axes, eccentricity, orientation and perimeter (cell sides that are open).
+
+    A covariance that differs from 0 by rounding alone counts as 0, so an object along the columns is turned by +90 degrees.
+    """
     r, c = F.col("row").cast("double"), F.col("col").cast("double")
     m = labels.groupBy("label").agg(
         F.count("*").alias("area"), F.avg(r).alias("centroid_row"), F.avg(c).alias("centroid_col"),
         (F.var_pop(r) + 1 / 12).alias("rr"), (F.var_pop(c) + 1 / 12).alias("cc"), F.covar_pop(r, c).alias("rc"),
     )
+    m = m.withColumn("rc", F.when(F.abs("rc") > 1e-9, F.col("rc")).otherwise(0.0))
     gap = F.sqrt(F.pow((F.col("rr") - F.col("cc")) / 2, 2) + F.col("rc") * F.col("rc"))
     m = m.withColumns({"l1": (F.col("rr") + F.col("cc")) / 2 + gap, "l2": (F.col("rr") + F.col("cc")) / 2 - gap})
     own = labels.select("row", "col", "label")

@@ -15,7 +15,7 @@ from cairnfield.functions import objects, projection, scene_names, spectral
 from cairnfield.operators import breakpoints as bp
 from cairnfield.operators import cells, scoring, series, spatial, trend
 from cairnfield.plans import pipelines
-from cairnfield.sources import manifest, sinks
+from cairnfield.sources import features, manifest, sinks, text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -905,3 +905,76 @@ def point_text(spark, sf_dir):
     names_ = ("ulx", "uly", "lrx", "lry")
     at = scene_names.hours_since_1900(x * 1000).cast("string")
     return table(spark, sf_dir, "supplier").select("s_suppkey", scene_names.point_wkt(x, y).alias("wkt"), at.alias("at"), *[c.alias(n) for c, n in zip(corners, names_, strict=True)])
+
+
+# --- texts and features ---------------------------------------------------------------------------------------------
+
+
+@query("metadata_value", "SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS text, CAST(o_custkey AS DOUBLE) AS number FROM orders")
+def metadata_value(spark, sf_dir):
+    content = F.concat(F.lit("GROUP = SUN\r\n  DATE = "), F.col("o_orderdate").cast("string"), F.lit("\n  SUN_ELEVATION = "), F.col("o_custkey").cast("string"), F.lit("\n  SUN_ELEVATION_2 = 0\nEND"))
+    d = table(spark, sf_dir, "orders").select("o_orderkey", content.alias("content"))
+    return d.select("o_orderkey", text.value_of(F.col("content"), "SUN_ELEVATION").alias("v")).select("o_orderkey", "v.*")
+
+
+@query("instrument_of", "SELECT s_suppkey, 'S' || s_nationkey AS instrument FROM supplier")
+def instrument_of(spark, sf_dir):
+    xml = F.format_string("<scene><meta id='%d'><instrument>S%d</instrument></meta><instrument>other</instrument></scene>", "s_suppkey", "s_nationkey")
+    return table(spark, sf_dir, "supplier").select("s_suppkey", text.instrument(xml).alias("instrument"))
+
+
+@query("site_paths", "SELECT 'Z' || n_nationkey AS name, '/data/' || n_name AS data_dir, '/data/' || n_regionkey || '.shp' AS fishnet_file FROM nation")
+def site_paths(spark, sf_dir):
+    name = F.concat(F.lit("Z"), F.col("n_nationkey").cast("string"))
+    n = table(spark, sf_dir, "nation").select(name.alias("name"), F.concat(F.lit("N:\\old\\"), "n_name").alias("data_dir"), F.concat(F.lit("/mnt/x/"), F.col("n_regionkey").cast("string"), F.lit(".shp")).alias("fishnet_file"))
+    return text.site_table(n, "/data/")
+
+
+@query("sun_distances", "SELECT CAST(s_suppkey * 6 + k AS INT) AS doy, k + s_nationkey / 64 AS d FROM supplier, (SELECT unnest(range(0, 6)) AS k)")
+def sun_distances(spark, sf_dir):
+    pair = lambda k: F.concat((F.col("s_suppkey") * 6 + k).cast("string"), F.lit(","), (F.lit(k) + F.col("s_nationkey") / 64).cast("string"))
+    lines = table(spark, sf_dir, "supplier").select(F.concat_ws(",", *[pair(k) for k in range(6)]).alias("value"))
+    return text.distances(lines.unionByName(spark.createDataFrame([("DOY,d,DOY,d,DOY,d,DOY,d,DOY,d,DOY,d",)], "value string")))
+
+
+@query("scaled_bands", "SELECT l_orderkey, l_linenumber, round(nullif(l_linenumber - 1, 0) / 10000, 9) AS b1, round(nullif(l_quantity, 0) / 10000, 9) AS b2 FROM lineitem")
+def scaled_bands(spark, sf_dir):
+    b = spectral.scaled(F.array((F.col("l_linenumber") - 1).cast("double"), F.col("l_quantity").cast("double")))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", b.alias("b")).select("l_orderkey", "l_linenumber", F.round(F.col("b")[0], 9).alias("b1"), F.round(F.col("b")[1], 9).alias("b2"))
+
+
+@query("valid_scenes", f"""SELECT basename, date IS NOT NULL AS valid_name, coalesce(month(date) BETWEEN 7 AND 8 AND year(date) BETWEEN 1996 AND 1999, false) AS process FROM (
+SELECT *, CASE WHEN n = 5 AND len(s) = 16 THEN CAST(try_strptime(s[10:16], '%Y%j') AS DATE) WHEN n = 5 AND len(s) = 22 THEN CAST(try_strptime(s[11:18], '%Y%m%d') AS DATE) END AS date
+FROM (SELECT name || '.tif' AS basename, split_part(name, '_', 1) AS s, len(string_split(name, '_')) AS n FROM ({NAMES_SQL})))""")
+def valid_scenes(spark, sf_dir):
+    files = names(spark, sf_dir).select(F.concat("name", F.lit(".tif")).alias("basename"))
+    return manifest.manifest(files, (7, 8), (1996, 1999)).select("basename", "valid_name", "process")
+
+
+@query("feature_boxes", "SELECT s_suppkey AS id, 'Polygon' AS kind, s_acctbal AS xmin, s_acctbal + 30 AS xmax, s_nationkey - 5.5 AS ymin, s_nationkey + 2.0 AS ymax FROM supplier")
+def feature_boxes(spark, sf_dir):
+    x, y = F.col("s_acctbal"), F.col("s_nationkey").cast("double")
+    shaped = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), features.box(x, y - 5.5, x + 30, y + 2).alias("geometry"))
+    line = F.concat(F.lit('{"type": "FeatureCollection", "features": ['), "value", F.lit("]}"))
+    read = features.features(sinks.as_features(shaped).select(line.alias("value")))
+    return read.select(F.col("properties")["id"].cast("long").alias("id"), "kind", "xmin", "xmax", "ymin", "ymax")
+
+
+@query("typed_layers", f"SELECT row, col, CASE WHEN value > 0.1 THEN 14 ELSE 0 END AS class, CAST(coalesce(CASE WHEN value > 0.1 THEN value END, -1) AS FLOAT)::DOUBLE AS confidence FROM ({GRID_SQL})")
+def typed_layers(spark, sf_dir):
+    g = grid(spark, sf_dir)
+    known = g.select("row", "col", F.when(F.col("value") > 0.1, 14).alias("class"), F.when(F.col("value") > 0.1, F.col("value")).alias("confidence"))
+    out = sinks.layers(known, {"class": ("tinyint", 0), "confidence": ("float", -1.0)})
+    return out.withColumns({"class": F.col("class").cast("int"), "confidence": F.col("confidence").cast("double")})
+
+
+@query("shape_moments", _label_sql(False) + """, mo AS (SELECT label, count(*) AS n, var_pop(CAST(row AS DOUBLE)) + 1 / 12::DOUBLE AS rr, var_pop(CAST(col AS DOUBLE)) + 1 / 12::DOUBLE AS cc, CASE WHEN abs(covar_pop(CAST(row AS DOUBLE), CAST(col AS DOUBLE))) > 1e-9 THEN covar_pop(CAST(row AS DOUBLE), CAST(col AS DOUBLE)) ELSE 0 END AS rc FROM l GROUP BY label),
+ei AS (SELECT *, (rr + cc) / 2 + sqrt(pow((rr - cc) / 2, 2) + rc * rc) AS l1, greatest((rr + cc) / 2 - sqrt(pow((rr - cc) / 2, 2) + rc * rc), 0) AS l2 FROM mo)
+SELECT label, n AS area, round(4 * sqrt(l1), 6) AS major_axis, round(4 * sqrt(l2), 6) AS minor_axis, round(sqrt(1 - l2 / l1), 6) AS eccentricity,
+  CASE WHEN abs(rr - cc) > 1e-9 OR abs(rc) > 1e-9 THEN round(0.5::DOUBLE * atan2(2 * rc, cc - rr), 6) END AS orientation FROM ei""")
+def shape_moments(spark, sf_dir):
+    labels = cells.components(mask(spark, sf_dir), COLS)
+    s = cells.shape(labels)
+    # an object that is alike in all directions has no orientation
+    turned = F.when(F.col("major_axis") - F.col("minor_axis") > 1e-6, F.col("orientation"))
+    return _rounded(s.select("label", "area", "major_axis", "minor_axis", "eccentricity", turned.alias("orientation")))

@@ -6,13 +6,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def value_of(text: Column, feature: str) -> Column:
+    """struct(text, number): the value of the first 'KEY = value' line whose key contains the feature."""
+    key = lambda line: F.split(line, "=", 2)[0]
+    held = F.filter(F.split(text, "\r?\n"), lambda line: line.contains("=") & key(line).contains(feature))
+    value = F.trim(F.split(F.get(held, F.lit(0)), "=", 2)[1])
+    return F.struct(value.alias("text"), value.try_cast("double").alias("number"))
+
+
 def metadata(spark: SparkSession, path: str, feature: str) -> DataFrame:
     """(file, text, number): the first 'KEY = value' line of each file whose key contains the feature."""
-    lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("n", "line"))
-    held = lines.where(F.col("line").contains(feature) & F.col("line").contains("="))
-    first = held.groupBy("file").agg(F.min_by("line", "n").alias("line"))
-    text = F.trim(F.split("line", "=", 2)[1])
-    return first.select("file", text.alias("text"), text.try_cast("double").alias("number"))
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), value_of(F.col("value"), feature).alias("v"))
+    return files.select("file", "v.*").where("text is not null")
 
 
 def instrument(xml: Column) -> Column:
@@ -20,9 +25,8 @@ def instrument(xml: Column) -> Column:
     return F.xpath_string(xml, F.lit("(//instrument)[1]"))
 
 
-def sites(spark: SparkSession, path: str, base: str = "") -> DataFrame:
-    """The table of sites, keyed by name; path columns keep their last part, below base."""
-    df = spark.read.option("header", "true").csv(path)
+def site_table(df: DataFrame, base: str = "") -> DataFrame:
+    """A table of sites; path columns keep their last part, below base."""
     df = df.drop(*[c for c in df.columns if c in ("", "_c0")])
     for c in (c for c in df.columns if c.endswith("_dir") or c.endswith("_file")):
         last = F.element_at(F.split(F.col(c), r"[\\/]"), -1)
@@ -30,7 +34,17 @@ def sites(spark: SparkSession, path: str, base: str = "") -> DataFrame:
     return df
 
 
-def sun_distance(spark: SparkSession, path: str) -> DataFrame:
-    """(doy, d) of a table with six pairs of columns a line; lines that hold no numbers are left out."""
+def sites(spark: SparkSession, path: str, base: str = "") -> DataFrame:
+    """The table of sites in a file, keyed by name."""
+    return site_table(spark.read.option("header", "true").csv(path), base)
+
+
+def distances(lines: DataFrame) -> DataFrame:
+    """(doy, d) of lines (value) with six pairs of columns each; lines that hold no numbers are left out."""
     pairs = F.explode(F.transform(F.sequence(F.lit(0), F.lit(5)), lambda k: F.struct(F.get("v", k * 2).try_cast("int").alias("doy"), F.get("v", k * 2 + 1).try_cast("double").alias("d"))))
-    return spark.read.text(path).select(F.split("value", ",").alias("v")).select(pairs.alias("p")).select("p.doy", "p.d").where("doy is not null and d is not null")
+    return lines.select(F.split("value", ",").alias("v")).select(pairs.alias("p")).select("p.doy", "p.d").where("doy is not null and d is not null")
+
+
+def sun_distance(spark: SparkSession, path: str) -> DataFrame:
+    """The Earth-Sun distances of a file, as distances() reads them."""
+    return distances(spark.read.text(path))
