@@ -6,41 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairnfield.llm._shared import stored
+from cairnfield.operators.components import are_stars, large_star, small_star
 
 MAX_ROUNDS = 60
 
 
-def _star(links: DataFrame) -> DataFrame:
-    """links (u, v) plus m, the least of u and its neighbours."""
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
-    return links.join(least.select(F.col("u").alias("w"), "m"), F.col("u") == F.col("w")).select("u", "v", F.least("u", "m").alias("m"))
-
-
-def large_star(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is linked to the node's least neighbour."""
-    both = edges.union(edges.select("v", "u"))
-    return _star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-
-
-def small_star(edges: DataFrame) -> DataFrame:
-    """A node and its smaller neighbours are linked to the least of them."""
-    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    s = _star(down)
-    moved = s.select("v", "m").union(s.select("u", "m")).where("v <> m")
-    return moved.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(id, component_id) of every node of edges (u, v); component_id is the component's least node.
 
     Every round is written to the shared folder. Nulls and loops are left out; no edges give no rows.
     """
     now = stored(edges.select("u", "v").where("u <> v").distinct(), "edges")
-    mark = None
     for _ in range(MAX_ROUNDS):
         now = stored(small_star(large_star(now)), "edges")
-        seen = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.hash("v", "u").cast("long"))).first()
-        if seen == mark:
+        if are_stars(now):
             return now.select(F.col("u").alias("id"), F.col("v").alias("component_id")).union(now.select("v", "v").distinct())
-        mark = seen
     raise RuntimeError("components did not settle")

@@ -149,42 +149,44 @@ def signatures(docs: DataFrame, percent: int) -> DataFrame:
 
 
 def compare(pairs: DataFrame, payload: DataFrame, prepare: Callable, test: Callable) -> DataFrame:
-    """The rows (a, b) of pairs whose payloads pass test(prepare(a's), prepare(b's)).
+    """The rows (a, b, n) of pairs whose payloads pass test(prepare(a's), prepare(b's)).
 
-    Pairs are dealt by a; what a has is sent once to every STAR of its partners, and a task holds one star's head and
-    one partner at a time.
+    n says how many partners a may have in the bucket that gave the pair. By it pairs are salted, without a join that would
+    bring all pairs of a to one task: what a has is sent once to every STAR of them, and a task holds one star's head and one
+    partner at a time.
     """
-    stars = pairs.groupBy("a").agg(F.count("*").alias("n"))
-    salt = F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / STAR))
-    salted = pairs.join(stars, "a").select("a", "b", salt.alias("salt"))
-    heads = salted.select("a", "salt").distinct().select("a", "salt", F.col("a").alias("doc_id"), F.lit(0).alias("member"))
-    need = heads.union(salted.select("a", "salt", "b", F.lit(1)))
-    dealt = need.hint("merge").join(payload, "doc_id").repartition("a", "salt").sortWithinPartitions("a", "salt", "member")
+    # powers of two, so that buckets of about one size share their heads
+    spread = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.col("n") / STAR, F.lit(1.0))))).cast("long")
+    salted = pairs.withColumn("spread", spread).withColumn("salt", F.pmod(F.xxhash64("b"), F.col("spread")))
+    heads = salted.select("a", "spread", "salt").distinct().select("a", "spread", "salt", F.col("a").alias("doc_id"), F.lit(0).alias("member"), F.lit(0).cast("long").alias("n"))
+    need = heads.union(salted.select("a", "spread", "salt", "b", F.lit(1), "n"))
+    dealt = need.hint("merge").join(payload, "doc_id").repartition("a", "spread", "salt").sortWithinPartitions("a", "spread", "salt", "member")
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         group, heads = None, []
         for batch in batches:
-            found: tuple[list, list] = ([], [])
-            for a, salt, doc_id, member, value in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
-                if (a, salt) != group:
-                    group, heads = (a, salt), []
+            found: tuple[list, list, list] = ([], [], [])
+            for a, spread, salt, doc_id, member, n, value in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
+                if (a, spread, salt) != group:
+                    group, heads = (a, spread, salt), []
                 own = prepare(value)
                 if not member:
                     heads.append(own)
                 elif any(test(h, own) for h in heads):
                     found[0].append(a)
                     found[1].append(doc_id)
-            yield pa.record_batch([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64())], names=["a", "b"])
+                    found[2].append(n)
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in found], names=["a", "b", "n"])
 
-    return dealt.select("a", "salt", "doc_id", "member", "payload").mapInArrow(run, "a long, b long")
+    return dealt.select("a", "spread", "salt", "doc_id", "member", "n", "payload").mapInArrow(run, "a long, b long, n long")
 
 
 def pairs_within(buckets: DataFrame, bands: int, rows: int, least: int) -> DataFrame:
-    """Pairs (a, b) of different components in one bucket whose signatures agree in `least` bytes or more.
+    """Pairs (a, b, n) of different components in one bucket of n whose signatures agree in `least` bytes or more.
 
-    buckets: (key, lo, hi, block, doc_id, component, sig). A pair is let out in the first band that it shares alone.
+    buckets: (key, lo, hi, n, block, doc_id, component, sig). A pair is let out in the first band that it shares alone.
     """
 
     def close(key: int, block: np.ndarray, ids: np.ndarray, parts: np.ndarray, sigs: np.ndarray, mixed: bool) -> tuple:
@@ -211,20 +213,20 @@ def pairs_within(buckets: DataFrame, bands: int, rows: int, least: int) -> DataF
             block, ids, parts, sigs = zip(*held, strict=True)
             matrix = np.frombuffer(b"".join(sigs), np.uint8).reshape(-1, HASHES)
             a, b = close(group[0], np.array(block), np.array(ids), np.array(parts), matrix, group[1] != group[2])
-            return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array([group[3]] * len(a), pa.int64())], names=["a", "b", "n"])
 
         for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
-                if row[:3] != group:
+            for row in zip(*(batch.column(k).to_pylist() for k in range(8)), strict=True):
+                if row[:4] != group:
                     if held:
                         yield flush()
-                    group, held = row[:3], []
-                held.append(row[3:])
+                    group, held = row[:4], []
+                held.append(row[4:])
         if held:
             yield flush()
 
     dealt = buckets.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "doc_id")
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(run, "a long, b long, n long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -260,7 +262,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         both = len(np.intersect1d(x, y, assume_unique=True))
         return 100 * both >= percent * (len(x) + len(y) - both)
 
-    star = stored(grouped.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct(), "star")
+    star = grouped.where("doc_id <> hub").groupBy(F.col("hub").alias("a"), F.col("doc_id").alias("b")).agg(F.max("n").alias("n"))
+    star = stored(star, "star")
     likely = compare(star, sigs, lambda v: np.frombuffer(v, np.uint8), signature_test)
     edge = stored(compare(likely, texts, shingle_set, exact_test), "star-links").select(F.col("a").alias("u"), F.col("b").alias("v"))
 
@@ -270,9 +273,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     open_keys = at.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x <> y")
     blocks = F.ceil(F.col("n") / BLOCK)
     rest = at.join(stored(open_keys.select("key", "n"), "open"), "key").where("doc_id <> hub")
-    rest = rest.select("key", "doc_id", "component", F.pmod(F.xxhash64("doc_id"), blocks).alias("block"), blocks.alias("blocks"))
+    rest = rest.select("key", "n", "doc_id", "component", F.pmod(F.xxhash64("doc_id"), blocks).alias("block"), blocks.alias("blocks"))
     rest = rest.join(reps.select("doc_id", "sig"), "doc_id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rest = rest.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "doc_id", "component", "sig")
+    rest = rest.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "n", "block", "doc_id", "component", "sig")
     across = stored(pairs_within(rest, bands, rows, least), "across")
     more = compare(across, texts, shingle_set, exact_test).select(F.col("a").alias("u"), F.col("b").alias("v"))
     # rows that repeat a doc_id may be in several classes
