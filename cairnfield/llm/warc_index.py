@@ -7,13 +7,14 @@ before it is no part of the delimiter: Hadoop's line reader forgets a partial ma
 line ends before a delimiter that starts with line ends hides it. Records read are counted against rows written.
 
 The index is merged externally: each task's captures, sorted by URL key and time, are one run in the shared folder; a
-range partitioning by (URL key, time, page) cuts all runs into slices, and every task merges its slices of the runs
-through a loser tree. Ranges cover the page id too, so a URL with a third of all captures is spread over many tasks.
+range partitioning by (URL key, time, page), held as one sortable string, cuts all runs into slices, and every task merges
+its slices of the runs through a loser tree. Ranges cover the page id too, so a URL with a third of all captures is spread
+over many tasks.
 
 Defined cases: null html is an empty payload; a null url has an empty URL key; equal payloads are revisits of the one
 with the largest page_id (rows that repeat this page_id are responses too; a null page_id is never referred to, and
 is a revisit where another page has its payload); white space in a URL is percent-encoded in the archive; other columns
-take no part.
+take no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +32,9 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 MIN_REVISIT_BYTES = 0
 #: Digests of repeated payloads that may be broadcast: at most so many rows of 60 bytes.
 BROADCAST_ROWS = 200_000
-MERGE_ROWS = 50_000
+#: Captures that a task merges: some 50 MB of keys.
+MERGE_ROWS = 250_000
+CAPTURE = ("page_id", "url", "html", "captured")
 END = "\r\n\r\n"
 EPOCH = 1_704_067_200
 
@@ -61,7 +65,7 @@ def with_payloads(pages: DataFrame) -> DataFrame:
 
 def referred(pages: DataFrame, min_bytes: int) -> DataFrame:
     """pages with response_id: the largest page_id of the rows with an equal payload, if another row has it."""
-    known = with_payloads(pages)
+    known = with_payloads(pages.select(*CAPTURE))
     groups = known.where(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest", "payload_bytes")
     repeated = groups.agg(F.max("page_id").alias("response_id"), F.count("*").alias("n")).where("n > 1").drop("n")
     repeated = stored(repeated, "repeated-payloads")
@@ -189,10 +193,21 @@ class LoserTree:
             self._play(w)
 
 
+def sort_key(url_key: Column, captured: Column, page_id: Column) -> Column:
+    """One string that sorts as (URL key, time, page) do, nulls first: numbers as hexadecimal digits with the sign turned."""
+
+    def digits(number: Column) -> Column:
+        turned = F.lpad(F.hex(number.bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+        return F.when(number.isNull(), "0").otherwise(F.concat(F.lit("1"), turned))
+
+    return F.concat(url_key, F.lit("\x00"), digits(F.unix_micros(captured)), digits(page_id.cast("long")))
+
+
 def sorted_runs(captures: DataFrame, name: str = "capture-runs") -> DataFrame:
-    """captures with url_key, and the run (one for each task) and place that its sorted file gives each row."""
+    """captures with url_key, sort_key, and the run (one for each task) and place that its sorted file gives each row."""
     keyed = captures.withColumn("url_key", url_key(F.col("url")))
-    ordered = keyed.sortWithinPartitions("url_key", "captured", "page_id").withColumn("__id", F.monotonically_increasing_id())
+    keyed = keyed.withColumn("sort_key", sort_key(F.col("url_key"), F.col("captured"), F.col("page_id")))
+    ordered = keyed.sortWithinPartitions("sort_key").withColumn("__id", F.monotonically_increasing_id())
     # the id's high bits number the task, the low 33 the row
     return stored(ordered.withColumns({"run": F.shiftright("__id", 33), "place": F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))}).drop("__id"), name)
 
@@ -200,9 +215,8 @@ def sorted_runs(captures: DataFrame, name: str = "capture-runs") -> DataFrame:
 def merge_runs(runs: DataFrame, rows_a_task: int = MERGE_ROWS) -> DataFrame:
     """The rows of all runs in one global order: partitions follow each other by (url_key, captured, page_id)."""
     n = max(1, -(-runs.count() // rows_a_task))
-    order = ["url_key", "captured", "page_id"]
-    sliced = runs.repartitionByRange(n, *order).sortWithinPartitions("run", "place")
-    at = [sliced.columns.index(c) for c in ("run", *order)]
+    sliced = runs.repartitionByRange(n, "sort_key").sortWithinPartitions("run", "place")
+    at = [sliced.columns.index(c) for c in ("run", "sort_key")]
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -211,10 +225,8 @@ def merge_runs(runs: DataFrame, rows_a_task: int = MERGE_ROWS) -> DataFrame:
         if not held:
             return
         whole = pa.Table.from_batches(held).combine_chunks()
-        # nulls come first, as in Spark's ascending order
-        keys = list(zip(*([(v is not None, v) if v is not None else (False,) for v in whole.column(k).to_pylist()] for k in at[1:]), strict=True))
-        owner = whole.column(at[0]).to_pylist()
-        starts = [i for i in range(len(owner)) if not i or owner[i] != owner[i - 1]]
+        keys, owner = whole.column(at[1]).to_pylist(), whole.column(at[0]).to_numpy()
+        starts = [0, *(np.flatnonzero(owner[1:] != owner[:-1]) + 1).tolist()]
         slices = [keys[s:e] for s, e in zip(starts, [*starts[1:], len(owner)], strict=True)]
         merged = whole.take(pa.array([starts[r] + p for r, p in LoserTree(slices)], pa.int64()))
         yield from merged.to_batches(max_chunksize=10_000)

@@ -6,7 +6,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from cairnfield.llm._shared import new_path
-from cairnfield.llm.warc_index import END, LoserTree, capture_histories, merge_runs, read_warc, sorted_runs, write_warc
+from cairnfield.llm.warc_index import END, LoserTree, capture_histories, merge_runs, read_warc, sort_key, sorted_runs, url_key, write_warc
 
 KIND = "page_id long, url string, html string, captured timestamp, archive string"
 WHEN = datetime(2024, 1, 1)
@@ -71,3 +71,18 @@ def test_histories_are_in_one_global_order(spark):
 
 def test_empty_table(spark):
     assert capture_histories(pages(spark, [])).count() == 0
+
+
+def test_columns_that_clash_take_no_part(spark):
+    names = ["payload_bytes", "payload_digest", "response_id", "__block", "run", "place", "url_key", "sort_key", "record_type"]
+    rows = [(i, "http://a", "ab", WHEN, *["x"] * len(names)) for i in range(3)]
+    got = capture_histories(spark.createDataFrame(rows, ["page_id", "url", "html", "captured", *names])).collect()
+    assert [(r.page_id, r.record_type, r.refers_to, r.payload_bytes) for r in got] == [(0, "revisit", 2, 2), (1, "revisit", 2, 2), (2, "response", None, 2)]
+
+
+def test_sort_keys_sort_as_their_parts(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice([None, -5, 0, 7, 2**62]), rng.choice(["http://a.b/c", "http://a.b", "http://é.b/", None]), "", rng.choice([None, WHEN, datetime(1960, 5, 5)])) for _ in range(200)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, captured timestamp").withColumn("k", url_key(F.col("url")))
+    parts = [(r.k, r.captured, r.page_id) for r in df.orderBy("k", "captured", "page_id").collect()]
+    assert parts == [(r.k, r.captured, r.page_id) for r in df.orderBy(sort_key(F.col("k"), F.col("captured"), F.col("page_id"))).collect()]
