@@ -66,6 +66,19 @@ def all_grams(text: str) -> np.ndarray:
     return np.concatenate([one, two, two[:-1] << BITS | one[2:]])
 
 
+@dataclass
+class Grams:
+    """Distinct n-grams of a number of texts, text after text: how many each has, and for each its text, code, count and
+    place in a kernel's vocabulary, -1 for none."""
+
+    texts: int
+    own: np.ndarray
+    row: np.ndarray
+    codes: np.ndarray
+    counts: np.ndarray
+    at: np.ndarray
+
+
 @dataclass
 class Kernel:
     """Landmarks as presence of n-grams: the sorted codes of all, and presence (codes x landmarks)."""
@@ -83,31 +96,33 @@ class Kernel:
         """The letters of the landmarks."""
         return "".join(chr(c - GAP) for c in self.codes[(self.codes > GAP) & (self.codes < 1 << BITS)])
 
-    def known(self, texts: list[str], by: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    def look_up(self, texts: list[str]) -> Grams:
+        found = [np.unique(all_grams(t), return_counts=True) for t in texts]
+        own = np.array([len(g) for g, _ in found])
+        codes, counts = (np.concatenate(x) for x in zip(*found, strict=True))
+        return Grams(len(texts), own, np.repeat(np.arange(len(texts)), own), codes, counts, places(self.codes, codes))
+
+    def known(self, grams: Grams, by: int = 1) -> tuple[np.ndarray, np.ndarray]:
         """Of each text, the share of its n-grams with a letter that at least `by` landmarks hold, and its letters."""
-        held = self.codes[self.holders >= by]
-        share, letters = np.zeros(len(texts)), np.zeros(len(texts))
-        for i, text in enumerate(texts):
-            grams, n = np.unique(all_grams(text), return_counts=True)
-            n[np.isin(grams, GAPS)] = 0
-            hit = n[places(held, grams) >= 0].sum()
-            share[i], letters[i] = hit / max(1, n.sum()), n[grams < 1 << BITS].sum()
-        return share, letters
+        n = np.where(np.isin(grams.codes, GAPS), 0, grams.counts)
+        total = lambda which: np.bincount(grams.row, np.where(which, n, 0), grams.texts)
+        hit = (grams.at >= 0) & (self.holders[np.maximum(grams.at, 0)] >= by)
+        return total(hit) / np.maximum(1, total(True)), total(grams.codes < 1 << BITS)
 
-    def values(self, texts: list[str]) -> np.ndarray:
+    def products(self, grams: Grams) -> np.ndarray:
         """Kernel values, texts x landmarks: a product of presence matrices, over a block of codes at a time."""
-        grams = [np.unique(all_grams(t)) for t in texts]
-        own = np.array([len(g) for g in grams])
-        at = places(self.codes, np.concatenate(grams))
-        row, at = np.repeat(np.arange(len(texts)), own)[at >= 0], at[at >= 0]
-        shared = np.zeros((len(texts), self.presence.shape[1]), np.float32)
+        row, at = grams.row[grams.at >= 0], grams.at[grams.at >= 0]
+        shared = np.zeros((grams.texts, self.presence.shape[1]), np.float32)
         for low in range(0, len(self.codes), BLOCK):
             part = self.presence[low : low + BLOCK].astype(np.float32)
             now = (at >= low) & (at < low + BLOCK)
-            held = np.zeros((len(texts), len(part)), np.float32)
+            held = np.zeros((grams.texts, len(part)), np.float32)
             held[row[now], at[now] - low] = 1
             shared += held @ part
-        return shared / np.sqrt(own[:, None] * np.maximum(self.presence.sum(0, dtype=np.float32), 1))
+        return shared / np.sqrt(grams.own[:, None] * np.maximum(self.presence.sum(0, dtype=np.float32), 1))
+
+    def values(self, texts: list[str]) -> np.ndarray:
+        return self.products(self.look_up(texts))
 
 
 def places(codes: np.ndarray, grams: np.ndarray) -> np.ndarray:
@@ -134,9 +149,9 @@ class Model:
     weights: np.ndarray | None = None
     known_share: float = 0.0
 
-    def resembles(self, texts: list[str]) -> np.ndarray:
+    def resembles(self, grams: Grams) -> np.ndarray:
         """Whether the landmarks hold enough of each text's n-grams."""
-        share, letters = self.kernel.known(texts)
+        share, letters = self.kernel.known(grams)
         b = self.known_share
         return share >= b - ERROR * np.sqrt(b * (1 - b) / np.maximum(letters, 1))
 
@@ -144,14 +159,14 @@ class Model:
         """Languages and scores; if strict, a text that resembles no language is `und` too."""
         out = [(UND, 0.0)] * len(texts)
         at = [i for i, t in enumerate(texts) if has_letter(t)] if self.languages else []
-        if strict and at:
-            at = [i for i, good in zip(at, self.resembles([texts[i] for i in at]), strict=True) if good]
         for k in range(0, len(at), BATCH):
             part = at[k : k + BATCH]
-            scores = self.kernel.values([texts[i] for i in part]) @ self.weights
-            best = scores.argmax(1)
-            for i, b, s in zip(part, best, scores.max(1), strict=True):
-                out[i] = (self.languages[b], float(min(1.0, max(0.0, (s + 1) / 2))))
+            grams = self.kernel.look_up([texts[i] for i in part])
+            scores = self.kernel.products(grams) @ self.weights
+            good = self.resembles(grams) if strict else np.ones(len(part), bool)
+            for i, b, s, g in zip(part, scores.argmax(1), scores.max(1), good, strict=True):
+                if g:
+                    out[i] = (self.languages[b], float(min(1.0, max(0.0, (s + 1) / 2))))
         return [x for x, _ in out], [x for _, x in out]
 
 
@@ -191,7 +206,7 @@ def learn_model(docs: DataFrame, learn: Column) -> Model:
     own = kernel.presence.astype(float)
     k_mm = own.T @ own / np.sqrt(np.outer(own.sum(0), own.sum(0)))
     weights = np.linalg.lstsq(k_nm.T @ k_nm + RIDGE * len(rows) * k_mm, k_nm.T @ target, rcond=None)[0]
-    own_share, mark_lang = kernel.known([t for *_, t in landmarks], 2)[0], np.array([lang for _, lang, _ in landmarks])
+    own_share, mark_lang = kernel.known(kernel.look_up([t for *_, t in landmarks]), 2)[0], np.array([lang for _, lang, _ in landmarks])
     known_share = KNOWN_SHARE * min(float(np.quantile(own_share[mark_lang == lang], 0.1)) for lang in languages)
     return Model(languages, kernel, weights.astype(np.float32), known_share)
 
