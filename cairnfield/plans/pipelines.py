@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairnfield.functions import objects
+from cairnfield.functions import objects, projection
 from cairnfield.operators import cells, scoring, series, spatial, trend
 
 
@@ -83,6 +85,28 @@ def segments(classes: DataFrame, rows: int, cols: int, mode: str = "simple", tar
     return scoring.watershed(held, compactness=compact).select("row", "col", "label")
 
 
+#: The layers of a trend image, in their order.
+TREND_LAYERS = ("slp", "ict", "cil", "ciu")
+
+
+def feature_stack(images: dict[str, DataFrame], dem: DataFrame, x0: float, y0: float, size: float, zone: int | None = None) -> DataFrame:
+    """(row, col, <index>_slp, _ict, _cil, _ciu for each image, dem, slope): a row of features for each cell.
+
+    images: trend images (row, col, b array) by index name; dem: (row, col, value), whose slope is taken from cells of the
+    given size. With a UTM zone, lon and lat of the cells' centres are added, the raster's corner being (x0, y0). All layers
+    are dealt by cell and meet in one aggregation; a cell that a layer lacks has null there.
+    """
+    layer = lambda df, name, value: df.select("row", "col", F.lit(name).alias("name"), value.cast("double").alias("value"))
+    parts = [layer(df, f"{index}_{n}", F.get("b", F.lit(k))) for index, df in images.items() for k, n in enumerate(TREND_LAYERS)]
+    parts += [layer(dem, "dem", F.col("value")), layer(cells.terrain_slope(dem, size), "slope", F.col("value"))]
+    names = [f"{index}_{n}" for index in images for n in TREND_LAYERS] + ["dem", "slope"]
+    out = spatial.stacked(reduce(DataFrame.unionByName, parts), ["row", "col"], "name", names)
+    if zone is None:
+        return out
+    lon, lat = projection.from_utm(*projection.cell_centres(F.col("row"), F.col("col"), x0, y0, size), zone)
+    return out.withColumns({"lon": lon, "lat": lat})
+
+
 def training_set(points: DataFrame, boxes: DataFrame, layers: dict[str, DataFrame], x0: float, y0: float, size: float, bin_size: float, zone: str) -> DataFrame:
     """Distinct points (.., x, y) that lie in exactly one box, with the layers' values at their cells and the zone's name.
 

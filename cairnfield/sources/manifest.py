@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnfield.functions import scene_names as N
@@ -45,6 +45,20 @@ def report(items: DataFrame, stage: str, ok: str) -> DataFrame:
     return items.groupBy(F.lit(stage).alias("stage")).agg(F.count_if(F.col(ok)).alias("finished"), F.count_if(~F.coalesce(F.col(ok), F.lit(False))).alias("failed"))
 
 
+def priority(done: Column, order: str) -> Column:
+    """0 for files that go first and 1 for the others: archive takes those that are done first, process those that are not.
+
+    With auto, or any other order, all are alike.
+    """
+    first = {"archive": done, "process": ~done}.get(order, F.lit(True))
+    return F.when(F.coalesce(first, F.lit(order == "process")), 0).otherwise(1)
+
+
+def in_order(files: DataFrame, order: str = "auto", done: str = "done") -> DataFrame:
+    """files by priority and then by path."""
+    return files.orderBy(priority(F.col(done), order), "filepath")
+
+
 def folders(files: DataFrame) -> DataFrame:
     """(folder, n_files): the names of the folders that hold the listed files."""
     return files.groupBy(F.element_at(F.split("filepath", "/"), -2).alias("folder")).agg(F.count("*").alias("n_files"))

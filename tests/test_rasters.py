@@ -132,3 +132,24 @@ def test_gaussian_weights_reach_the_edges(spark):
     want = np.apply_along_axis(blur, 1, np.apply_along_axis(blur, 0, grid))
     got = {(r["row"], r["col"]): r.value for r in cells.gaussian(df, 0.8).collect()}
     assert all(got[r, c] == pytest.approx(want[r, c]) for r in range(6) for c in range(5))
+
+
+def test_files_in_order_of_what_is_done(spark):
+    from cairnfield.sources import manifest
+
+    files = spark.createDataFrame([("b", True), ("a", False), ("c", None), ("d", True)], "filepath string, done boolean")
+    got = {o: [r.filepath for r in manifest.in_order(files, o).collect()] for o in ("auto", "archive", "process", "other")}
+    assert got == {"auto": list("abcd"), "archive": list("bdac"), "process": list("acbd"), "other": list("abcd")}
+
+
+def test_feature_stack_has_the_places_of_its_cells(spark):
+    from cairnfield.functions import projection
+    from cairnfield.plans import pipelines
+
+    image = spark.createDataFrame([(0, 0, [1.0, 2.0, 3.0, 4.0])], "row long, col long, b array<double>")
+    dem = spark.createDataFrame([(r, c, 10.0 * c) for r in range(3) for c in range(3)], "row long, col long, value double")
+    got = {(r["row"], r["col"]): r for r in pipelines.feature_stack({"tcb": image}, dem, 500000.0, 7000000.0, 30.0, 8).collect()}
+    assert len(got) == 9 and (got[0, 0].tcb_ciu, got[0, 0].dem, got[0, 0].slope, got[1, 1].tcb_slp) == (4.0, 0.0, None, None)
+    assert got[1, 1].slope == pytest.approx(np.degrees(np.arctan(1 / 3)))
+    x, y = projection.to_utm(F.lit(got[2, 1].lon), F.lit(got[2, 1].lat), 8)
+    assert tuple(spark.range(1).select(x, y).first()) == pytest.approx((500045.0, 6999925.0), abs=1e-3)
