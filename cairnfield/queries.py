@@ -990,10 +990,10 @@ def process_order(spark, sf_dir):
 FROM g JOIN g l ON l.row = g.row AND l.col = g.col - 1 JOIN g r ON r.row = g.row AND r.col = g.col + 1 JOIN g u ON u.row = g.row - 1 AND u.col = g.col JOIN g d ON d.row = g.row + 1 AND d.col = g.col)
 SELECT g.row, g.col, round(value, 9) AS tcb_slp, round(value + 1, 9) AS tcb_ict, round(value - 1, 9) AS tcb_cil, round(value * 2, 9) AS tcb_ciu,
   CASE WHEN value > 0 THEN round(-value, 9) END AS ndvi_slp, CASE WHEN value > 0 THEN round(value / 2, 9) END AS ndvi_ict, CASE WHEN value > 0 THEN round(value / 4, 9) END AS ndvi_cil, NULL::DOUBLE AS ndvi_ciu,
-  round(value * 100, 9) AS dem, round(slope, 6) AS slope FROM g LEFT JOIN s ON s.row = g.row AND s.col = g.col""")
+  round(value * 100, 9) AS dem, round(slope, 9) AS slope FROM g LEFT JOIN s ON s.row = g.row AND s.col = g.col""")
 def feature_stack(spark, sf_dir):
     g, v = grid(spark, sf_dir), F.col("value")
     tcb = g.select("row", "col", F.array(v, v + 1, v - 1, v * 2).alias("b"))
     ndvi = g.where("value > 0").select("row", "col", F.array(-v, v / 2, v / 4).alias("b"))
     out = pipelines.feature_stack({"tcb": tcb, "ndvi": ndvi}, g.withColumn("value", v * 100), 500000.0, 7000000.0, 30.0, 8)
-    return _rounded9(out.drop("lon", "lat")).withColumn("slope", F.round("slope", 6))
+    return _rounded9(out.drop("lon", "lat"))
