@@ -25,9 +25,19 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def own_dir(spark: SparkSession) -> str:
+    """The application's part of the shared folder."""
+    return f"{shared_dir(spark)}/cairnfield/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/cairnfield/{name}-{uuid.uuid4().hex}"
+    return f"{own_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Deletes all that the application has stored. Results read from it, so write those elsewhere before."""
+    dropped(spark, own_dir(spark))
 
 
 def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
