@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from cairnfield.operators.components import least_labels, settled
 
+#: Rows of a raster whose links between runs are joined in one task.
+BAND = 256
 SQUARE = [(i, k) for i in (-1, 0, 1) for k in (-1, 0, 1)]
 CROSS = [(0, 0), (-1, 0), (1, 0), (0, -1), (0, 1)]
 #: The weights of the horizontal Sobel kernel by offset.
@@ -152,8 +154,9 @@ def components(mask: DataFrame, cols: int, diagonal: bool = False) -> DataFrame:
     cells = cells.withColumn("run", F.col("row") * cols + F.min("col").over(Window.partitionBy("row", "island"))).drop("island")
     offsets = [(1, k) for k in ((-1, 0, 1) if diagonal else (0,))]
     below = spread(cells, offsets).select("row", "col", F.col("run").alias("u"))
-    edges = below.join(cells.select("row", "col", F.col("run").alias("v")), ["row", "col"]).select("u", "v").distinct()
-    labels = least_labels(edges)
+    edges = below.join(cells.select("row", "col", F.col("run").alias("v")), ["row", "col"]).select("u", "v")
+    # bands of rows are dealt together, so that most of an object's links meet in one task; repeated ones end there
+    labels = least_labels(edges.repartition(F.expr(f"u div {BAND * cols}")))
     out = cells.join(labels, cells["run"] == labels["id"], "left")
     return out.select("row", "col", F.coalesce("label", "run").alias("label"))
 

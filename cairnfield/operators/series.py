@@ -14,6 +14,11 @@ def in_season(obs: DataFrame, date: str = "date", months: tuple[int, int] = (7,
     return obs.where(F.month(d).between(*months) & F.year(d).between(*years))
 
 
+def dealt(obs: DataFrame, pixel: list[str]) -> DataFrame:
+    """obs with all of a pixel's rows in one task: what is then grouped by pixel and date, and by pixel, moves no more."""
+    return obs.repartition(*pixel)
+
+
 def mean_of_same_date(obs: DataFrame, pixel: list[str], date: str = "date", value: str = "value") -> DataFrame:
     """One row a date: the mean of its values that are not null."""
     return obs.groupBy(*pixel, date).agg(F.avg(value).alias(value))

@@ -17,7 +17,7 @@ def trend_image(obs: DataFrame, pixel: list[str], mode: str = "full", reference:
     full: over all dates, in days from the reference date; median_year: over yearly medians, in years from the
     reference year. Pixels with fewer than six observations have nulls.
     """
-    held = series.in_season(obs, months=months, years=years)
+    held = series.dealt(series.in_season(obs, months=months, years=years), pixel)
     if mode == "full":
         points = series.mean_of_same_date(held, pixel).withColumn("x", F.datediff("date", F.lit(reference).cast("date")))
         factor = trend.PER_DECADE_DAYS

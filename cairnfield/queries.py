@@ -138,13 +138,13 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 @query("theil_sen_full", _trend_sql(DAYS_SQL, trend.PER_DECADE_DAYS, trend.MIN_FOR_TREND))
 def theil_sen_full(spark, sf_dir):
-    obs = series.mean_of_same_date(observations(spark, sf_dir), ["pixel"])
+    obs = series.mean_of_same_date(series.dealt(observations(spark, sf_dir), ["pixel"]), ["pixel"])
     obs = obs.select("pixel", F.datediff("date", F.lit("2014-07-01").cast("date")).alias("x"), F.col("value").alias("y"))
     return _rounded(trend.robust_trend(obs, ["pixel"], factor=trend.PER_DECADE_DAYS, least=trend.MIN_FOR_TREND))
 
 
 def yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    obs = series.by_bucket(observations(spark, sf_dir), ["pixel"], "year", "median")
+    obs = series.by_bucket(series.dealt(observations(spark, sf_dir), ["pixel"]), ["pixel"], "year", "median")
     return obs.select("pixel", (F.col("year") - 2014).alias("x"), F.col("value").alias("y"))
 
 
