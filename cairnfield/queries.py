@@ -997,3 +997,9 @@ def feature_stack(spark, sf_dir):
     ndvi = g.where("value > 0").select("row", "col", F.array(-v, v / 2, v / 4).alias("b"))
     out = pipelines.feature_stack({"tcb": tcb, "ndvi": ndvi}, g.withColumn("value", v * 100), 500000.0, 7000000.0, 30.0, 8)
     return _rounded9(out.drop("lon", "lat"))
+
+
+@query("segments_local_threshold", _label_sql(False).replace(f"m AS ({MASK_SQL})", f"m AS (SELECT row, col FROM ({_gauss_sql(1 / 3)}) WHERE value * 4 > 0.3)", 1) + " SELECT row, col, label FROM l")
+def segments_local_threshold(spark, sf_dir):
+    classes = grid(spark, sf_dir).select("row", "col", F.lit(0).alias("class"), (F.col("value") * 4).alias("value"))
+    return pipelines.segments(classes, n_rows(spark, sf_dir), COLS, "local_threshold")
