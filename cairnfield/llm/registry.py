@@ -1,6 +1,6 @@
 """The queries of this subpackage and the SQL that gives the same rows, by name."""
 
-from cairnfield.llm import ann_projection, embedding_dedup, filter_audit, language_id, license_scan, line_dedup, minhash_dedup, packing, personal_data, piece_sampling, toxicity, warc_index
+from cairnfield.llm import ann_projection, embedding_dedup, filter_audit, language_id, license_scan, line_dedup, minhash_dedup, packing, personal_data, piece_sampling, toxicity, warc_index, whitening
 
 QUERIES = {
     "op1_warc_index": warc_index.op1_warc_index,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_packing": packing.op9_packing,
     "op10_license_scan": license_scan.op10_license_scan,
     "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op12_whitening": whitening.op12_whitening,
     "op13_pii": personal_data.op13_pii,
 }
 
