@@ -118,38 +118,52 @@ def projected(vectors: np.ndarray, norm2: float) -> np.ndarray:
 
 
 class Shard:
-    """A stored shard: distinct vectors in the order of the tree's leaves, with the rising ids of each."""
+    """A stored shard: distinct vectors in the order of the tree's leaves, with the rising ids of each.
 
-    def __init__(self, owners: list[list[int]], vectors: np.ndarray, points: np.ndarray, norm2: float):
-        self.owners, self.vectors, self.norm2 = owners, vectors, norm2
+    ids holds those of all vectors one after the other, ends where each vector's end. A vector is alone where all its ids
+    are one.
+    """
+
+    def __init__(self, ids: np.ndarray, counts: np.ndarray, vectors: np.ndarray, points: np.ndarray, norm2: float):
+        self.ids, self.ends, self.vectors, self.norm2 = ids, np.cumsum(counts), vectors, norm2
+        self.firsts = self.ends - counts
+        self.alone = ids[self.firsts] == ids[self.ends - 1]
         self.tree = KdTree(points, ordered=True)
 
+    def others(self, row: int, query_id: int, k: int) -> list[int]:
+        """The k least ids of a vector, with repeats, but for the query's own."""
+        own = self.ids[self.firsts[row] : self.ends[row]]
+        low, high = np.searchsorted(own, query_id), np.searchsorted(own, query_id, side="right")
+        return np.concatenate([own[: min(low, k)], own[high : high + k]])[:k].tolist()
+
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, confidence: float) -> Iterator[tuple[int, int, float]]:
-        """(query_id, vec_id, score) of the k nearest found for each query."""
+        """(query_id, vec_id, score) of the k nearest found for each query, whose own id's rows are left out from the start."""
         limit = chi_square_quantile(confidence)
         exact = not math.isfinite(self.norm2)
         points = np.zeros((len(queries), DIMENSIONS)) if exact else projected(queries, None)
         for query_id, q, point in zip(query_ids.tolist(), queries, points, strict=True):
-            # one more than k, as the query itself may be among them
-            best, rows, scores = np.full(k + 1, -np.inf), [], []
+            own = self.alone & (self.ids[self.firsts] == query_id)
+            best, rows, scores = np.full(k, -np.inf), [], []
             least, q2 = -np.inf, float(q @ q)
             for gap, start, end in self.tree.walk(point):
                 if not exact and gap >= limit * max(q2 + self.norm2 - 2 * least, 1e-12):
                     break
                 found = self.vectors[start:end] @ q
-                hit = np.flatnonzero(found >= least - 1e-9 * (1 + abs(least)) if math.isfinite(least) else found == found)
+                near = found >= least - 1e-9 * (1 + abs(least)) if math.isfinite(least) else found == found
+                hit = np.flatnonzero(near & ~own[start:end])
                 if len(hit):
                     rows.append(start + hit)
                     scores.append(found[hit])
-                    best = -np.partition(-np.concatenate([best, found[hit]]), k)[: k + 1]
+                    best = -np.partition(-np.concatenate([best, found[hit]]), k - 1)[:k]
                     least = float(best.min())
+            if not rows:
+                continue
             rows, scores = np.concatenate(rows), np.concatenate(scores)
             if math.isfinite(least):
                 rows = rows[scores >= least - 1e-9 * (1 + abs(least))]
             # matrix products may round by position; these sums don't
             sums = (self.vectors[rows] * q).sum(1).tolist()
-            near = [(-s, o) for s, r in zip(sums, rows.tolist(), strict=True) for o in self.owners[r][: k + 1] if o != query_id]
-            for s, o in sorted(near)[:k]:
+            for s, o in sorted((-s, o) for s, r in zip(sums, rows.tolist(), strict=True) for o in self.others(r, query_id, k))[:k]:
                 yield query_id, o, -s
 
 
@@ -223,7 +237,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = K, confidence: float =
                 continue
             if shard is None and parts:
                 batch = whole(parts)
-                shard = Shard(batch.column(5).to_pylist(), np.ascontiguousarray(matrix(batch.column(6))), matrix(batch.column(7)), norm2)
+                shard = Shard(batch.column(5).flatten().to_numpy(), batch.column(5).value_lengths().to_numpy(), np.ascontiguousarray(matrix(batch.column(6))), matrix(batch.column(7)), norm2)
                 parts = []
             if shard is None:  # no vector of this length is in the shard
                 continue

@@ -198,6 +198,21 @@ def test_nearest_of_extreme_magnitudes_and_repeated_queries(spark):
     assert len([r for r in one if r[0] == 20]) == 4
 
 
+@pytest.mark.parametrize("copies", [9, 30])
+@pytest.mark.parametrize("equal", [False, True])
+def test_nearest_of_a_query_whose_id_repeats(spark, copies, equal):
+    rng = np.random.default_rng(copies)
+    v = rng.standard_normal((190, 12))
+    own = np.repeat(v[20:21], copies, 0) + (0 if equal else 1e-3 * rng.standard_normal((copies, 12)))
+    rows = [(i, x) for i, x in enumerate(v) if i != 20] + [(20, x) for x in own] + [(i, own[0]) for i in (321, 322, 323, 323)]
+    docs = spark.createDataFrame([(i, x.tolist()) for i, x in rows], "vec_id long, embedding array<double>")
+    for shard_rows in (None, 60):
+        got = nearest(docs.repartition(3), F.col("vec_id") == 20, shard_rows=shard_rows).orderBy("rank").collect()
+        assert [r.rank for r in got] == list(range(1, 21))
+        wants = [sorted((-float((x * q).sum()), i) for i, x in rows if i != 20)[:20] for q in own]  # one of the rows is asked
+        assert any([r.vec_id for r in got] == [i for _, i in w] and np.allclose([r.score for r in got], [-s for s, _ in w]) for w in wants)
+
+
 def test_extreme_magnitudes_link_as_double_precision_says(spark):
     rows = [(1, [1e200, 1e200]), (2, [1e200, 1.01e200]), (3, [1e-300, 1e-300]), (4, [1e200, -1e200]), (5, [3.0, 3.0]), (6, [5e-324, 5e-324]), (6, None)]
     docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
