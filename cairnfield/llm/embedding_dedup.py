@@ -7,7 +7,7 @@ the classes stream by, BLOCK_ROWS of them at most, fewer where there would be fe
 of the links that brute force finds in the shard, a vector's link with itself left out: those of sampled classes of the
 shard, those of as many vectors made at the bounding cosine from these classes (each has a link, however rare links are),
 and those of sampled classes among those that ask, which are of all shards. Where the widest beam fails, the shard is
-compared exactly. A single search whose beam holds nothing but links is widened until it does not, or until comparing it
+compared exactly; each shard's beam and its recall in the audit are stored with the graph. A single search whose beam holds nothing but links is widened until it does not, or until comparing it
 with all nodes costs less, so groups of any size are found. Candidates are verified by cosine in double precision, of vectors scaled by powers of two so that no square
 overflows. A task gives the number of links of each class and a spanning forest of the links it saw, not all pairs.
 
@@ -42,8 +42,11 @@ RECALL = 0.998
 WIDEST_BEAM = 4096
 #: In place of a beam: compare with all nodes.
 EXACT = 0
+SHARD_BYTES = 128 << 20
 #: Nodes that the exact comparison takes in the time of one node of a beam, as its product reads them in order.
 IN_ORDER = 16
+#: Marks of nodes met that searches run side by side hold.
+MARKS = 1 << 25
 #: Likely links that are verified at once.
 PAIRS = 1 << 16
 
@@ -69,6 +72,23 @@ def diverse(ids: np.ndarray, sims: np.ndarray, x: np.ndarray, most: int) -> np.n
     return out
 
 
+class Visited:
+    """Marks of nodes met by searches, in one buffer that is kept: a search has its own number, so nothing is cleared."""
+
+    def __init__(self) -> None:
+        self.marks, self.stamps, self.number = np.zeros(0, np.int32), np.zeros(0, np.int16), 0
+
+    def take(self, n: int, size: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """(marks, stamps, the search's number) for n searches among `size` nodes; stamps hold anything."""
+        if n * size > len(self.marks):
+            self.marks, self.stamps, self.number = np.zeros(n * size, np.int32), np.empty(n * size, np.int16), 0
+        self.number += 1
+        return self.marks[: n * size].reshape(n, size), self.stamps[: n * size].reshape(n, size), self.number
+
+
+VISITED = Visited()
+
+
 class Layer:
     """One layer: links[i] are the neighbours of node i (places in the layer's vectors), -1 for none."""
 
@@ -78,15 +98,18 @@ class Layer:
 
     def beam(self, q: np.ndarray, entry: np.ndarray, width: int, expand: int = 4) -> tuple[np.ndarray, np.ndarray]:
         """(places, similarities) of the best `width` nodes found for each row of q, best first; entry: starting places."""
+        step = max(8, MARKS // max(1, len(self.x)))
+        if len(q) > step:
+            parts = [self.beam(q[at : at + step], entry[at : at + step], width, expand) for at in range(0, len(q), step)]
+            return np.concatenate([ids for ids, _ in parts]), np.concatenate([sims for _, sims in parts])
         n, w = len(q), max(width, entry.shape[1])
         ids, sims, done = np.full((n, w), -1, np.int32), np.full((n, w), -np.inf, np.float32), np.zeros((n, w), bool)
         e = entry.shape[1]
         ids[:, :e] = entry
         sims[:, :e] = np.einsum("nd,ned->ne", q, self.x[np.maximum(entry, 0)])
         sims[:, :e][entry < 0] = -np.inf
-        seen = np.zeros((n, len(self.x)), bool)
-        stamp = np.zeros((n, len(self.x)), np.int16)
-        np.put_along_axis(seen, np.maximum(entry, 0), True, 1)
+        seen, stamp, own = VISITED.take(n, len(self.x))
+        np.put_along_axis(seen, np.maximum(entry, 0), own, 1)
         rows = np.arange(n)
         while len(rows):
             open_sims = np.where(done[rows] | (ids[rows] < 0), -np.inf, sims[rows])
@@ -102,9 +125,9 @@ class Layer:
             place = np.maximum(near, 0)
             at = np.broadcast_to(np.arange(near.shape[1], dtype=np.int16), near.shape)
             stamp[rows[:, None], place] = at
-            fresh = (near >= 0) & ~seen[rows[:, None], place] & (stamp[rows[:, None], place] == at)
-            seen[rows[:, None], place] |= near >= 0
+            fresh = (near >= 0) & (seen[rows[:, None], place] != own) & (stamp[rows[:, None], place] == at)
             r, c = np.nonzero(fresh)
+            seen[rows[r], near[r, c]] = own
             got = np.full(near.shape, -np.inf, np.float32)
             got[r, c] = np.einsum("nd,nd->n", q[rows[r]], self.x[near[r, c]])
             all_sims = np.concatenate([sims[rows], got], 1)
@@ -166,6 +189,7 @@ class SmallWorld:
 
     def __init__(self, x: np.ndarray, layers: list[Layer]):
         self.x, self.layers = x, layers
+        self.recall: float | None = None  # of the last audit that passed
 
     @classmethod
     def build(cls, x: np.ndarray) -> SmallWorld:
@@ -208,11 +232,11 @@ class SmallWorld:
         if width == EXACT:
             yield from self.compared(q, cosine)
             return
-        step = max(8, min(512, (1 << 25) // max(1, len(self.x))))
+        step = max(8, min(512, MARKS // max(1, len(self.x))))
         for at in range(0, len(q), step):
             rows, w = np.arange(at, min(len(q), at + step)), width
             while len(rows):
-                if self.exact_is_cheaper(w if w == width else IN_ORDER * w):
+                if w > width and self.exact_is_cheaper(IN_ORDER * w):
                     for r, c in self.compared(q[rows], cosine):
                         yield rows[r], c
                     break
@@ -223,7 +247,7 @@ class SmallWorld:
                 rows, w = rows[full], 2 * w
 
     def exact_is_cheaper(self, width: int) -> bool:
-        """Whether a beam would meet as many links as there are nodes."""
+        """Whether a widened beam would meet as many links as there are nodes."""
         return 2 * DEGREE * width >= len(self.x)
 
     def compared(self, q: np.ndarray, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -238,7 +262,7 @@ class SmallWorld:
 
         asks: vectors and their own places, -1 for none; else nodes, and vectors made at the cosine from them.
         """
-        if width == EXACT or self.exact_is_cheaper(width):
+        if width == EXACT:
             return EXACT
         if asks is None:
             own = spaced(len(self.x))
@@ -247,10 +271,15 @@ class SmallWorld:
             at = spaced(len(asks[0]))
             sets = [(asks[0][at], asks[1][at])]
         truth = [linked(self.compared(q, cosine), own) for q, own in sets]
-        while width <= WIDEST_BEAM and not self.exact_is_cheaper(width):
-            if all(linked(self.within(q, cosine, width), own) >= RECALL * n for (q, own), n in zip(sets, truth, strict=True)):
+        while width <= WIDEST_BEAM:
+            found = [linked(self.within(q, cosine, width), own) for q, own in sets]
+            if all(f >= RECALL * n for f, n in zip(found, truth, strict=True)):
+                self.recall = min([f / n for f, n in zip(found, truth, strict=True) if n], default=1.0)
                 return width
+            if width >= len(self.x):
+                break
             width *= 2
+        self.recall = 1.0
         return EXACT
 
 
@@ -294,7 +323,7 @@ def scaled(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return v, np.sqrt((v**2).sum(1))
 
 
-GRAPH = "shard long, size int, node int, vec_id long, copies long, v array<double>, layers binary, width int"
+GRAPH = "shard long, size int, node int, vec_id long, copies long, v array<double>, layers binary, width int, recall double"
 
 
 def graphs(classes: DataFrame, shards: int, cosine: float) -> DataFrame:
@@ -313,7 +342,7 @@ def graphs(classes: DataFrame, shards: int, cosine: float) -> DataFrame:
             n, width = len(v), world.audited_width(cosine - 1e-5)
             layers = [b"".join(m.links[i].tobytes() for m in reversed(world.layers) if i < len(m.links)) for i in range(n)]
             columns = [batch.column(0), batch.column(1), pa.array(range(n), pa.int32()), batch.column(2), batch.column(3), batch.column(4)]
-            columns += [pa.array(layers, pa.binary()), pa.array([width] * n, pa.int32())]
+            columns += [pa.array(layers, pa.binary()), pa.array([width] * n, pa.int32()), pa.array([world.recall] * n)]
             return pa.record_batch(columns, names=[c.split()[0] for c in GRAPH.split(", ")])
 
         group, parts = None, []
@@ -411,8 +440,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, shards: int = SH
     key = F.xxhash64("v").alias("h")
     classes = held.groupBy(key, "v").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"))
     classes = stored(classes.drop("h"), "vector-classes")
-    n = classes.count()
-    shards = max(shards, -(-n // shard_rows))
+    n, width = classes.agg(F.count("*"), F.max(F.size("v"))).first()
+    shards = max(shards, -(-n // min(shard_rows, max(1, SHARD_BYTES // (8 * (width or 1))))))
     cores = vectors.sparkSession.sparkContext.defaultParallelism
     blocks = max(1, -(-n // block_rows), -(-cores // shards))
     found = links(graphs(classes, shards, cosine), shards, blocks, cosine)

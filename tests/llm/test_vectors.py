@@ -232,3 +232,23 @@ def test_stored_graphs_come_back_and_other_shards_are_asked(spark):
     got = {r.vec_id: r for r in dedup.near_duplicates(rows, shards=8).collect()}
     assert sum(got[i].n_links for i in got) >= 0.998 * sum(truth[0]) > 0
     assert sum(got[i].component_id == truth[1][i] for i in got) >= 0.99 * len(v)
+
+
+def test_small_tables_are_searched_by_graphs_too(spark, sf, monkeypatch):
+    table = sf.replace("sf0.001", "sf0.01") + "/embeddings.parquet"
+    rows = spark.read.parquet(table).select("vec_id", F.col("embedding").cast("array<double>").alias("v")).collect()
+    classes = spark.createDataFrame([(r.vec_id, 1, r.v) for r in rows], "vec_id long, copies long, v array<double>")
+    shards = dedup.graphs(classes, dedup.SHARDS, dedup.COSINE).select("shard", "width", "recall").distinct().collect()
+    assert len(shards) == dedup.SHARDS and all(s.width >= dedup.FIRST_BEAM and s.recall >= dedup.RECALL for s in shards)
+    n, part = brute_links(np.array([r.v for r in rows]), dedup.COSINE)
+    got = {r.vec_id: r for r in dedup.op4_embedding_dedup(spark, sf.replace("sf0.001", "sf0.01")).collect()}
+    assert sum(got[r.vec_id].n_links for r in rows) >= 0.998 * sum(n)
+
+
+def test_shards_hold_bytes_not_rows(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "SHARD_BYTES", 1 << 14)
+    seen = []
+    monkeypatch.setattr(dedup, "graphs", lambda c, shards, cosine, made=dedup.graphs: seen.append(shards) or made(c, shards, cosine))
+    v = clustered(200, 64, 5)
+    assert dedup.near_duplicates(frame(spark, list(enumerate(v.tolist())))).count() == 200
+    assert seen == [200 // (1 << 14 >> 9) + 1]
