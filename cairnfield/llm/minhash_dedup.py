@@ -183,26 +183,56 @@ def compare(pairs: DataFrame, payload: DataFrame, prepare: Callable, test: Calla
     return dealt.select("a", "spread", "salt", "doc_id", "member", "n", "payload").mapInArrow(run, "a long, b long, n long")
 
 
-def pairs_within(buckets: DataFrame, bands: int, rows: int, least: int) -> DataFrame:
+def open_buckets(at: DataFrame) -> DataFrame:
+    """(key, n, most, outside) of the buckets whose members, but for the hub, are of several components.
+
+    at: (key, hub, doc_id, component). most is a component with most members, outside the number of those of others: only pairs
+    with one of these are left to compare, as the hub has been compared with all.
+    """
+    sizes = at.where("doc_id <> hub").groupBy("key", "component").agg(F.count("*").alias("n"))
+    whole = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"))
+    return whole.where("parts > 1").select("key", "n", F.col("top.component").alias("most"), (F.col("n") - F.col("top.n")).alias("outside"))
+
+
+def residual(at: DataFrame, buckets: DataFrame) -> DataFrame:
+    """(key, ask, part, n, asks, doc_id, component): what is to be compared, in squares of BLOCK members of an open bucket a side.
+
+    A square holds a block of the members outside the bucket's largest component (asks = 1) and a part of all members
+    (asks = 0), so a bucket writes its n rows once for each block of those outside.
+    """
+    own = at.join(buckets, "key").where("doc_id <> hub")
+    across, down = F.ceil(F.col("outside") / BLOCK), F.ceil(F.col("n") / BLOCK)
+    each = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    hashed = lambda n: F.pmod(F.xxhash64("doc_id"), n)
+    columns = ["key", "ask", "part", "n", "asks", "doc_id", "component"]
+    member = own.withColumns({"part": hashed(down), "ask": F.explode(each(across)), "asks": F.lit(0)}).select(columns)
+    asking = own.where("component <> most").withColumns({"ask": hashed(across), "part": F.explode(each(down)), "asks": F.lit(1)})
+    return member.union(asking.select(columns))
+
+
+def pairs_within(squares: DataFrame, bands: int, rows: int, least: int) -> DataFrame:
     """Pairs (a, b, n) of different components in one bucket of n whose signatures agree in `least` bytes or more.
 
-    buckets: (key, lo, hi, n, block, doc_id, component, sig). A pair is let out in the first band that it shares alone.
+    squares: the rows of residual() with their signatures, sig. A pair is let out in the first band that it shares alone; where
+    both of a pair ask, it is let out twice.
     """
 
-    def close(key: int, block: np.ndarray, ids: np.ndarray, parts: np.ndarray, sigs: np.ndarray, mixed: bool) -> tuple:
+    def close(key: int, asks: np.ndarray, ids: np.ndarray, parts: np.ndarray, sigs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ask, member = np.flatnonzero(asks), np.flatnonzero(~asks)
         out_a, out_b = [], []
-        step = max(1, (1 << 23) // (len(ids) * HASHES))
-        for k in range(0, len(ids), step):
-            alike = (sigs[k : k + step, None, :] == sigs[None, :, :]).sum(2, dtype=np.int32) >= least
-            alike &= (parts[k : k + step, None] != parts[None, :]) & (ids[k : k + step, None] < ids[None, :])
-            if mixed:
-                alike &= block[k : k + step, None] != block[None, :]
+        step = max(1, (1 << 23) // max(1, len(member) * HASHES))
+        for k in range(0, len(ask), step):
+            own = ask[k : k + step]
+            alike = (sigs[own, None, :] == sigs[None, member, :]).sum(2, dtype=np.int32) >= least
+            alike &= parts[own, None] != parts[None, member]
             i, j = np.nonzero(alike)
-            same = (sigs[i + k, : bands * rows] == sigs[j, : bands * rows]).reshape(-1, bands, rows).all(2)
+            i, j = own[i], member[j]
+            same = (sigs[i, : bands * rows] == sigs[j, : bands * rows]).reshape(-1, bands, rows).all(2)
             first = same.argmax(1) == key >> 56 if len(i) else np.zeros(0, bool)
-            out_a.append(ids[i + k][first])
-            out_b.append(ids[j][first])
-        return np.concatenate(out_a), np.concatenate(out_b)
+            out_a.append(np.minimum(ids[i], ids[j])[first])
+            out_b.append(np.maximum(ids[i], ids[j])[first])
+        none = np.zeros(0, np.int64)
+        return np.concatenate([none, *out_a]), np.concatenate([none, *out_b])
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -210,9 +240,9 @@ def pairs_within(buckets: DataFrame, bands: int, rows: int, least: int) -> DataF
         group, held = None, []
 
         def flush() -> pa.RecordBatch:
-            block, ids, parts, sigs = zip(*held, strict=True)
+            asks, ids, parts, sigs = zip(*held, strict=True)
             matrix = np.frombuffer(b"".join(sigs), np.uint8).reshape(-1, HASHES)
-            a, b = close(group[0], np.array(block), np.array(ids), np.array(parts), matrix, group[1] != group[2])
+            a, b = close(group[0], np.array(asks) == 1, np.array(ids), np.array(parts), matrix)
             return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array([group[3]] * len(a), pa.int64())], names=["a", "b", "n"])
 
         for batch in batches:
@@ -225,8 +255,8 @@ def pairs_within(buckets: DataFrame, bands: int, rows: int, least: int) -> DataF
         if held:
             yield flush()
 
-    dealt = buckets.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "doc_id")
-    return dealt.mapInArrow(run, "a long, b long, n long")
+    dealt = squares.select("key", "ask", "part", "n", "asks", "doc_id", "component", "sig").repartition("key", "ask", "part")
+    return dealt.sortWithinPartitions("key", "ask", "part", "doc_id").mapInArrow(run, "a long, b long, n long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -270,12 +300,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     first = components(edge)
     at = grouped.where("n > 2").join(first.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "hub", "doc_id", F.coalesce("component_id", "doc_id").alias("component"))
     at = stored(at, "residual")
-    open_keys = at.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x <> y")
-    blocks = F.ceil(F.col("n") / BLOCK)
-    rest = at.join(stored(open_keys.select("key", "n"), "open"), "key").where("doc_id <> hub")
-    rest = rest.select("key", "n", "doc_id", "component", F.pmod(F.xxhash64("doc_id"), blocks).alias("block"), blocks.alias("blocks"))
-    rest = rest.join(reps.select("doc_id", "sig"), "doc_id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rest = rest.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "n", "block", "doc_id", "component", "sig")
+    rest = residual(at, stored(open_buckets(at), "open")).join(reps.select("doc_id", "sig"), "doc_id")
     across = stored(pairs_within(rest, bands, rows, least), "across")
     more = compare(across, texts, shingle_set, exact_test).select(F.col("a").alias("u"), F.col("b").alias("v"))
     # rows that repeat a doc_id may be in several classes

@@ -135,3 +135,25 @@ def test_star_components_equal_brute_force(spark, seed):
 
 def test_query_equals_the_sql(spark, sf):
     assert spark_rows(M.op3_minhash_dedup(spark, sf)) == duck_rows(M.ORACLE_SQL, sf)
+
+
+def test_open_buckets_write_a_small_multiple_of_their_rows(spark):
+    n = 50_000
+    at = spark.range(1, n + 1).selectExpr("7L as key", "0L as hub", "id as doc_id", "1L as component")
+    hub = spark.sql("select 7L as key, 0L as hub, 0L as doc_id, 0L as component")
+    assert M.open_buckets(at.union(hub)).count() == 0  # the hub alone opens no bucket
+    foreign = spark.sql("select 7L as key, 0L as hub, 99999L as doc_id, 99999L as component")
+    whole = at.union(hub).union(foreign)
+    rest = M.residual(whole, M.open_buckets(whole))
+    assert n < rest.count() <= 1.01 * n and rest.groupBy("key", "ask", "part").count().agg({"count": "max"}).first()[0] < 2 * M.BLOCK
+
+
+def test_a_star_of_many_leaves_takes_part_in_one_round(spark, monkeypatch):
+    from cairnfield.llm import components as C
+
+    seen = []
+    monkeypatch.setattr(C, "large_star", lambda e, made=C.large_star: seen.append(e.count()) or made(e))
+    edges = spark.range(1, 20_001).selectExpr("id as u", "0L as v").union(spark.sql("select 20000L, 30000L union all select 30001L, 30000L")).repartition(4)
+    got = {r.id: r.component_id for r in C.components(edges).collect()}
+    assert got == dict.fromkeys([*range(20_001), 30_000, 30_001], 0)
+    assert max(seen) < 10
