@@ -9,22 +9,29 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_ROUNDS = 60
 SALTS = 8
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a checkpoint in spark.checkpoint.dir; in local mode, in a folder of our own where that is unset."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, which driver and executors share; in local mode, a folder of our own where that is unset."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         import tempfile
 
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cairnfield-"))
+        found = spark.sparkContext.getCheckpointDir()
+    return found.rstrip("/")
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df with its lineage cut by a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -6,6 +6,7 @@ The driver tables stand in for rasters: parts of `lineitem` are pixels observed
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,9 @@ from pyspark.sql import functions as F
 from cairnfield.functions import objects, projection, scene_names, spectral
 from cairnfield.operators import breakpoints as bp
 from cairnfield.operators import cells, scoring, series, spatial, trend
+from cairnfield.operators.components import shared_folder
 from cairnfield.plans import pipelines
-from cairnfield.sources import features, manifest, sinks, text
+from cairnfield.sources import features, manifest, rasters, sinks, text, tiff
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -968,6 +970,39 @@ def typed_layers(spark, sf_dir):
     return out.withColumns({"class": F.col("class").cast("int"), "confidence": F.col("confidence").cast("double")})
 
 
+def _layer_files(spark, cells_, bands, kind, nodata, step):
+    """A folder of raster files of cells in the shared folder."""
+    path = f"{shared_folder(spark)}/rasters-{uuid.uuid4().hex}"
+    rasters.write_rasters(cells_, path, bands, rasters.Georeference(500000.0, 7000000.0, 30.0, 32608), kind, nodata, step)
+    return path
+
+
+def _at_centre():
+    """row and col in the whole raster, by the centres of cells of files that start at (500000, 7000000)."""
+    return [F.floor((7000000.0 - F.col("y")) / 30).alias("row"), F.floor((F.col("x") - 500000.0) / 30).alias("col")]
+
+
+@query("layers_round_trip", f"SELECT row, col, 500000 + 30 * (col + 0.5::DOUBLE) AS x, 7000000 - 30 * (row + 0.5::DOUBLE) AS y, CAST(CASE WHEN value > 0.1 THEN value END AS FLOAT)::DOUBLE AS confidence, CAST(row % 90 + 1 AS DOUBLE) AS class FROM ({GRID_SQL})")
+def layers_round_trip(spark, sf_dir):
+    g = grid(spark, sf_dir).select("row", "col", F.when(F.col("value") > 0.1, F.col("value")).alias("confidence"), (F.col("row") % 90 + 1).alias("class"))
+    found = tiff.cells(spark, _layer_files(spark, g, ["confidence", "class"], "float32", -1.0, 32))
+    return found.select(*_at_centre(), "x", "y", F.col("b")[0].alias("confidence"), F.col("b")[1].alias("class"))
+
+
+@query("raster_window", f"SELECT row, col, CAST(value AS FLOAT)::DOUBLE AS value FROM ({GRID_SQL}) WHERE row % 50 BETWEEN 20 AND 39 AND col BETWEEN 10 AND 40")
+def raster_window(spark, sf_dir):
+    """The same window of every file."""
+    path = _layer_files(spark, grid(spark, sf_dir), ["value"], "float32", -99.0, 50)
+    found = tiff.windowed(spark, path, (20, 40, 0, 50)).select(*_at_centre(), F.col("b")[0].alias("value"))
+    return found.where("col between 10 and 40")
+
+
+@query("raster_headers", f"SELECT row // 100 AS tile, 1 AS bands, CAST(max(row) - (row // 100) * 100 + 1 AS INT) AS rows, CAST(max(col) + 1 AS INT) AS cols, 500000::DOUBLE AS x, 7000000 - 3000 * (row // 100)::DOUBLE AS y, 32608 AS epsg FROM ({GRID_SQL}) GROUP BY row // 100")
+def raster_headers(spark, sf_dir):
+    found = tiff.headers(spark, _layer_files(spark, grid(spark, sf_dir), ["value"], "float64", None, 100))
+    return found.select(F.regexp_extract("path", r"tile_(\d+)_", 1).cast("long").alias("tile"), "bands", "rows", "cols", "x", "y", "epsg")
+
+
 @query("shape_moments", _label_sql(False) + """, mo AS (SELECT label, count(*) AS n, var_pop(CAST(row AS DOUBLE)) + 1 / 12::DOUBLE AS rr, var_pop(CAST(col AS DOUBLE)) + 1 / 12::DOUBLE AS cc, CASE WHEN abs(covar_pop(CAST(row AS DOUBLE), CAST(col AS DOUBLE))) > 1e-9 THEN covar_pop(CAST(row AS DOUBLE), CAST(col AS DOUBLE)) ELSE 0 END AS rc FROM l GROUP BY label),
 ei AS (SELECT *, (rr + cc) / 2 + sqrt(pow((rr - cc) / 2, 2) + rc * rc) AS l1, greatest((rr + cc) / 2 - sqrt(pow((rr - cc) / 2, 2) + rc * rc), 0) AS l2 FROM mo)
 SELECT label, n AS area, round(4 * sqrt(l1), 6) AS major_axis, round(4 * sqrt(l2), 6) AS minor_axis, round(sqrt(1 - l2 / l1), 6) AS eccentricity,
