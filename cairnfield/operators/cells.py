@@ -143,22 +143,25 @@ def local_maxima(cells: DataFrame, above: float, radius: int = 1) -> DataFrame:
     return top.where("value = top").select("row", "col", "value")
 
 
-def components(mask: DataFrame, cols: int, diagonal: bool = False) -> DataFrame:
+def components(mask: DataFrame, cols: int, diagonal: bool = False, by: str | None = None) -> DataFrame:
     """(row, col, label) of the mask's cells; an object's label is its least row * cols + col.
 
-    Runs of cells in a row are nodes, so a wide object costs few rows; runs meet where cells of the next row touch.
+    Runs of cells in a row are nodes, so a wide object costs few rows; runs meet where cells of the next row touch. With by, a
+    column of the mask, only cells of one value there are joined, and the result has it as the column by.
     """
-    cells = mask.select("row", "col").distinct()
-    w = Window.partitionBy("row").orderBy("col")
+    key = [F.col(by).alias("by")] if by else []
+    names = ["by"] if by else []
+    cells = mask.select("row", "col", *key).distinct()
+    w = Window.partitionBy("row", *names).orderBy("col")
     cells = cells.withColumn("island", F.col("col") - F.row_number().over(w))
-    cells = cells.withColumn("run", F.col("row") * cols + F.min("col").over(Window.partitionBy("row", "island"))).drop("island")
+    cells = cells.withColumn("run", F.col("row") * cols + F.min("col").over(Window.partitionBy("row", *names, "island"))).drop("island")
     offsets = [(1, k) for k in ((-1, 0, 1) if diagonal else (0,))]
-    below = spread(cells, offsets).select("row", "col", F.col("run").alias("u"))
-    edges = below.join(cells.select("row", "col", F.col("run").alias("v")), ["row", "col"]).select("u", "v")
+    below = spread(cells, offsets).select("row", "col", *names, F.col("run").alias("u"))
+    edges = below.join(cells.select("row", "col", *names, F.col("run").alias("v")), ["row", "col", *names]).select("u", "v")
     # bands of rows are dealt together, so that most of an object's links meet in one task; repeated ones end there
     labels = least_labels(edges.repartition(F.expr(f"u div {BAND * cols}")))
     out = cells.join(labels, cells["run"] == labels["id"], "left")
-    return out.select("row", "col", F.coalesce("label", "run").alias("label"))
+    return out.select("row", "col", F.coalesce("label", "run").alias("label"), *names)
 
 
 def renumbered(labels: DataFrame) -> DataFrame:

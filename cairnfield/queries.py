@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cairnfield.functions import objects, projection, scene_names, spectral
 from cairnfield.operators import breakpoints as bp
-from cairnfield.operators import cells, scoring, series, spatial, trend
+from cairnfield.operators import cells, outlines, scoring, series, spatial, trend
 from cairnfield.operators.components import shared_folder
 from cairnfield.plans import pipelines
 from cairnfield.sources import features, manifest, rasters, sinks, text, tiff
@@ -738,6 +738,34 @@ def object_polygons(spark, sf_dir):
     return sinks.cell_polygons(cells.components(mask(spark, sf_dir), COLS))
 
 
+def _ring_sql(label: str) -> str:
+    """The rings of l (row, col, part), which are walked from every segment on; that of the least segment is the ring's text."""
+    return f""", sd AS (SELECT {label} AS label, part, unnest([{{'flat': true, 'line': row, 'pos': col, 'dir': 2}}, {{'flat': true, 'line': row + 1, 'pos': col, 'dir': 0}},
+  {{'flat': false, 'line': col, 'pos': row, 'dir': 3}}, {{'flat': false, 'line': col + 1, 'pos': row, 'dir': 1}}]) AS s FROM l),
+ed AS (SELECT label, part, s.flat AS flat, s.line AS line, s.pos AS pos, min(s.dir) AS dir FROM sd GROUP BY 1, 2, 3, 4, 5 HAVING count(*) = 1),
+isl AS (SELECT *, pos - row_number() OVER (PARTITION BY part, dir, line ORDER BY pos) AS island FROM ed),
+ru AS (SELECT label, part, dir, flat, line, min(pos) AS a, max(pos) + 1 AS b FROM isl GROUP BY label, part, dir, flat, line, island),
+fl AS (SELECT *, CASE WHEN dir IN (0, 3) THEN a ELSE b END AS p, CASE WHEN dir IN (0, 3) THEN b ELSE a END AS q FROM ru),
+sg AS (SELECT label, part, dir, CASE WHEN flat THEN line ELSE p END AS r0, CASE WHEN flat THEN p ELSE line END AS c0, CASE WHEN flat THEN line ELSE q END AS r1, CASE WHEN flat THEN q ELSE line END AS c1 FROM fl),
+si AS (SELECT *, (r0 * {COLS + 1} + c0) * 4 + dir AS id FROM sg),
+nx AS (SELECT a.id, max_by(b.id, (b.dir - a.dir + 4) % 4) AS nxt FROM si a JOIN si b ON a.part = b.part AND a.r1 = b.r0 AND a.c1 = b.c0 WHERE (b.dir - a.dir + 4) % 4 IN (1, 3) GROUP BY a.id),
+wk AS (SELECT id AS start, id, 0 AS step FROM si UNION ALL SELECT start, nxt, step + 1 FROM wk JOIN nx USING (id) WHERE nxt > start),
+cl AS (SELECT start FROM wk JOIN nx USING (id) WHERE nxt = start)
+"""
+
+
+@query("object_outlines", _label_sql(True) + f""", p0 AS (
+  SELECT row * {COLS} + col AS id, row * {COLS} + col AS part FROM m UNION SELECT e4.u, p0.part FROM p0 JOIN (SELECT u, v FROM e WHERE abs(u - v) = {COLS} OR (abs(u - v) = 1 AND u // {COLS} = v // {COLS})) e4 ON e4.v = p0.id WHERE p0.part < e4.u
+)""" + f", l2 AS (SELECT l.row, l.col, l.label, min(part) AS part FROM l JOIN p0 ON p0.id = l.row * {COLS} + l.col GROUP BY ALL)" + _ring_sql("label").replace("FROM l)", "FROM l2)") + f"""
+SELECT si.label, si.part, start AS ring, CAST(sum(c0 * -r1 + r0 * c1) / 2 AS BIGINT) AS area,
+  string_agg(c0 || ' ' || r0, ', ' ORDER BY step) || ', ' || first(c0 || ' ' || r0 ORDER BY step) AS points
+FROM wk JOIN cl USING (start) JOIN si USING (id) GROUP BY si.label, si.part, start""")
+def object_outlines(spark, sf_dir):
+    found = outlines.rings(cells.components(mask(spark, sf_dir), COLS, diagonal=True), COLS)
+    text = F.array_join(F.transform("points", lambda p: F.concat_ws(" ", p["col"].cast("string"), p["row"].cast("string"))), ", ")
+    return found.select("label", "part", "ring", F.col("area").cast("long").alias("area"), text.alias("points"))
+
+
 PROBA_SQL = f"SELECT row, col, abs(value) AS p0, abs(value) / 2 AS p2, abs(value) / 4 AS p3, value FROM ({GRID_SQL})"
 
 
