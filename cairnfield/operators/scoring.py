@@ -1,9 +1,7 @@
-"""Model scores of cells and objects by Arrow batches, and flooding of single tiles."""
+"""Model scores of cells and objects by Arrow batches, and hulls of objects."""
 
 from __future__ import annotations
 
-import heapq
-import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,6 +9,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cairnfield.operators.flooding import flood, watershed
+
+__all__ = ["classified", "filtered_objects", "flood", "hull", "solidity", "watershed"]
+
 
 def classified(df: DataFrame, features: list[str], classes: list[int], predict_proba: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
     """df plus class, proba and confidence; all null where every feature is null, single nulls count as 0.
@@ -37,43 +39,6 @@ def filtered_objects(objects: DataFrame, query: str = "proba <= 0.5 and max > 0.
     return objects.where(F.expr(query))
 
 
-def flood(surface: np.ndarray, markers: np.ndarray, mask: np.ndarray, compactness: float = 0.0) -> np.ndarray:
-    """Watershed labels of one tile: cells of the mask join the marker that reaches them first from below.
-
-    With compactness, the distance to the marker's cell adds to the height at which a cell is reached.
-    """
-    out, heap, turn = markers * mask, [], 0
-    for r, c in zip(*np.nonzero(out), strict=True):
-        heapq.heappush(heap, (surface[r, c], turn, r, c, r, c))
-        turn += 1
-    while heap:
-        at, _, r, c, r0, c0 = heapq.heappop(heap)
-        for i, k in ((r - 1, c), (r + 1, c), (r, c - 1), (r, c + 1)):
-            if 0 <= i < out.shape[0] and 0 <= k < out.shape[1] and mask[i, k] and not out[i, k]:
-                out[i, k] = out[r, c]
-                height = surface[i, k] + compactness * math.hypot(i - r0, k - c0) if compactness else max(surface[i, k], at)
-                heapq.heappush(heap, (height, turn, i, k, r0, c0))
-                turn += 1
-    return out
-
-
-def watershed(cells: DataFrame, tile: str = "tile", compactness: float = 0.0) -> DataFrame:
-    """(tile, row, col, label) of cells (tile, row, col, value, marker), each tile flooded on its own.
-
-    A tile is a bounded square of the raster; label 0 stands for cells that no marker reaches.
-    """
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        r, c = pdf["row"].to_numpy() - pdf["row"].min(), pdf["col"].to_numpy() - pdf["col"].min()
-        grid = (int(r.max()) + 1, int(c.max()) + 1)
-        surface, markers, mask = np.zeros(grid), np.zeros(grid, np.int64), np.zeros(grid, bool)
-        surface[r, c], markers[r, c], mask[r, c] = pdf["value"], pdf["marker"].fillna(0), True
-        return pdf[[tile, "row", "col"]].assign(label=flood(surface, markers, mask, compactness)[r, c])
-
-    kind = f"{tile} long, row long, col long, label long"
-    return cells.select(F.col(tile).cast("long"), F.col("row").cast("long"), F.col("col").cast("long"), "value", "marker").groupBy(tile).applyInPandas(one, kind)
-
-
 def hull(rows: np.ndarray, cols: np.ndarray) -> tuple[float, float, float]:
     """(area, row, col) of the convex hull of unit cells and of its centroid, in the cells' own coordinates."""
     points = sorted({(float(r + i), float(c + k)) for r, c in zip(rows, cols, strict=True) for i in (-0.5, 0.5) for k in (-0.5, 0.5)})

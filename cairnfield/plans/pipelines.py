@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairnfield.functions import objects, projection
-from cairnfield.operators import cells, scoring, series, spatial, trend
+from cairnfield.operators import cells, flooding, scoring, series, spatial, trend
 
 
 def trend_image(obs: DataFrame, pixel: list[str], mode: str = "full", reference: str = "2014-07-01", months: tuple[int, int] = (7, 8), years: tuple[int, int] = (1985, 2014)) -> DataFrame:
@@ -48,13 +48,14 @@ def changing_objects(classes: DataFrame, rows: int, cols: int, period: str, leas
     return objects.with_change(objects.in_degrees(objects.in_metres(objects.in_hectares(table))), period)
 
 
-def segments(classes: DataFrame, rows: int, cols: int, mode: str = "simple", target: int = 14, mask_above: float = 0.3, peaks_above: float = 0.5, sigma: float = 2.0, edge_sigma: float = 0.5, distance: int = 1, tile: int = 1024) -> DataFrame:
+def segments(classes: DataFrame, rows: int, cols: int, mode: str = "simple", target: int = 14, mask_above: float = 0.3, peaks_above: float = 0.5, sigma: float = 2.0, edge_sigma: float = 0.5, distance: int = 1, tile: int = flooding.STEP) -> DataFrame:
     """(row, col, label): segments of classes (row, col, class, value), value being the probability of the class sought.
 
     simple: cells of the class. local_kmeans: the upper of two clusters around each smoothed object of four cells or
     more. local_threshold: cells whose local threshold is positive. local_thresh_edge: strong edges, closed and opened,
     holes filled. watershed2, watershed3, watershed: cells over mask_above, flooded from peaks of the smoothed value
-    over edges, over edges with compactness 1, or down from the peaks with compactness 0.5, within tiles; 0 is unreached.
+    over edges, over edges with compactness 1, or down from the peaks with compactness 0.5; 0 is unreached.
+    Tasks flood tiles of `tile` cells a side, which change no label.
     """
     value = classes.select("row", "col", "value")
     if mode == "simple":
@@ -80,9 +81,8 @@ def segments(classes: DataFrame, rows: int, cols: int, mode: str = "simple", tar
     held = value.where(F.col("value") > mask_above if mode == "watershed2" else F.col("value") >= mask_above).select("row", "col")
     held = held.join(surface, ["row", "col"], "left").join(peaks.select("row", "col", "marker"), ["row", "col"], "left")
     held = held.withColumn("value", F.coalesce("value", F.lit(0.0)))
-    held = held.withColumn("tile", F.expr(f"(row div {tile}) * {-(-cols // tile)} + col div {tile}"))
     compact = {"watershed2": 0.0, "watershed3": 1.0, "watershed": 0.5}[mode]
-    return scoring.watershed(held, compactness=compact).select("row", "col", "label")
+    return flooding.watershed(held, tile, compact)
 
 
 #: The layers of a trend image, in their order.
