@@ -4,7 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cairnfield.operators import selection, trend
 from cairnfield.operators.breakpoints import breakpoints
+from cairnfield.operators.selection import PairSlopes
 from cairnfield.operators.trend import Z95, robust_trend
 from cairnfield.plans.pipelines import trend_image
 
@@ -93,3 +95,56 @@ def test_trend_image_modes(spark):
     assert all(r.slope == pytest.approx(36.5, rel=0.02) for r in yearly)
     with pytest.raises(ValueError):
         trend_image(obs, ["pixel"], mode="other")
+
+
+def test_inversions_equal_brute_force():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 2, 3, 17, 64, 65):
+        r = rng.permutation(n)
+        want = {(i, j) for i in range(n) for j in range(i + 1, n) if r[i] > r[j]}
+        assert selection.inversions(r) == len(want)
+        assert set(zip(*(v.tolist() for v in selection.inversions(r, pairs=True)), strict=True)) == want
+
+
+@pytest.mark.parametrize("case", ["smooth", "ties", "few x", "constant", "line", "steps"])
+@pytest.mark.parametrize("enumerated", [5, 2000])
+def test_selected_slopes_equal_all_pairs(monkeypatch, case, enumerated):
+    monkeypatch.setattr(selection, "ENUMERATED", enumerated)
+    monkeypatch.setattr(selection, "SAMPLED", 300)
+    rng = np.random.default_rng(3)
+    n = 240
+    x = np.sort({"smooth": rng.normal(size=n) * 50, "few x": rng.integers(0, 3, n)}.get(case, rng.integers(0, 90, n)).astype(float))
+    y = {"smooth": rng.normal(size=n) + 0.2 * x, "constant": np.full(n, 4.0), "line": 0.25 * x - 7, "steps": np.floor(x / 30)}.get(case, rng.integers(0, 5, n).astype(float))
+    slopes, pairs = trend.pair_slopes(x[None], y[None])
+    some = PairSlopes(x, y)
+    assert some.pairs == pairs[0]
+    ranks = [0, 1, pairs[0] // 3, (pairs[0] - 1) // 2, pairs[0] // 2, pairs[0] - 2, pairs[0] - 1]
+    assert some.ranked(ranks) == pytest.approx(slopes[0, ranks], rel=1e-11, abs=1e-13)
+
+
+def test_long_series_go_through_selection(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    series = {k: [(int(x), float(rng.normal() + 0.3 * x)) for x in rng.integers(0, 400, 150 + k)] for k in range(3)}
+    whole = {r.pixel: tuple(r) for r in robust_trend(frame(spark, series), ["pixel"]).collect()}
+    x, y = (np.array(v, float) for v in zip(*sorted(series[0]), strict=True))
+    assert trend.selected(x, y) == pytest.approx((whole[0][2], whole[0][4], whole[0][5]))
+    monkeypatch.setattr(trend, "MAX_POINTS", 10)
+    assert {k: pytest.approx(v) for k, v in whole.items()} == {r.pixel: tuple(r) for r in robust_trend(frame(spark, series), ["pixel"]).collect()}
+    assert np.isnan(trend.selected(np.ones(9), np.arange(9.0))).all()
+
+
+def test_a_hundred_thousand_observations_take_bounded_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(6)
+    n = 100_000
+    x = np.arange(n, dtype=float)
+    y = 0.5 * x + rng.normal(size=n) * 1000
+    tracemalloc.start()
+    slope, low, high = trend.selected(x, y)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert low < slope < high and abs(slope - 0.5) < 0.01 and peak < 500 << 20
+    some = PairSlopes(x, y)
+    middle = some.below(slope)
+    assert abs(middle - some.pairs / 2) <= 2  # as many slopes under it as over it
