@@ -278,14 +278,24 @@ def yen(cells: DataFrame, bins: int = 256) -> DataFrame:
 
 
 def two_means(values: DataFrame, by: str = "label", value: str = "value") -> DataFrame:
-    """For each group, the value from which the upper of two least-squares clusters starts (null for a constant group)."""
-    w = Window.partitionBy(by).orderBy(value)
-    up = w.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(by)
+    """For each group, the value from which the upper of two least-squares clusters starts (null for a constant group).
+
+    Distinct values are cut into ranges that tasks sort on their own; what lies under a value is its range's running sums after
+    those of the group's ranges before. So a group of any size is spread over tasks.
+    """
     v = F.col(value)
-    t = values.select(by, value, F.count(v).over(up).alias("n1"), F.sum(v).over(up).alias("s1"), F.count(v).over(whole).alias("n"), F.sum(v).over(whole).alias("s"), F.lag(v).over(w).alias("below"))
-    gain = F.col("s1") * F.col("s1") / F.col("n1") + (F.col("s") - F.col("s1")) * (F.col("s") - F.col("s1")) / (F.col("n") - F.col("n1"))
-    t = t.where((F.col("n1") > 0) & (v > F.col("below"))).withColumn("gain", gain)
+    counts = values.where(v.isNotNull()).groupBy(by, value).agg(F.count("*").alias("n"), F.sum(v).alias("s"))
+    held = settled(counts.repartitionByRange(by, value).withColumn("part", F.spark_partition_id()))
+    part = held.groupBy(by, "part").agg(F.sum("n").alias("pn"), F.sum("s").alias("ps"))
+    before = Window.partitionBy(by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    whole = Window.partitionBy(by)
+    none = lambda c: F.coalesce(c, F.lit(0))
+    part = part.select(by, "part", none(F.sum("pn").over(before)).alias("n0"), none(F.sum("ps").over(before)).alias("s0"), F.sum("pn").over(whole).alias("n2"), F.sum("ps").over(whole).alias("s2"))
+    up = Window.partitionBy(by, "part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    t = held.select(by, "part", value, none(F.sum("n").over(up)).alias("n1"), none(F.sum("s").over(up)).alias("s1")).join(part, [by, "part"])
+    n1, s1 = F.col("n0") + F.col("n1"), F.col("s0") + F.col("s1")
+    gain = s1 * s1 / n1 + (F.col("s2") - s1) * (F.col("s2") - s1) / (F.col("n2") - n1)
+    t = t.where(n1 > 0).withColumn("gain", gain)
     return t.groupBy(by).agg(F.max_by(value, "gain").alias("threshold"))
 
 

@@ -175,3 +175,25 @@ def test_segments_part_two_humps(spark, mode):
 def test_segments_know_their_modes(spark, noise):
     with pytest.raises(ValueError):
         segments(frame(spark, noise), ROWS, COLS, "none")
+
+
+def test_one_large_object_is_spread_over_tasks(spark):
+    """Two clusters of one label: the threshold is that of a plain scan, and no task holds most of its values."""
+    rng = np.random.default_rng(8)
+    v = np.round(np.concatenate([rng.normal(0, 1, 3000), rng.normal(6, 1, 2000)]), 3)
+    rows = [(1, float(x)) for x in v] + [(2, 5.0)] * 40 + [(3, 1.0), (3, 9.0), (4, None)]
+    df = spark.createDataFrame(rows, "label long, value double").repartition(4)
+    s = np.sort(v)
+    n1 = np.flatnonzero(s[1:] > s[:-1]) + 1
+    s1 = np.cumsum(s)[n1 - 1]
+    gain = s1**2 / n1 + (s.sum() - s1) ** 2 / (len(s) - n1)
+    for joined in ("true", "false"):  # small ranges are joined to one task's, or not
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", joined)
+        try:
+            got = {r.label: r.threshold for r in cells.two_means(df).collect()}
+            held = df.groupBy("label", "value").count().repartitionByRange("label", "value").groupBy(F.spark_partition_id()).count().collect()
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        assert got[1] == s[n1[gain.argmax()]] and got[3] == 9.0
+        assert got.get(2) is None and got.get(4) is None
+    assert max(r["count"] for r in held) < 0.5 * len(set(v))
