@@ -53,12 +53,15 @@ def own_failures(text: Column) -> Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs plus good and toxic, 0 or 1; the join's keys are salted on both sides."""
+    """docs plus good and toxic, 0 or 1; the join's keys are salted on both sides.
+
+    The join is by merging, whatever the labels' size: a change to a broadcast while masks are made would make them twice.
+    """
     said = lambda c: F.max(F.when(F.col(c) == 1, 1).otherwise(0))
     own = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(said("quality").alias("good"), said("toxic").alias("toxic"))
     own = own.where("good + toxic > 0").withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     spread = docs.withColumn("salt", F.pmod(F.xxhash64("digest"), F.lit(SALTS)).cast("int"))
-    both = spread.join(own, (F.col("doc_id") == F.col("id")) & (F.col("salt") == F.col("at")), "left")
+    both = spread.join(own.hint("merge"), (F.col("doc_id") == F.col("id")) & (F.col("salt") == F.col("at")), "left")
     return both.select(*docs.columns, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("good", "toxic")])
 
 
