@@ -25,6 +25,8 @@ MIN_DOCS = 3
 BATCHES = 4
 FANOUT = 3
 SECOND_SEED = "cairnfield line key"
+#: Lines that are taken as frequent, at most.
+FREQUENT = 10_000
 
 
 def lines_of(text: Column) -> Column:
@@ -92,6 +94,21 @@ class LineRuns:
         self._write(keys.select("h1", "h2", "n_docs", "keeper"), 0)
 
 
+def repeats(keyed: DataFrame, hot: DataFrame) -> DataFrame:
+    """keyed with the keeper of each line in hot (h1, h2, n_docs, keeper); other lines are left out.
+
+    Keys that hold a FREQUENT-th of all occurrences in hot or more are FREQUENT at most, so they are broadcast, however large the table is;
+    the lines of the others, none of which is more than that share, meet theirs by a join.
+    """
+    every = hot.agg(F.sum("n_docs").cast("decimal(38,0)").alias("n")).first()["n"] or 0
+    often = F.col("n_docs").cast("decimal(38,0)") * FREQUENT >= F.lit(every)
+    columns = ["h1", "h2", "keeper"]
+    frequent = F.broadcast(hot.where(often).select(columns))
+    common = keyed.join(frequent, ["h1", "h2"])
+    others = keyed.join(frequent.drop("keeper"), ["h1", "h2"], "left_anti").join(hot.where(~often).select(columns).hint("merge"), ["h1", "h2"])
+    return common.unionByName(others)
+
+
 def repeated_lines(docs: DataFrame, min_chars: int, min_docs: int, batches: int) -> DataFrame:
     """(doc_id, text_hash, gone): for each text of a document, the sorted places of the lines that go from it."""
     spark = docs.sparkSession
@@ -106,8 +123,8 @@ def repeated_lines(docs: DataFrame, min_chars: int, min_docs: int, batches: int)
     for i in range(len(cuts) + 1):
         # a document's repeated lines and rows must count once; its rows are all in one batch
         runs.add(keyed.where(F.col("batch") == i).select("doc_id", "h1", "h2").distinct())
-    hot = stored(LineRuns.totals(runs.rows()).where(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper"), "line-hot")
-    drops = keyed.join(hot, ["h1", "h2"]).where(F.col("doc_id") < F.col("keeper"))
+    hot = stored(LineRuns.totals(runs.rows()).where(F.col("n_docs") >= min_docs), "line-hot")
+    drops = repeats(keyed, hot).where(F.col("doc_id") < F.col("keeper"))
     # places are the same in rows that repeat a document and its text
     return drops.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("pos")).alias("gone"))
 

@@ -107,3 +107,14 @@ def test_a_text_of_many_repeated_lines_takes_seconds(spark):
     got = rows_of(L.dedup_lines(frame(spark, rows)).cache())
     assert time.monotonic() - began < 60
     assert got == [(1, 100_000, 50_000, "\n".join(own)), (2, 50_000, 50_000, ""), (3, 50_000, 0, "\n".join(shared))]
+
+
+@pytest.mark.parametrize("frequent", [1, 20, 10_000])
+def test_frequent_lines_are_taken_apart(spark, monkeypatch, frequent):
+    """With one frequent line, some, or all of them."""
+    monkeypatch.setattr(L, "FREQUENT", frequent)
+    rows = corpus()
+    assert rows_of(L.dedup_lines(frame(spark, rows))) == by_hand(rows)
+    keyed = spark.range(1000).selectExpr("id as doc_id", "id % 2 as h1", "if(id % 2 = 0, 0, id) as h2")
+    hot = spark.sql("select 0L as h1, 0L as h2, 500L as n_docs, 998L as keeper union all select 1L, 3L, 3L, 3L")
+    assert sorted(r.keeper for r in L.repeats(keyed, hot).collect()) == [3] + [998] * 500
