@@ -1,4 +1,4 @@
-"""Universal transverse Mercator coordinates as column expressions, by Krueger's series to the third order."""
+"""Universal transverse Mercator coordinates by Krueger's series to the third order: as column expressions, or with ops=numpy over arrays."""
 
 from __future__ import annotations
 
@@ -23,30 +23,30 @@ def central_meridian(zone: int) -> float:
     return zone * 6.0 - 183.0
 
 
-def to_utm(lon: Column, lat: Column, zone: int, south: bool = False) -> tuple[Column, Column]:
+def to_utm(lon: Column, lat: Column, zone: int, south: bool = False, ops=F) -> tuple[Column, Column]:
     """(easting, northing) in metres of degrees."""
-    sine, turn = F.sin(F.radians(lat)), F.radians(lon - central_meridian(zone))
-    t = F.sinh(F.atanh(sine) - ROOT * F.atanh(ROOT * sine))
-    xi, eta = F.atan2(t, F.cos(turn)), F.atanh(F.sin(turn) / F.sqrt(1 + t * t))
+    sine, turn = ops.sin(ops.radians(lat)), ops.radians(lon - central_meridian(zone))
+    t = ops.sinh(ops.atanh(sine) - ROOT * ops.atanh(ROOT * sine))
+    xi, eta = ops.atan2(t, ops.cos(turn)), ops.atanh(ops.sin(turn) / ops.sqrt(1 + t * t))
     east, north = eta, xi
     for j, a in enumerate(ALPHA, 1):
-        east += a * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-        north += a * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+        east += a * ops.cos(2 * j * xi) * ops.sinh(2 * j * eta)
+        north += a * ops.sin(2 * j * xi) * ops.cosh(2 * j * eta)
     return EAST + RADIUS * east, (NORTH_OF_SOUTH if south else 0.0) + RADIUS * north
 
 
-def from_utm(easting: Column, northing: Column, zone: int, south: bool = False) -> tuple[Column, Column]:
+def from_utm(easting: Column, northing: Column, zone: int, south: bool = False, ops=F) -> tuple[Column, Column]:
     """(lon, lat) in degrees of metres."""
     xi, eta = (northing - (NORTH_OF_SOUTH if south else 0.0)) / RADIUS, (easting - EAST) / RADIUS
     north, east = xi, eta
     for j, b in enumerate(BETA, 1):
-        north -= b * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-        east -= b * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-    chi = F.asin(F.sin(north) / F.cosh(east))
+        north -= b * ops.sin(2 * j * xi) * ops.cosh(2 * j * eta)
+        east -= b * ops.cos(2 * j * xi) * ops.sinh(2 * j * eta)
+    chi = ops.asin(ops.sin(north) / ops.cosh(east))
     lat = chi
     for j, d in enumerate(DELTA, 1):
-        lat += d * F.sin(2 * j * chi)
-    return F.degrees(F.atan2(F.sinh(east), F.cos(north))) + central_meridian(zone), F.degrees(lat)
+        lat += d * ops.sin(2 * j * chi)
+    return ops.degrees(ops.atan2(ops.sinh(east), ops.cos(north))) + central_meridian(zone), ops.degrees(lat)
 
 
 def cell_centres(row: Column, col: Column, x0: float, y0: float, size: float) -> tuple[Column, Column]:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cairnfield.functions import objects, projection, scene_names, spectral
 from cairnfield.operators import breakpoints as bp
-from cairnfield.operators import cells, outlines, scoring, series, spatial, trend
+from cairnfield.operators import cells, outlines, scoring, series, spatial, trend, warp
 from cairnfield.operators.components import shared_folder
 from cairnfield.plans import pipelines
 from cairnfield.sources import features, manifest, rasters, sinks, text, tiff
@@ -1066,3 +1066,54 @@ def feature_stack(spark, sf_dir):
 def segments_local_threshold(spark, sf_dir):
     classes = grid(spark, sf_dir).select("row", "col", F.lit(0).alias("class"), (F.col("value") * 4).alias("value"))
     return pipelines.segments(classes, n_rows(spark, sf_dir), COLS, "local_threshold")
+
+
+@query("object_perimeter", _label_sql(False) + """, s AS (SELECT unnest([-1, 1, 0, 0]) AS i, unnest([0, 0, -1, 1]) AS k),
+inner_ AS (SELECT a.row, a.col FROM l a, s, l b WHERE b.row = a.row + i AND b.col = a.col + k AND b.label = a.label GROUP BY 1, 2 HAVING count(*) = 4),
+edge AS (SELECT l.* FROM l LEFT JOIN inner_ n ON n.row = l.row AND n.col = l.col WHERE n.row IS NULL),
+near AS (SELECT a.row, a.col, any_value(a.label) AS label, count(*) FILTER (abs(b.row - a.row) + abs(b.col - a.col) = 1) AS sides, count(*) FILTER (abs(b.row - a.row) + abs(b.col - a.col) = 2) AS corners
+  FROM edge a JOIN edge b ON b.label = a.label AND b.row BETWEEN a.row - 1 AND a.row + 1 AND b.col BETWEEN a.col - 1 AND a.col + 1 GROUP BY 1, 2)
+SELECT label, round(sum(CASE WHEN sides IN (2, 3) AND corners <= 2 THEN 1 WHEN (sides = 0 AND corners = 2) OR (sides = 1 AND corners = 3) THEN sqrt(2)
+  WHEN sides = 1 AND corners IN (1, 2) THEN (1 + sqrt(2)) / 2 ELSE 0 END), 6) AS perimeter FROM near GROUP BY label""")
+def object_perimeter(spark, sf_dir):
+    return _rounded(cells.perimeter(cells.components(mask(spark, sf_dir), COLS)))
+
+
+# --- warps between systems ------------------------------------------------------------------------------------------
+
+
+def _degrees_sql(source: str, zone: int) -> str:
+    """source (px, py, ..) with lon and lat in degrees."""
+    north = "".join(f" - {b!r}::DOUBLE * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, b in enumerate(projection.BETA, 1))
+    east = "".join(f" - {b!r}::DOUBLE * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, b in enumerate(projection.BETA, 1))
+    lat = "".join(f" + {d!r}::DOUBLE * sin({2 * j} * chi)" for j, d in enumerate(projection.DELTA, 1))
+    return f"""SELECT *, degrees(atan2(sinh(east), cos(north))) + {projection.central_meridian(zone)} AS lon, degrees(chi{lat}) AS lat
+FROM (SELECT *, asin(sin(north) / cosh(east)) AS chi FROM (SELECT *, xi{north} AS north, eta{east} AS east
+FROM (SELECT *, py / {projection.RADIUS!r}::DOUBLE AS xi, (px - 500000) / {projection.RADIUS!r}::DOUBLE AS eta FROM ({source}))))"""
+
+
+def _metres_sql(source: str, zone: int) -> str:
+    """source (lon, lat, ..) with mx and my in metres."""
+    sine, turn = "sin(radians(lat))", f"radians(lon - ({projection.central_meridian(zone)}))"
+    east = "".join(f" + {a!r}::DOUBLE * cos({2 * j} * xi2) * sinh({2 * j} * eta2)" for j, a in enumerate(projection.ALPHA, 1))
+    north = "".join(f" + {a!r}::DOUBLE * sin({2 * j} * xi2) * cosh({2 * j} * eta2)" for j, a in enumerate(projection.ALPHA, 1))
+    return f"""SELECT *, 500000 + {projection.RADIUS!r}::DOUBLE * (eta2{east}) AS mx, {projection.RADIUS!r}::DOUBLE * (xi2{north}) AS my
+FROM (SELECT *, atan2(t, cos(turn)) AS xi2, atanh(sin(turn) / sqrt(1 + t * t)) AS eta2
+FROM (SELECT *, sinh(atanh({sine}) - {projection.ROOT!r}::DOUBLE * atanh({projection.ROOT!r}::DOUBLE * {sine})) AS t, {turn} AS turn FROM ({source})))"""
+
+
+#: Candidates are the cells of zone 9 that lie within two of a source cell's middle there.
+_THERE_SQL = _metres_sql(_degrees_sql(f"SELECT 500000 + 30 * (col + 0.5::DOUBLE) AS px, 7000000 - 30 * (row + 0.5::DOUBLE) AS py FROM ({GRID_SQL})", 8), 9)
+_BACK_SQL = _metres_sql(_degrees_sql(f"""SELECT DISTINCT 30 * (CAST(floor(mx / 30) AS BIGINT) + i + 0.5::DOUBLE) AS px, 30 * (CAST(floor(my / 30) AS BIGINT) + k + 0.5::DOUBLE) AS py
+FROM ({_THERE_SQL}), (SELECT unnest([-2, -1, 0, 1, 2]) AS i) oi, (SELECT unnest([-2, -1, 0, 1, 2]) AS k) ok""", 9), 8)
+
+
+@query("warp_zones", f"""SELECT px AS x, py AS y, round(g.value, 9) AS value FROM ({_BACK_SQL}) b
+JOIN ({GRID_SQL}) g ON g.row = CAST(floor((7000000 - my) / 30) AS BIGINT) AND g.col = CAST(floor((mx - 500000) / 30) AS BIGINT)""")
+def warp_zones(spark, sf_dir):
+    """The raster of zone 8 as one of zone 9, where it lies outside the zone's own six degrees; nearest cells."""
+    source = warp.Grid(500000.0, 7000000.0, 30.0, n_rows(spark, sf_dir), COLS, 8)
+    target = warp.covering(source, 9, 30.0)
+    found = warp.warped(grid(spark, sf_dir), source, target)
+    x, y = projection.cell_centres(F.col("row"), F.col("col"), target.x0, target.y0, target.size)
+    return found.select(x.alias("x"), y.alias("y"), F.round("value", 9).alias("value"))
