@@ -30,8 +30,8 @@ def to_utm(lon: Column, lat: Column, zone: int, south: bool = False, ops=F) -> t
     xi, eta = ops.atan2(t, ops.cos(turn)), ops.atanh(ops.sin(turn) / ops.sqrt(1 + t * t))
     east, north = eta, xi
     for j, a in enumerate(ALPHA, 1):
-        east += a * ops.cos(2 * j * xi) * ops.sinh(2 * j * eta)
-        north += a * ops.sin(2 * j * xi) * ops.cosh(2 * j * eta)
+        east = east + a * ops.cos(2 * j * xi) * ops.sinh(2 * j * eta)
+        north = north + a * ops.sin(2 * j * xi) * ops.cosh(2 * j * eta)
     return EAST + RADIUS * east, (NORTH_OF_SOUTH if south else 0.0) + RADIUS * north
 
 
@@ -40,12 +40,12 @@ def from_utm(easting: Column, northing: Column, zone: int, south: bool = False,
     xi, eta = (northing - (NORTH_OF_SOUTH if south else 0.0)) / RADIUS, (easting - EAST) / RADIUS
     north, east = xi, eta
     for j, b in enumerate(BETA, 1):
-        north -= b * ops.sin(2 * j * xi) * ops.cosh(2 * j * eta)
-        east -= b * ops.cos(2 * j * xi) * ops.sinh(2 * j * eta)
+        north = north - b * ops.sin(2 * j * xi) * ops.cosh(2 * j * eta)
+        east = east - b * ops.cos(2 * j * xi) * ops.sinh(2 * j * eta)
     chi = ops.asin(ops.sin(north) / ops.cosh(east))
     lat = chi
     for j, d in enumerate(DELTA, 1):
-        lat += d * ops.sin(2 * j * chi)
+        lat = lat + d * ops.sin(2 * j * chi)
     return ops.degrees(ops.atan2(ops.sinh(east), ops.cos(north))) + central_meridian(zone), ops.degrees(lat)
 
 

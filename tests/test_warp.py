@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cairnfield.functions import projection
 from cairnfield.operators import cells, warp
 
 
@@ -57,6 +58,16 @@ def test_smooth_values_survive_bilinear_warps(spark):
     assert inside.sum() > 3000 and abs(got.value - 2 * v - u)[inside].max() <= 0.031
 
 
+def test_arrays_are_projected_as_columns_are(spark):
+    df = spark.range(200).select((F.lit(-141.0) + F.col("id") * 0.06).alias("lon"), (F.lit(55.0) + F.col("id") * 0.09).alias("lat"))
+    x, y = projection.to_utm(F.col("lon"), F.col("lat"), 8)
+    got = df.select("lon", "lat", x.alias("x"), y.alias("y")).toPandas()
+    there = projection.to_utm(got.lon.to_numpy(), got.lat.to_numpy(), 8, ops=np)
+    back = projection.from_utm(*there, 8, ops=np)
+    assert abs(there[0] - got.x).max() < 1e-6 and abs(there[1] - got.y).max() < 1e-6
+    assert abs(back[0] - got.lon).max() < 1e-8 and abs(back[1] - got.lat).max() < 1e-8
+
+
 def test_empty_and_null_values(spark):
     source = zone_grid(20, 20)
     target = warp.covering(source, 9, 30.0)
