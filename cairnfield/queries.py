@@ -18,6 +18,8 @@ from cairnfield.operators import cells, outlines, scoring, series, spatial, tren
 from cairnfield.operators.components import shared_folder
 from cairnfield.plans import pipelines
 from cairnfield.sources import features, manifest, rasters, sinks, text, tiff
+from cairnfield.streaming.ingest import run_once
+from cairnfield.streaming.mosaic import Mosaic
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -1117,3 +1119,16 @@ def warp_zones(spark, sf_dir):
     found = warp.warped(grid(spark, sf_dir), source, target)
     x, y = projection.cell_centres(F.col("row"), F.col("col"), target.x0, target.y0, target.size)
     return found.select(x.alias("x"), y.alias("y"), F.round("value", 9).alias("value"))
+
+
+@query("newest_mosaic", """SELECT user_id // 10 AS tile, user_id AS row, length(event_type) AS col, value, event_id FROM events WHERE value IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY user_id, length(event_type) ORDER BY ts DESC, event_id DESC) = 1""")
+def newest_mosaic(spark, sf_dir):
+    """Events as observations of cells, streamed from three files, a batch each, into a mosaic by tile."""
+    e = table(spark, sf_dir, "events").select(F.expr("user_id div 10").alias("tile"), F.col("user_id").alias("row"), F.length("event_type").cast("long").alias("col"), "value", "ts", "event_id")
+    folder = f"{shared_folder(spark)}/mosaic-{uuid.uuid4().hex}"
+    e.repartition(3, "event_id").write.parquet(f"{folder}/in")
+    arriving = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    kept = Mosaic(f"{folder}/mosaic", order=("ts", "event_id"))
+    run_once(arriving, kept.commit, f"{folder}/offsets").awaitTermination()
+    return kept.read(spark).drop("ts")
