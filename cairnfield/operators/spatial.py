@@ -2,8 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Cells of a side of the tiles in which targets are resampled.
+TILE = 128
+#: Places beyond this are those of no cell.
+FAR = 2.0**52
 
 
 def tiling(df: DataFrame, x_size: str, y_size: str, x_step: int, y_step: int) -> DataFrame:
@@ -101,10 +110,10 @@ def newer_only(tiles: DataFrame, mosaics: DataFrame, key: str, stamp: str = "ts"
     return tiles.join(made, key, "left").where(F.col(stamp) > old).drop("__made")
 
 
-def _kernel(method: str, t: Column) -> list[tuple[int, Column]]:
+def _kernel(method: str, t: np.ndarray) -> list[tuple[int, np.ndarray]]:
     """Offsets from the cell below, and their weights at a fraction t above it; cubic is the convolution with a = -1/2."""
     if method == "nearest":
-        return [(0, F.when(t < 0.5, 1.0).otherwise(0.0)), (1, F.when(t < 0.5, 0.0).otherwise(1.0))]
+        return [(0, np.where(t < 0.5, 1.0, 0.0)), (1, np.where(t < 0.5, 0.0, 1.0))]
     if method == "bilinear":
         return [(0, 1 - t), (1, t)]
     if method == "cubic":
@@ -112,18 +121,65 @@ def _kernel(method: str, t: Column) -> list[tuple[int, Column]]:
     raise ValueError(f"method is nearest, bilinear or cubic, not {method!r}")
 
 
+def _weighted(method: str, row: np.ndarray, col: np.ndarray, corner: tuple[int, int], total: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(weighted sums of values, sums of weights) at places of a tile, of whose cells total and number hold values' sums and numbers."""
+    low_row, low_col = np.floor(row), np.floor(col)
+    a, b = low_row.astype(np.int64) - corner[0], low_col.astype(np.int64) - corner[1]
+    s, w = np.zeros(len(row)), np.zeros(len(row))
+    for i, x in _kernel(method, row - low_row):
+        for k, y in _kernel(method, col - low_col):
+            weight, at = x * y, (a + i, b + k)
+            s += np.where((weight != 0) & (number[at] > 0), weight * total[at], 0.0)
+            w += weight * number[at]
+    return s, w
+
+
 def resampled(targets: DataFrame, cells: DataFrame, keys: list[str], row: str, col: str, method: str = "nearest") -> DataFrame:
     """(keys.., value) of the targets at real-valued places (row, col) of a raster, whose cells have whole ones.
 
-    Weights count over the cells that are there; a target without any has null.
+    Weights count over the cells that are there; a target without any, or without a place, has null. Cells go to the tiles
+    whose targets ask for them, so each is moved about once, not once for each weight. A task reads a tile's cells, and then
+    its targets by batches, from one sorted stream, so it holds one tile's arrays, however many targets the tile has.
     """
-    low = {"row": F.floor(row), "col": F.floor(col)}
-    taps = [
-        F.struct((low["row"] + i).alias("row"), (low["col"] + k).alias("col"), (a * b).alias("w"))
-        for i, a in _kernel(method, F.col(row) - low["row"])
-        for k, b in _kernel(method, F.col(col) - low["col"])
-    ]
-    asked = targets.select(*keys, F.explode(F.array(*taps)).alias("t")).select(*keys, "t.*").where("w <> 0")
-    found = asked.join(cells.select("row", "col", "value"), ["row", "col"], "left").groupBy(*keys)
-    weight = F.sum(F.when(F.col("value").isNotNull(), F.col("w")))
-    return found.agg(F.try_divide(F.sum(F.col("w") * F.col("value")), F.nullif(weight, F.lit(0.0))).alias("value"))
+    ends = [offset for offset, _ in _kernel(method, np.zeros(0))]
+    before, after = -min(ends), max(ends)
+    side = TILE + before + after
+    place = lambda c: F.col(c).cast("double")
+    tiles = lambda c: F.explode(F.array_distinct(F.array(*[F.expr(f"floor(({c} - {n}) / {TILE})") for n in (after, -before)])))
+    held = cells.where("value is not null").select(tiles("row").alias("__i"), "row", "col", "value").select("__i", tiles("col").alias("__k"), "row", "col", "value")
+    held = held.select("__i", "__k", F.lit(0).alias("__kind"), *[F.col(c).cast("double").alias(f"__{c}") for c in ("row", "col", "value")], *[F.lit(None).cast(targets.schema[k].dataType).alias(k) for k in keys])
+    known = lambda c: place(c).isNotNull() & (F.abs(place(c)) < FAR)
+    there = known(row) & known(col)
+    at = lambda c, other: F.when(there, F.floor(place(c) / TILE)).otherwise(other)
+    asked = targets.select(
+        at(row, F.pmod(F.xxhash64(*keys), F.lit(4096))).alias("__i"), at(col, F.lit(0)).alias("__k"), F.when(there, 1).otherwise(2).alias("__kind"),
+        place(row).alias("__row"), place(col).alias("__col"), F.lit(None).cast("double").alias("__value"), *keys,
+    )
+    schema = T.StructType([*(targets.schema[k] for k in keys), T.StructField("__s", T.DoubleType()), T.StructField("__w", T.DoubleType())])
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        tile, total, number = None, None, None
+        for batch in batches:
+            i, k, kind, r, c, value = (batch.column(n).to_numpy(zero_copy_only=False) for n in range(6))
+            parts = np.flatnonzero(np.concatenate([[True], (i[1:] != i[:-1]) | (k[1:] != k[:-1]) | (kind[1:] != kind[:-1])]))
+            s, w = np.zeros(len(i)), np.zeros(len(i))
+            for start, end in zip(parts, [*parts[1:], len(i)], strict=True):
+                corner = (int(i[start]) * TILE - before, int(k[start]) * TILE - before)
+                if tile != corner:
+                    tile, total, number = corner, np.zeros((side, side)), np.zeros((side, side))
+                own = slice(start, end)
+                if kind[start] == 1:
+                    s[own], w[own] = _weighted(method, r[own], c[own], corner, total, number)
+                elif kind[start] == 0:
+                    cell = (r[own].astype(np.int64) - corner[0], c[own].astype(np.int64) - corner[1])
+                    np.add.at(total, cell, value[own])
+                    np.add.at(number, cell, 1.0)
+            wanted = np.flatnonzero(kind)
+            out = batch.take(pa.array(wanted))
+            yield pa.record_batch([*out.columns[6:], pa.array(s[wanted]), pa.array(w[wanted])], schema=pa.schema([*list(batch.schema)[6:], ("__s", pa.float64()), ("__w", pa.float64())]))
+
+    dealt = held.unionByName(asked).repartition("__i", "__k").sortWithinPartitions("__i", "__k", "__kind")
+    found = dealt.mapInArrow(run, schema)
+    return found.groupBy(*keys).agg(F.try_divide(F.sum("__s"), F.nullif(F.sum("__w"), F.lit(0.0))).alias("value"))
