@@ -164,10 +164,10 @@ def components(mask: DataFrame, cols: int, diagonal: bool = False, by: str | Non
     cells = cells.withColumn("run", F.col("row") * cols + F.min("col").over(Window.partitionBy("row", *names, "island"))).drop("island")
     offsets = [(1, k) for k in ((-1, 0, 1) if diagonal else (0,))]
     below = spread(cells, offsets).select("row", "col", *names, F.col("run").alias("u"))
-    edges = below.join(cells.select("row", "col", *names, F.col("run").alias("v")), ["row", "col", *names]).select("u", "v")
+    edges = below.join(cells.select("row", "col", *names, F.col("run").alias("v")).hint("merge"), ["row", "col", *names]).select("u", "v")
     # bands of rows are dealt together, so that most of an object's links meet in one task; repeated ones end there
     labels = least_labels(edges.repartition(F.expr(f"u div {BAND * cols}")))
-    out = cells.join(labels, cells["run"] == labels["id"], "left")
+    out = cells.join(labels.hint("merge"), cells["run"] == labels["id"], "left")
     return out.select("row", "col", F.coalesce("label", "run").alias("label"), *names)
 
 
@@ -232,8 +232,8 @@ def shape(labels: DataFrame) -> DataFrame:
     m = m.withColumns({"l1": (F.col("rr") + F.col("cc")) / 2 + gap, "l2": (F.col("rr") + F.col("cc")) / 2 - gap})
     own = labels.select("row", "col", "label")
     around = spread(own, CROSS[1:]).select("row", "col", "label").groupBy("row", "col", "label").agg(F.count("*").alias("n"))
-    shared = around.join(own, ["row", "col", "label"]).groupBy("label").agg(F.sum("n").alias("shared"))
-    out = m.join(shared, "label", "left")
+    shared = around.join(own.hint("merge"), ["row", "col", "label"]).groupBy("label").agg(F.sum("n").alias("shared"))
+    out = m.join(shared.hint("merge"), "label", "left")
     return out.select(
         "label", "area", "centroid_row", "centroid_col",
         F.sqrt(F.col("area") * 4 / math.pi).alias("equivalent_diameter"),
@@ -392,4 +392,4 @@ def upper_cluster(values: DataFrame, labels: DataFrame) -> DataFrame:
 
 def scattered(objects: DataFrame, labels: DataFrame, value: Column) -> DataFrame:
     """An attribute of the objects back on their cells; -9999 where it is null."""
-    return labels.join(objects.select("label", value.alias("value")), "label", "left").select("row", "col", F.coalesce("value", F.lit(-9999.0)).alias("value"))
+    return labels.join(objects.select("label", value.alias("value")).hint("merge"), "label", "left").select("row", "col", F.coalesce("value", F.lit(-9999.0)).alias("value"))

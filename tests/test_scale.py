@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cairnfield.operators import cells as raster
 from cairnfield.operators import spatial
 
 #: That of spatial.resampled.
@@ -77,3 +78,11 @@ def test_resampling_over_borders_of_tiles_gaps_and_repeats(spark, method):
     for k, x in want.items():
         assert (got[k] is None) == (x is None), k
         assert x is None or math.isclose(got[k], x, rel_tol=1e-6, abs_tol=1e-6), k
+
+
+def test_objects_and_their_attributes_pass_no_broadcast(spark):
+    mask = field(spark, 60, 20).where("value > 0.1")
+    labels = raster.components(mask, 20)
+    sizes = labels.groupBy("label").agg(F.count("*").alias("n"))
+    for df in (labels, raster.perimeter(labels), raster.shape(labels), raster.scattered(sizes, labels, F.col("n").cast("double"))):
+        assert [name for name, _ in exchanges(df) if name == "BroadcastExchange"] == []
