@@ -39,37 +39,73 @@ def filtered_objects(objects: DataFrame, query: str = "proba <= 0.5 and max > 0.
     return objects.where(F.expr(query))
 
 
-def hull(rows: np.ndarray, cols: np.ndarray) -> tuple[float, float, float]:
-    """(area, row, col) of the convex hull of unit cells and of its centroid, in the cells' own coordinates."""
-    points = sorted({(float(r + i), float(c + k)) for r, c in zip(rows, cols, strict=True) for i in (-0.5, 0.5) for k in (-0.5, 0.5)})
+def _chain(seq: list) -> list:
+    out: list = []
+    for p in seq:
+        while len(out) > 1 and (out[-1][0] - out[-2][0]) * (p[1] - out[-2][1]) - (out[-1][1] - out[-2][1]) * (p[0] - out[-2][0]) <= 0:
+            out.pop()
+        out.append(p)
+    return out[:-1]
+
+
+def _ring(corners: set) -> list:
+    """The corners of the convex hull of points, in turn."""
+    points = sorted(corners)
+    return _chain(points) + _chain(points[::-1])
+
 
-    def chain(seq: list) -> list:
-        out: list = []
-        for p in seq:
-            while len(out) > 1 and (out[-1][0] - out[-2][0]) * (p[1] - out[-2][1]) - (out[-1][1] - out[-2][1]) * (p[0] - out[-2][0]) <= 0:
-                out.pop()
-            out.append(p)
-        return out[:-1]
+def _measures(ring: list) -> tuple[float, float, float]:
+    """(area, row, col) of a ring and of its centroid, taken from its first corner on, so that far places lose no digits."""
+    r0, c0 = ring[0]
+    twice = row = col = 0.0
+    for (a, b), (c, d) in zip(ring, [*ring[1:], ring[0]], strict=True):
+        a, b, c, d = a - r0, b - c0, c - r0, d - c0
+        cross = a * d - c * b
+        twice, row, col = twice + cross, row + (a + c) * cross, col + (b + d) * cross
+    return abs(twice / 2), r0 + row / (3 * twice), c0 + col / (3 * twice)
 
-    ring = np.array(chain(points) + chain(points[::-1]))
-    following = np.roll(ring, -1, 0)
-    cross = ring[:, 0] * following[:, 1] - following[:, 0] * ring[:, 1]
-    area = cross.sum() / 2
-    row, col = ((ring + following) * cross[:, None]).sum(0) / (6 * area)
-    return abs(float(area)), float(row), float(col)
+
+def hull(rows: np.ndarray, cols: np.ndarray) -> tuple[float, float, float]:
+    """(area, row, col) of the convex hull of unit cells and of its centroid, in the cells' own coordinates."""
+    return _measures(_ring({(float(r + i), float(c + k)) for r, c in zip(rows, cols, strict=True) for i in (-0.5, 0.5) for k in (-0.5, 0.5)}))
 
 
 def solidity(labels: DataFrame) -> DataFrame:
     """(label, area, convex_area, solidity, hull_row, hull_col): the convex hull's area and centroid.
 
-    Only the ends of an object's rows go to its task, as they fix the hull.
+    Only the ends of an object's rows go to its task, as they fix the hull. A task reads its objects as one sorted stream of
+    batches; of an object that goes on in the next batch it keeps the hull's corners.
     """
     ends = labels.groupBy("label", "row").agg(F.min("col").alias("first"), F.max("col").alias("last"), F.count("*").alias("n"))
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = np.concatenate([pdf["row"], pdf["row"]])
-        area, row, col = hull(rows, np.concatenate([pdf["first"], pdf["last"]]))
-        n = int(pdf["n"].sum())
-        return pd.DataFrame({"label": pdf["label"].iloc[:1], "area": [n], "convex_area": [area], "solidity": [n / area], "hull_row": [row], "hull_col": [col]})
-
-    return ends.groupBy("label").applyInPandas(one, "label long, area long, convex_area double, solidity double, hull_row double, hull_col double")
+    names = ("label", "area", "convex_area", "solidity", "hull_row", "hull_col")
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        def made(done: list) -> pa.RecordBatch:
+            kinds = (pa.int64(), pa.int64(), *[pa.float64()] * 4)
+            return pa.record_batch([pa.array(c, kind) for c, kind in zip(zip(*done, strict=True), kinds, strict=True)], names=names)
+
+        label, n, corners = None, 0, set()
+
+        def closed() -> tuple:
+            area, row, col = _measures(_ring(corners))
+            return label, n, area, n / area, row, col
+
+        for batch in batches:
+            done = []
+            for own, r, first, last, count in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if own != label:
+                    if corners:
+                        done.append(closed())
+                    label, n, corners = own, 0, set()
+                n += count
+                corners.update(((r - 0.5, first - 0.5), (r + 0.5, first - 0.5), (r - 0.5, last + 0.5), (r + 0.5, last + 0.5)))
+            corners = set(_ring(corners))
+            if done:
+                yield made(done)
+        if corners:
+            yield made([closed()])
+
+    dealt = ends.repartition("label").sortWithinPartitions("label").select("label", "row", "first", "last", "n")
+    return dealt.mapInArrow(run, "label long, area long, convex_area double, solidity double, hull_row double, hull_col double")

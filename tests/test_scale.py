@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cairnfield.operators import cells as raster
-from cairnfield.operators import spatial
+from cairnfield.operators import scoring, spatial
 
 #: That of spatial.resampled.
 TILE = 128
@@ -86,3 +86,19 @@ def test_objects_and_their_attributes_pass_no_broadcast(spark):
     sizes = labels.groupBy("label").agg(F.count("*").alias("n"))
     for df in (labels, raster.perimeter(labels), raster.shape(labels), raster.scattered(sizes, labels, F.col("n").cast("double"))):
         assert [name for name, _ in exchanges(df) if name == "BroadcastExchange"] == []
+
+
+def test_hulls_of_objects_over_batches_and_far_from_the_origin(spark):
+    """Objects of many rows run over batches; a square's centroid is exact at row 10 ** 8."""
+    far = 10**8
+    cells = [(r, c, 1) for r in range(40) for c in range(r + 1)] + [(far + r, c, 2) for r in range(3) for c in range(3)] + [(7, c, 3) for c in range(50, 54)]
+    labels = spark.createDataFrame(cells, "row long, col long, label long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        out = scoring.solidity(labels)
+        got = {r["label"]: tuple(r)[1:] for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got[2] == (9, 9.0, 1.0, far + 1.0, 1.0) and got[3] == (4, 4.0, 1.0, 7.0, 51.5)
+    n, area = 40 * 41 // 2, 40 * 41 / 2 + 19.5  # the stairs' hull adds half a cell a step
+    assert got[1][:3] == (n, area, n / area)
