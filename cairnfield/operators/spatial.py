@@ -62,6 +62,12 @@ def overlay(layers: DataFrame, keys: list[str], order: str = "ordinal", value: s
     return held.groupBy(*keys).agg(F.max_by(value, order).alias(value))
 
 
+def spread_over(df: DataFrame, rows: int, *keys: Column | str, total: int | None = None) -> DataFrame:
+    """df dealt by keys into parts whose number follows its rows (total, where known): some `rows` in each, so that a task's memory does not grow with df."""
+    total = df.count() if total is None else total
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-total // rows)), *keys)
+
+
 def stacked(layers: DataFrame, keys: list[str], name: str, names: list[str], value: str = "value") -> DataFrame:
     """One column for each named layer."""
     return layers.groupBy(*keys).pivot(name, names).agg(F.first(value))

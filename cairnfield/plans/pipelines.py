@@ -87,6 +87,8 @@ def segments(classes: DataFrame, rows: int, cols: int, mode: str = "simple", tar
 
 #: The layers of a trend image, in their order.
 TREND_LAYERS = ("slp", "ict", "cil", "ciu")
+#: Rows of layers that a task brings together, in the mean.
+FEATURE_ROWS = 1 << 19
 
 
 def feature_stack(images: dict[str, DataFrame], dem: DataFrame, x0: float, y0: float, size: float, zone: int | None = None) -> DataFrame:
@@ -94,13 +96,20 @@ def feature_stack(images: dict[str, DataFrame], dem: DataFrame, x0: float, y0: f
 
     images: trend images (row, col, b array) by index name; dem: (row, col, value), whose slope is taken from cells of the
     given size. With a UTM zone, lon and lat of the cells' centres are added, the raster's corner being (x0, y0). All layers
-    are dealt by cell and meet in one aggregation; a cell that a layer lacks has null there.
+    are dealt by cell, one row a layer or image, and meet in one aggregation of parts of bounded size; a cell that a layer lacks has null there.
     """
-    layer = lambda df, name, value: df.select("row", "col", F.lit(name).alias("name"), value.cast("double").alias("value"))
-    parts = [layer(df, f"{index}_{n}", F.get("b", F.lit(k))) for index, df in images.items() for k, n in enumerate(TREND_LAYERS)]
-    parts += [layer(dem, "dem", F.col("value")), layer(cells.terrain_slope(dem, size), "slope", F.col("value"))]
     names = [f"{index}_{n}" for index in images for n in TREND_LAYERS] + ["dem", "slope"]
-    out = spatial.stacked(reduce(DataFrame.unionByName, parts), ["row", "col"], "name", names)
+
+    def wide(df: DataFrame, layers: dict) -> DataFrame:
+        return df.select("row", "col", *[layers.get(n, F.lit(None)).cast("double").alias(n) for n in names])
+
+    n = dem.count()
+    total = 2 * n + sum(df.count() for df in images.values())  # slopes are as many as heights at most
+    slope = cells.terrain_slope(spatial.spread_over(dem.select("row", "col", "value"), FEATURE_ROWS, F.floor(F.col("row") / cells.BAND), total=n), size)
+    parts = [wide(df, {f"{index}_{n}": F.get("b", F.lit(k)) for k, n in enumerate(TREND_LAYERS)}) for index, df in images.items()]
+    parts += [wide(dem, {"dem": F.col("value")}), wide(slope, {"slope": F.col("value")})]
+    dealt = spatial.spread_over(reduce(DataFrame.unionByName, parts), FEATURE_ROWS, "row", "col", total=total)
+    out = dealt.groupBy("row", "col").agg(*[F.first(n, ignorenulls=True).alias(n) for n in names])
     if zone is None:
         return out
     lon, lat = projection.from_utm(*projection.cell_centres(F.col("row"), F.col("col"), x0, y0, size), zone)

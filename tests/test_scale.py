@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cairnfield.operators import cells as raster
-from cairnfield.operators import scoring, spatial
+from cairnfield.operators import scoring, series, spatial
+from cairnfield.plans import pipelines
 
 #: That of spatial.resampled.
 TILE = 128
@@ -102,3 +103,19 @@ def test_hulls_of_objects_over_batches_and_far_from_the_origin(spark):
     assert got[2] == (9, 9.0, 1.0, far + 1.0, 1.0) and got[3] == (4, 4.0, 1.0, 7.0, 51.5)
     n, area = 40 * 41 // 2, 40 * 41 / 2 + 19.5  # the stairs' hull adds half a cell a step
     assert got[1][:3] == (n, area, n / area)
+
+
+def test_parts_of_a_pixel_table_follow_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(series, "ROWS", 100, raising=False)
+    obs = spark.range(2000).select((F.col("id") % 50).alias("pixel"), "id")
+    assert series.dealt(obs, ["pixel"]).rdd.getNumPartitions() == 20
+
+
+def test_feature_stack_moves_a_row_a_layer_in_parts_that_follow_the_rows(spark, monkeypatch, no_broadcast):
+    monkeypatch.setattr(pipelines, "FEATURE_ROWS", 500, raising=False)
+    dem = field(spark, 100, 50)
+    image = dem.select("row", "col", F.array(*[F.col("value") + k for k in range(4)]).alias("b"))
+    out = pipelines.feature_stack({"a": image, "b": image}, dem, 0.0, 0.0, 30.0)
+    moved = sum(n for _, n in exchanges(out))
+    assert moved < 12 * 5000
+    assert out.rdd.getNumPartitions() >= 20000 * 0.9 // 500
