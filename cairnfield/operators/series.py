@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cairnfield.operators.spatial import spread_over
+
+#: Observations that a task groups, in the mean.
+ROWS = 1 << 19
 BUCKETS = {"year": F.year, "month": F.month, "day": F.dayofmonth}
 
 
@@ -15,8 +19,8 @@ def in_season(obs: DataFrame, date: str = "date", months: tuple[int, int] = (7,
 
 
 def dealt(obs: DataFrame, pixel: list[str]) -> DataFrame:
-    """obs with all of a pixel's rows in one task: what is then grouped by pixel and date, and by pixel, moves no more."""
-    return obs.repartition(*pixel)
+    """obs with all of a pixel's rows in one task, some ROWS rows in each: what is then grouped by pixel and date, and by pixel, moves no more."""
+    return spread_over(obs, ROWS, *pixel)
 
 
 def mean_of_same_date(obs: DataFrame, pixel: list[str], date: str = "date", value: str = "value") -> DataFrame:
