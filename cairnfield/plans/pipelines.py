@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cairnfield.functions import objects, projection
 from cairnfield.operators import cells, flooding, scoring, series, spatial, trend
+from cairnfield.operators.components import settled
 
 
 def trend_image(obs: DataFrame, pixel: list[str], mode: str = "full", reference: str = "2014-07-01", months: tuple[int, int] = (7, 8), years: tuple[int, int] = (1985, 2014)) -> DataFrame:
@@ -68,7 +69,7 @@ def segments(classes: DataFrame, rows: int, cols: int, mode: str = "simple", tar
         mask = cells.eroded(cells.dilate(mask, rows, cols, cells.CROSS), rows, cols, cells.CROSS)
         mask = cells.dilate(cells.eroded(mask, rows, cols, cells.CROSS), rows, cols, cells.CROSS)
         return cells.components(cells.without_holes(mask, rows, cols), cols)
-    smooth = cells.gaussian(value, sigma)
+    smooth = settled(cells.gaussian(value, sigma))
     if mode == "local_kmeans":
         labels = cells.without_small(cells.components(smooth.where(F.col("value") > mask_above), cols, diagonal=True), 4)
         return cells.components(cells.upper_cluster(smooth, labels), cols)
@@ -77,7 +78,7 @@ def segments(classes: DataFrame, rows: int, cols: int, mode: str = "simple", tar
     edges = cells.sobel(smooth if mode == "watershed2" else cells.gaussian(value, edge_sigma))
     surface = smooth.withColumn("value", -F.col("value")) if mode == "watershed" else edges
     radius = 3 if mode == "watershed2" else distance
-    peaks = cells.components(cells.local_maxima(smooth, peaks_above, radius), cols, diagonal=True).withColumn("marker", F.col("label") + 1)
+    peaks = cells.components(settled(cells.local_maxima(smooth, peaks_above, radius)), cols, diagonal=True).withColumn("marker", F.col("label") + 1)
     held = value.where(F.col("value") > mask_above if mode == "watershed2" else F.col("value") >= mask_above).select("row", "col")
     held = held.join(surface, ["row", "col"], "left").join(peaks.select("row", "col", "marker"), ["row", "col"], "left")
     held = held.withColumn("value", F.coalesce("value", F.lit(0.0)))

@@ -172,6 +172,16 @@ def test_segments_part_two_humps(spark, mode):
     assert 0 < len(got) < grid.size
 
 
+@pytest.mark.parametrize("mode", ["local_kmeans", "watershed"])
+def test_segments_smooth_their_cells_once(spark, noise, mode):
+    """Cells are read for the smoothed values and, to flood them, for the mask; not again for each use of the smoothed values."""
+    reads = spark.sparkContext.accumulator(0)
+    read = F.udf(lambda v: reads.add(1) or v, "double")
+    classes = frame(spark, noise).withColumn("class", F.lit(0)).withColumn("value", read("value"))
+    segments(classes, ROWS, COLS, mode, mask_above=0.3, peaks_above=0.4, sigma=1.0).collect()
+    assert noise.size <= reads.value <= (2 if mode == "watershed" else 1) * noise.size
+
+
 def test_segments_know_their_modes(spark, noise):
     with pytest.raises(ValueError):
         segments(frame(spark, noise), ROWS, COLS, "none")

@@ -66,3 +66,28 @@ def test_no_cells_and_no_markers(spark):
     df = spark.createDataFrame([(0, 0, 1.0, None), (-3, 700, 1.0, 5), (-3, 701, 2.0, 0)], "row long, col long, value double, marker long")
     assert {(r["row"], r["col"], r.label) for r in W.watershed(df, 8).collect()} == {(0, 0, 0), (-3, 700, 5), (-3, 701, 5)}
     assert W.watershed(df.where("row > 5")).collect() == []
+
+
+@pytest.mark.parametrize(("halo", "step", "compactness"), [(1, 5, 0.7), (2, 5, 2.0), (1, 4, 0.0), (0, 8, 0.7)])
+def test_labels_do_not_depend_on_the_halo(spark, monkeypatch, halo, step, compactness):
+    """Ways are longer than the halo, so that tiles are flooded again from what stands beside them."""
+    monkeypatch.setattr(W, "HALO", halo)
+    surface, markers, mask = raster(5)
+    rows = [(int(r), int(c), float(surface[r, c]), int(markers[r, c]) or None) for r, c in zip(*np.nonzero(mask))]
+    df = spark.createDataFrame(rows, "row long, col long, value double, marker long").repartition(3)
+    want = one_by_one(surface, markers, mask, compactness)
+    got = W.watershed(df, step, compactness).collect()
+    assert len(got) == len(rows) and {(r["row"], r["col"]): r.label for r in got} == {(r, c): want[r, c] for r, c, *_ in rows}
+
+
+def test_tiles_whose_surroundings_agree_are_flooded_once(spark, monkeypatch):
+    """Ways of a few cells over the borders of four tiles: no tile is flooded again, so few more cells than there are, are flooded."""
+    surface, markers, mask = raster(6, rows=8, cols=256, n=200)
+    rows = [(int(r), int(c), float(surface[r, c]), int(markers[r, c])) for r, c in zip(*np.nonzero(mask))]
+    df = spark.createDataFrame(rows, "row long, col long, value double, marker long")
+    flooded, given = W._flooded, []
+    monkeypatch.setattr(W, "_flooded", lambda cells, *rest, **more: given.append(cells.count()) or flooded(cells, *rest, **more))
+    got = {(r["row"], r["col"]): r.label for r in W.watershed(df, 64, 0.7).collect()}
+    want = W.flood(surface, markers, mask, 0.7)
+    assert got == {(r, c): want[r, c] for r, c, *_ in rows}
+    assert sum(given) < 1.6 * len(rows)
